@@ -10,6 +10,7 @@ then needs only the state at its latest dose, found by equality on (subject, occ
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from typing import Any
 
@@ -70,7 +71,7 @@ def decayed_doses(records: DataFrame, id: str, time: str, evid: str, amt: str, r
     summed = skew.by_heat(doses, [id], lambda d, s: s.scan(d, lane, [("occ", False)], running=run), hot)
     whole = doses.groupBy(*lane).agg(F.sum("_in").alias("_past")).withColumn("_block", F.col("_block") + 1)
     within = F.exp(F.col("_block") * REACH - F.col("rate") * F.col("_td"))
-    state = F.col("_run") * within + F.coalesce(F.col("_past"), F.lit(0.0)) * within * F.lit(2.718281828459045) ** -REACH
+    state = F.col("_run") * within + F.coalesce(F.col("_past"), F.lit(0.0)) * within * math.exp(-REACH)
     at_dose = summed.join(whole, lane, "left").groupBy(id, "occ").agg(
         *[F.max(F.when(F.col("lane") == i, state)).alias(f"_a{i}") for i in range(len(names))])
     seen = rows.filter(F.col(evid) == 0).join(at_dose, [id, "occ"], "left")
