@@ -108,7 +108,7 @@ def _(spark, d):
     hot = hot_users(spark, d)
     ev = pk_events(spark, d, hot).filter("occ > 0").withColumn("route", F.lit("ev"))
     roles = nca.Roles(id="user_id", time="h", observations="dv", amt="amt", route="route", group=("occ",))
-    return rounded(nca.nca_profiles(ev, roles, hot).drop("tau", "dur"))
+    return rounded(nca.nca_profiles(ev, roles, hot).drop("tau", "dur"), raw=["c", "amt"])
 
 
 @query("nca_llq", f"""WITH {PK}, pq AS (SELECT *, min(CASE WHEN c >= 20 THEN t END) OVER (PARTITION BY user_id, occ) AS fq FROM prof)
@@ -142,9 +142,14 @@ _register("nca_cl_vz_f", "route", "cl_f_obs, vz_f_obs, cl_obs, vz_obs",
 _register("nca_kel", "", "kel", "SELECT *, cl / nullif(vz, 0) AS kel FROM rep")
 _register("nca_steady_state", "", "tau, auctau, cl_ss",
           "SELECT *, 24.0::DOUBLE AS tau, dose / nullif(auctau, 0) AS cl_ss FROM rep", tau=24.0)
-_register("nca_c0", "", "c0", route="iv")
 _register("nca_infusion_mrt", "", "dur, mrtlast, mrtinf_obs", "SELECT *, 2.0::DOUBLE AS dur FROM rep", route="inf", dur=2.0)
 
+
+@query("nca_c0", f"WITH {PK}, {nca_sql(route='iv')} SELECT user_id, occ, sig(ln(c0)) AS ln_c0 FROM rep")
+def _(spark, d):  # on the log scale: back-extrapolating noise spans forty decades
+    return rounded(report(spark, d, route="iv").select(*PROFILE, F.ln("c0").alias("ln_c0")))
+
+
 REPORT_INTS = "n_obs, n_lambdaz"
 REPORT_DOUBLES = ("dose, cmax, tmax, tlast, clast, auclast, aumclast, lambdaz, adj_r2, half_life, aucinf_obs, "
                   "aumcinf_obs, mrtlast, mrtinf_obs, cmax_dose, auc_dose, cl_f_obs, vz_f_obs, kel")
@@ -157,7 +162,7 @@ PARAMS = ["tmax", "cmax", "auclast", "mrtlast"]  # summarized parameters, all bo
 def summary_hot(spark, d):
     """None when even all dose records together stay within the limit, else let the operator look."""
     doses = dataset(spark, d, "events").filter("event_type = 'signup'").count()
-    return None if doses <= skew.hot_rows(spark) else skew._LOOK
+    return None if doses <= skew.hot_rows(spark) else skew.LOOK
 
 
 def _long(params) -> str:

@@ -35,7 +35,7 @@ def _expand(stats: Sequence[str]) -> list[str]:
 
 
 def stats_of(
-    df: DataFrame, value: str, stats: Sequence[str], by: Sequence[str] = (), hot=skew._LOOK
+    df: DataFrame, value: str, stats: Sequence[str], by: Sequence[str] = (), hot=skew.LOOK
 ) -> DataFrame:
     """One row per group with the named statistics of one column, quantiles exact."""
     stats = _expand(stats)
@@ -56,7 +56,7 @@ def scalar_stats(df: DataFrame, column: str) -> DataFrame:
 
 
 def describe(df: DataFrame, columns: Sequence[str], stats: Sequence[str] = ("mean", "min", "median", "max", "nmissing"),
-             hot=skew._LOOK) -> DataFrame:
+             hot=skew.LOOK) -> DataFrame:
     """One row per column with the chosen statistics."""
     return stats_of(stack(df, columns, kind="double"), "value", stats, ["variable"], hot)
 
@@ -66,21 +66,21 @@ def summary_stats(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFra
 
 
 def summarize(df: DataFrame, parameters: Sequence[str], stats: Sequence[str] = ("extrema", "mean", "std"),
-              stratify_by: Sequence[str] = (), hot=skew._LOOK) -> DataFrame:
+              stratify_by: Sequence[str] = (), hot=skew.LOOK) -> DataFrame:
     """One row per stratum and parameter."""
     long = stack(df, parameters, stratify_by, "double").withColumnRenamed("variable", "parameter")
     return stats_of(long, "value", stats, [*stratify_by, "parameter"], hot)
 
 
 def group_multi_agg(df: DataFrame, by: Sequence[str], columns: Sequence[str], stats: Sequence[str],
-                    hot=skew._LOOK) -> DataFrame:
+                    hot=skew.LOOK) -> DataFrame:
     """Columns x functions, named ``<column>_<function>``, one row per group."""
     stats = _expand(stats)
     folds = [s for s in stats if s in _FOLDS]
     quants = [s for s in stats if s in _QUANTILES]
     out = df.groupBy(*by).agg(*[_FOLDS[s](c).alias(f"{c}_{s}") for c in columns for s in folds])
     if quants:
-        if hot is skew._LOOK:
+        if hot is skew.LOOK:
             hot = skew.find_hot(df, by)
         if hot is None:
             return df.groupBy(*by).agg(*[

@@ -40,7 +40,7 @@ def be_design(data: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         F.max("p").cast("long").alias("periods"), F.count(F.lit(1)).alias("subjects"))
 
 
-def be_stats(data: DataFrame, factor: str, by: Sequence[str] = (), hot=skew._LOOK) -> DataFrame:
+def be_stats(data: DataFrame, factor: str, by: Sequence[str] = (), hot=skew.LOOK) -> DataFrame:
     """Endpoint statistics by formulation, sequence or period."""
     return stats_of(data, "y", ["n", "mean", "std", "min", "median", "max", "geomean"], [*by, "endpoint", factor], hot)
 
@@ -132,7 +132,7 @@ def be_decision(data: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 # ---- nonparametric estimate ----
 
-def be_nonpar(data: DataFrame, by: Sequence[str] = (), log: bool = False, hot=skew._LOOK) -> DataFrame:
+def be_nonpar(data: DataFrame, by: Sequence[str] = (), log: bool = False, hot=skew.LOOK) -> DataFrame:
     """Hodges-Lehmann estimate: median over (i in TR, j in RT) of (d_i - d_j) / 2.
 
     The n x m differences are never formed: their order statistics are found by bisection on the
@@ -143,7 +143,7 @@ def be_nonpar(data: DataFrame, by: Sequence[str] = (), log: bool = False, hot=sk
         *by, "endpoint", "sequence", F.col("d" if log else "dy").alias("d")).filter(
         F.col("d").isNotNull() & F.col("sequence").isin("TR", "RT"))
     keys = [*by, "endpoint"]
-    if hot is skew._LOOK:
+    if hot is skew.LOOK:
         hot = skew.find_hot(sides, keys)
     if hot is None:
         return _within_task(sides, keys)
@@ -243,7 +243,7 @@ def _across_tasks(sides: DataFrame, keys: Sequence[str], rounds: int = 12) -> Da
     return state.groupBy(*keys).agg((F.avg("hi") / 2).alias("pe"))
 
 
-def be_endpoints(data: DataFrame, by: Sequence[str] = (), hot=skew._LOOK) -> DataFrame:
+def be_endpoints(data: DataFrame, by: Sequence[str] = (), hot=skew.LOOK) -> DataFrame:
     """Every endpoint by its default method: names containing "tmax" nonparametric, others linear."""
     tmax = F.lower("endpoint").contains("tmax")
     lm = be_result(data.filter(~tmax), by).select(*by, "endpoint", F.lit("lm").alias("method"), "pe", "lnlb", "lnub")

@@ -12,7 +12,7 @@ from kinetable.operators.agg import describe, stats_of
 from kinetable.plans import skew
 
 
-def box_stats(df: DataFrame, by: Sequence[str], value: str, hot=skew._LOOK) -> DataFrame:
+def box_stats(df: DataFrame, by: Sequence[str], value: str, hot=skew.LOOK) -> DataFrame:
     """Quartiles, whiskers (furthest points within 1.5 IQR) and outlier count per group."""
     q = stats_of(df, value, ["q25", "median", "q75"], by, hot)
     reach = 1.5 * (F.col("q75") - F.col("q25"))
@@ -35,7 +35,7 @@ def histogram(df: DataFrame, value: str, bins: int, facet: Sequence[str] = ()) -
         F.min(F.col("_lo") + F.col("bin") * F.col("_w")).alias("bin_start"), F.count(F.lit(1)).alias("count"))
 
 
-def density(df: DataFrame, by: Sequence[str], value: str, points: int = 32, hot=skew._LOOK) -> DataFrame:
+def density(df: DataFrame, by: Sequence[str], value: str, points: int = 32, hot=skew.LOOK) -> DataFrame:
     """Gaussian kernel density per group on an even grid over the group's range.
 
     Bandwidth: 0.9 min(sd, IQR / 1.34) n^(-1/5).

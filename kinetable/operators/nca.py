@@ -38,7 +38,7 @@ class Roles:
         return [self.id, *self.group]
 
 
-def nca_profiles(df: DataFrame, roles: Roles, hot=skew._LOOK) -> DataFrame:
+def nca_profiles(df: DataFrame, roles: Roles, hot=skew.LOOK) -> DataFrame:
     """Bind roles: key columns, ``t`` since the profile's dose, ``c``, and dose columns.
 
     A row with a positive amount is a dose record; its concentration is not an observation.
@@ -72,7 +72,7 @@ def _complete(records: DataFrame) -> DataFrame:
     return records.withColumns(lacking) if lacking else records
 
 
-def blq(records: DataFrame, keys: Sequence[str], llq: float, hot=skew._LOOK) -> DataFrame:
+def blq(records: DataFrame, keys: Sequence[str], llq: float, hot=skew.LOOK) -> DataFrame:
     """Concentrations below the limit: zero before the first quantifiable one, else missing."""
     return skew.by_heat(records, [keys[0]], lambda d, s: _blq(d, s, keys, llq), hot)
 
@@ -145,7 +145,7 @@ def nca_report(
     intervals: Sequence[tuple[float, float]] = (),
     max_points: int | None = None,
     add_c0: bool = False,
-    hot=skew._LOOK,
+    hot=skew.LOOK,
 ) -> DataFrame:
     """One wide row of parameters per profile.
 

@@ -84,7 +84,7 @@ def sir(candidates: DataFrame, id: str, loglik: str, resamples: int) -> DataFram
 
 
 def vpc_bands(observations: DataFrame, id: str, stratum: str, time_bin: str, dv: str, replicates: int,
-              hot=skew._LOOK) -> DataFrame:
+              hot=skew.LOOK) -> DataFrame:
     """Observed 5/50/95 % per stratum and time bin, with replicate-based 95 % bands."""
     marks = {"p05": 0.05, "p50": 0.5, "p95": 0.95}
     base = observations.select(id, stratum, time_bin, dv)
@@ -93,7 +93,7 @@ def vpc_bands(observations: DataFrame, id: str, stratum: str, time_bin: str, dv:
     copies = base.join(drawn.drop(stratum), id, "inner").withColumn(
         "_copy", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).drop("_copy")
     each = grouped(copies, ["replicate", stratum, time_bin], dv, {}, marks,
-                   None if hot is None else skew._LOOK)
+                   None if hot is None else skew.LOOK)
     long = each.unpivot([stratum, time_bin], list(marks), "mark", "value")
     bands = grouped(long, [stratum, time_bin, "mark"], "value", {}, {"low": 0.025, "high": 0.975}, None)
     wide = seen.unpivot([stratum, time_bin, "n"], list(marks), "mark", "observed")

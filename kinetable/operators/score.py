@@ -46,13 +46,13 @@ def subject_params(df: DataFrame, theta: Mapping[str, float], wt: str = "wt", is
 
 
 def decayed_doses(records: DataFrame, id: str, time: str, evid: str, amt: str, rates: Mapping[str, Column],
-                  tie: Sequence[str] = (), hot=skew._LOOK) -> DataFrame:
+                  tie: Sequence[str] = (), hot=skew.LOOK) -> DataFrame:
     """Observation records with ``S_<name>`` for every rate; zero before the first dose.
 
     ``rates`` are expressions over the record's own columns (constant within a subject).
     """
     names = list(rates)
-    if hot is skew._LOOK:
+    if hot is skew.LOOK:
         hot = skew.find_hot(records, [id])
     rows = dosing(records, id, time, evid, tie, hot)
     lanes = F.explode(F.array(*[
@@ -127,20 +127,20 @@ def _predict(records, id, time, evid, amt, model, tie, hot, name) -> DataFrame:
 
 
 def score_1cmt_oral(records: DataFrame, params: Mapping[str, Any], id: str = "id", time: str = "time",
-                    evid: str = "evid", amt: str = "amt", tie: Sequence[str] = (), hot=skew._LOOK,
+                    evid: str = "evid", amt: str = "amt", tie: Sequence[str] = (), hot=skew.LOOK,
                     name: str = "pred") -> DataFrame:
     """Observation records with the one-compartment prediction; parameters are numbers or columns."""
     return _predict(records, id, time, evid, amt, one_cmt(params), tie, hot, name)
 
 
 def score_2cmt_oral(records: DataFrame, params: Mapping[str, Any], id: str = "id", time: str = "time",
-                    evid: str = "evid", amt: str = "amt", tie: Sequence[str] = (), hot=skew._LOOK,
+                    evid: str = "evid", amt: str = "amt", tie: Sequence[str] = (), hot=skew.LOOK,
                     name: str = "pred") -> DataFrame:
     return _predict(records, id, time, evid, amt, two_cmt(params), tie, hot, name)
 
 
 def score_parent_met(records: DataFrame, params: Mapping[str, Any], id: str = "id", time: str = "time",
-                     evid: str = "evid", amt: str = "amt", tie: Sequence[str] = (), hot=skew._LOOK) -> DataFrame:
+                     evid: str = "evid", amt: str = "amt", tie: Sequence[str] = (), hot=skew.LOOK) -> DataFrame:
     """Intravenous parent and its metabolite, one compartment each: CL, Vc, CLme, Vme."""
     v, vme = as_column(params["Vc"]), as_column(params["Vme"])
     k = as_column(params["CL"]) / v
@@ -154,7 +154,7 @@ def score_parent_met(records: DataFrame, params: Mapping[str, Any], id: str = "i
 
 def score_candidates(records: DataFrame, candidates: Sequence[Mapping[str, float]], keep: Sequence[str],
                      id: str = "id", time: str = "time", evid: str = "evid", amt: str = "amt",
-                     tie: Sequence[str] = (), hot=skew._LOOK) -> DataFrame:
+                     tie: Sequence[str] = (), hot=skew.LOOK) -> DataFrame:
     """(keep..., cand, pred): every observation under every candidate parameter set.
 
     Candidates are the caller's short list of numbers. All share one pass over the records; rows

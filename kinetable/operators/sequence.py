@@ -10,7 +10,7 @@ from kinetable.plans import skew
 
 
 def dosing(
-    df: DataFrame, id: str, time: str, evid: str, tie: Sequence[str] = (), hot=skew._LOOK,
+    df: DataFrame, id: str, time: str, evid: str, tie: Sequence[str] = (), hot=skew.LOOK,
     start: str | None = None,
 ) -> DataFrame:
     """Add ``occ`` (doses so far) and ``dose_time`` (time of the latest dose) to every record.
@@ -29,13 +29,13 @@ def dosing(
     return skew.by_heat(df, [id], lambda d, s: s.scan(d, [id], order, running=running), hot)
 
 
-def occasion(df: DataFrame, id: str, time: str, evid: str, tie: Sequence[str] = (), hot=skew._LOOK) -> DataFrame:
+def occasion(df: DataFrame, id: str, time: str, evid: str, tie: Sequence[str] = (), hot=skew.LOOK) -> DataFrame:
     """Occasion number: cumulative dose count per subject."""
     return dosing(df, id, time, evid, tie, hot).drop("dose_time")
 
 
 def time_after_dose(
-    df: DataFrame, id: str, time: str, evid: str, tie: Sequence[str] = (), hot=skew._LOOK
+    df: DataFrame, id: str, time: str, evid: str, tie: Sequence[str] = (), hot=skew.LOOK
 ) -> DataFrame:
     """``tad``: time since the latest dose, NULL before the first one."""
     out = dosing(df, id, time, evid, tie, hot)

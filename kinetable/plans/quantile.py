@@ -6,19 +6,16 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from kinetable.plans.skew import add_chunks, find_hot, hot_rows, same
+from kinetable.plans.skew import LOOK, add_chunks, find_hot, hot_rows, same
 from kinetable.session import cut_lineage
 
-_LOOK = object()
-
-
 def grouped(
     df: DataFrame,
     by: Sequence[str],
     value: str,
     aggs: Mapping[str, Column],
     probs: Mapping[str, float],
-    hot=_LOOK,
+    hot=LOOK,
 ) -> DataFrame:
     """``by`` + ordinary aggregates + linear-interpolated quantiles of ``value``.
 
@@ -28,7 +25,7 @@ def grouped(
     if not probs:
         return df.groupBy(*by).agg(*[c.alias(n) for n, c in aggs.items()])
     keyed, keys = (df, list(by)) if by else (df.withColumn("_whole", F.lit(0)), ["_whole"])
-    if hot is _LOOK:
+    if hot is LOOK:
         hot = find_hot(keyed, keys)
     if hot is None:
         return _builtin(df, by, value, aggs, probs)

@@ -186,18 +186,18 @@ class Chunked:
 
 Scan = Plain | Chunked
 
-_LOOK = object()
+LOOK = object()
 
 
 def by_heat(
-    df: DataFrame, keys: Sequence[str], build: Callable[[DataFrame, Scan], DataFrame], hot=_LOOK
+    df: DataFrame, keys: Sequence[str], build: Callable[[DataFrame, Scan], DataFrame], hot=LOOK
 ) -> DataFrame:
     """Run ``build`` with whole-key windows, and again in ranges for the keys above the limit.
 
     ``hot`` passes on what an earlier step over the same keys already found (a frame of keys, or
     None for "no hot key"); a superset of the hot keys is fine.
     """
-    if hot is _LOOK:
+    if hot is LOOK:
         hot = find_hot(df, keys)
     if hot is None:
         return build(df, Plain())
@@ -208,7 +208,7 @@ def by_heat(
     return cold.unionByName(warm)
 
 
-def row_number(df: DataFrame, order: Order, name: str, by: Sequence[str] = (), hot=_LOOK) -> DataFrame:
+def row_number(df: DataFrame, order: Order, name: str, by: Sequence[str] = (), hot=LOOK) -> DataFrame:
     """Sequential number along the order, per ``by`` or over the whole table.
 
     The whole-table form always works in ranges: there is no window without partition.
