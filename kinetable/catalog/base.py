@@ -68,10 +68,10 @@ def covs(spark: SparkSession, d: str) -> DataFrame:
     place = n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", F.col("r_name").alias("region"))
     return c.join(place, c.c_nationkey == place.n_nationkey).select(
         F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("acctbal"),
-        F.col("c_mktsegment").alias("segment"), "region", *_flags("c_custkey"))
+        F.col("c_mktsegment").alias("segment"), "region", *flags("c_custkey"))
 
 
-def _flags(key: str):
+def flags(key: str):
     k = F.col(key)
     return [
         F.when(k % 3 == 0, "yes").otherwise("no").alias("isPM"),
@@ -112,7 +112,8 @@ def pk_events(spark: SparkSession, d: str, hot) -> DataFrame:
     return ev.select(
         "event_id", "user_id", "evid", "amt", "dv", "occ",
         ((F.col("us") - F.col("first_us")) / F.lit(3.6e9)).alias("h"),
-        ((F.col("us") - F.col("dose_time")) / F.lit(3.6e9)).alias("t"))
+        ((F.col("us") - F.col("dose_time")) / F.lit(3.6e9)).alias("t"),
+        ((F.col("dose_time") - F.col("first_us")) / F.lit(3.6e9)).alias("dose_time"))
 
 
 PK = """ev0 AS (SELECT event_id, user_id, epoch_us(ts) AS us, CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END AS evid,

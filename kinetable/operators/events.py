@@ -51,3 +51,11 @@ def dv_long(df: DataFrame, observations: Mapping[str, str], keep: Sequence[str])
     """Several observation columns as (dvid, dv) rows; missing observations are left out."""
     wide = df.select(*keep, *[F.col(c).cast("double").alias(k) for k, c in observations.items()])
     return wide.unpivot(list(keep), list(observations), "dvid", "dv").filter(F.col("dv").isNotNull())
+
+
+def metabolite_ratio(areas: DataFrame, keys: Sequence[str], parent: str = "parent", metabolite: str = "metabolite",
+                     area: str = "auclast") -> DataFrame:
+    """Metabolite : parent ratio of areas from one row per (keys, dvid)."""
+    wide = areas.groupBy(*keys).agg(*[
+        F.max(F.when(F.col("dvid") == k, F.col(area))).alias(f"auc_{k}") for k in (parent, metabolite)])
+    return wide.withColumn("ratio", F.try_divide(f"auc_{metabolite}", f"auc_{parent}"))

@@ -158,9 +158,9 @@ def shrinkage(deviations: DataFrame, omega: Mapping[str, float]) -> DataFrame:
     return one.unpivot([], list(omega), "parameter", "shrinkage")
 
 
-def cov_effect_size(params: DataFrame, by: str, column: str, baseline) -> DataFrame:
+def cov_effect_size(params: DataFrame, by: str, column: str, baseline, hot=skew.LOOK) -> DataFrame:
     """Parameter statistics per covariate level and the change of the mean against the baseline level."""
-    out = stats_of(params, column, ["mean", "median", "min", "max", "std"], [by])
+    out = stats_of(params, column, ["mean", "median", "min", "max", "std"], [by], hot)
     base = out.filter(F.col(by) == baseline).select("mean").scalar()
     return out.withColumn("percent_change", F.try_divide(100 * (F.col("mean") - base), base))
 

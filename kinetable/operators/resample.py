@@ -15,17 +15,18 @@ from kinetable.plans.quantile import grouped
 from kinetable.session import cut_lineage
 
 
-def draws(subjects: DataFrame, id: str, stratum: str, replicates: int) -> DataFrame:
+def draws(subjects: DataFrame, id: str, stratum: str, replicates: int, hot=skew.LOOK) -> DataFrame:
     """(stratum, replicate, id, times): how often each replicate drew each subject.
 
     Every stratum is resampled to its own size. ``subjects`` holds one row per subject and is
-    written out once, since ranking, counting and drawing each read it.
+    read several times.
     """
-    base = cut_lineage(subjects.select(F.col(id), F.col(stratum)))
-    ranked = skew.row_number(base, [(id, False)], "_rank", by=[stratum])
-    sized = skew.attach(base, [stratum], {"_n": F.count(F.lit(1))})
-    slots = skew.row_number(sized, [(id, False)], "_draw", by=[stratum])
-    rolled = slots.select(stratum, "_n", "_draw", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("replicate"))
+    base = subjects.select(id, stratum)
+    if hot is skew.LOOK:
+        hot = skew.find_hot(base, [stratum])
+    ranked = skew.row_number(base, [(id, False)], "_rank", [stratum], hot)
+    sized = skew.attach(ranked, [stratum], {"_n": F.max("_rank")})
+    rolled = sized.select(stratum, "_n", F.col("_rank").alias("_draw"), F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("replicate"))
     key = F.concat_ws("|", F.col(stratum).cast("string"), F.col("replicate").cast("string"), F.col("_draw").cast("string"))
     hashed = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long")
     picked = rolled.select(stratum, "replicate", (hashed % F.col("_n") + 1).alias("_rank"))
@@ -33,10 +34,11 @@ def draws(subjects: DataFrame, id: str, stratum: str, replicates: int) -> DataFr
     return times.join(ranked, [stratum, "_rank"], "inner").select(stratum, "replicate", id, "times")
 
 
-def bootstrap(subjects: DataFrame, id: str, stratum: str, columns: Sequence[str], replicates: int) -> DataFrame:
+def bootstrap(subjects: DataFrame, id: str, stratum: str, columns: Sequence[str], replicates: int,
+              hot=skew.LOOK) -> DataFrame:
     """Mean of each column in every replicate."""
     base = cut_lineage(subjects.select(id, stratum, *columns))
-    drawn = draws(base, id, stratum, replicates).join(base.drop(stratum), id, "inner")
+    drawn = draws(base, id, stratum, replicates, hot).join(base.drop(stratum), id, "inner")
     times = F.col("times")
     return drawn.groupBy("replicate").agg(*[
         F.try_divide(F.sum(F.col(c) * times), F.sum(F.when(F.col(c).isNotNull(), times))).alias(c) for c in columns
@@ -61,7 +63,7 @@ def bootstrap_vcov(replicated: DataFrame, columns: Sequence[str]) -> DataFrame:
     return one.select(F.explode(rows).alias("p")).select("p.*")
 
 
-def sir(candidates: DataFrame, id: str, loglik: str, resamples: int) -> DataFrame:
+def sir(candidates: DataFrame, id: str, loglik: str, resamples: int, hot=skew.LOOK) -> DataFrame:
     """Systematic resampling of candidates in proportion to exp(loglik).
 
     Candidate i covers (W_(i-1), W_i] of the normalized cumulative weight; it is drawn once for
@@ -71,7 +73,7 @@ def sir(candidates: DataFrame, id: str, loglik: str, resamples: int) -> DataFram
     topped = skew.attach(candidates, [], {"_top": F.max(loglik)})
     weighted = topped.withColumn("_w", F.exp(F.col(loglik) - F.col("_top"))).withColumn("_g", F.lit(0))
     summed = skew.by_heat(weighted, ["_g"], lambda d, s: s.scan(
-        d, ["_g"], [(id, False)], running={"_cum": ("sum", F.col("_w"))}))
+        d, ["_g"], [(id, False)], running={"_cum": ("sum", F.col("_w"))}), hot)
     whole = skew.attach(summed, [], {"_all": F.max("_cum")})
 
     def upto(w):
@@ -89,7 +91,7 @@ def vpc_bands(observations: DataFrame, id: str, stratum: str, time_bin: str, dv:
     marks = {"p05": 0.05, "p50": 0.5, "p95": 0.95}
     base = observations.select(id, stratum, time_bin, dv)
     seen = grouped(base, [stratum, time_bin], dv, {"n": F.count(dv)}, marks, hot)
-    drawn = draws(base.select(id, stratum).distinct(), id, stratum, replicates)
+    drawn = draws(cut_lineage(base.select(id, stratum).distinct()), id, stratum, replicates, hot)
     copies = base.join(drawn.drop(stratum), id, "inner").withColumn(
         "_copy", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).drop("_copy")
     each = grouped(copies, ["replicate", stratum, time_bin], dv, {}, marks,

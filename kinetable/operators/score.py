@@ -49,12 +49,14 @@ def decayed_doses(records: DataFrame, id: str, time: str, evid: str, amt: str, r
                   tie: Sequence[str] = (), hot=skew.LOOK) -> DataFrame:
     """Observation records with ``S_<name>`` for every rate; zero before the first dose.
 
-    ``rates`` are expressions over the record's own columns (constant within a subject).
+    ``rates`` are expressions over the record's own columns (constant within a subject). Records
+    that already carry ``occ`` and ``dose_time`` are taken as they are.
     """
     names = list(rates)
     if hot is skew.LOOK:
         hot = skew.find_hot(records, [id])
-    rows = dosing(records, id, time, evid, tie, hot)
+    done = {"occ", "dose_time"} <= set(records.columns)
+    rows = records if done else dosing(records, id, time, evid, tie, hot)
     lanes = F.explode(F.array(*[
         F.struct(F.lit(i).alias("lane"), rates[n].cast("double").alias("rate")) for i, n in enumerate(names)
     ]))
@@ -108,11 +110,8 @@ def two_cmt(p: Mapping[str, Any]) -> tuple[dict[str, Column], Any]:
     ka = _apart(as_column(p["Ka"]), alpha, beta)
 
     def predict(s):
-        def part(lam, *rest):
-            den = None
-            for r in rest:
-                den = (r - lam) if den is None else den * (r - lam)
-            return (k21 - lam) / den
+        def part(lam, one, two):
+            return (k21 - lam) / ((one - lam) * (two - lam))
 
         shape = part(alpha, beta, ka) * s("alpha") + part(beta, alpha, ka) * s("beta") + part(ka, alpha, beta) * s("ka")
         return bio * ka / vc * shape
