@@ -175,7 +175,7 @@ def _(spark, d):
 
 # ---- residuals and likelihoods ----
 
-VAR = {"additive": f"{ADD}", "proportional": f"pred * pred * {PROP}", "combined": f"(pred * pred * {PROP} + {ADD})"}
+VAR = {"additive": f"{ADD}", "proportional": f"(pred * pred * {PROP})", "combined": f"(pred * pred * {PROP} + {ADD})"}
 
 
 def _ll(kind: str) -> str:
@@ -471,7 +471,7 @@ ids AS (SELECT DISTINCT user_id, "isPM" FROM obs), {draws_sql('ids', 20)},
 seen AS (SELECT "isPM", bin, count(c) AS n, quantile_cont(c, [0.05, 0.5, 0.95]) AS q FROM obs GROUP BY 1, 2),
 rep AS (SELECT replicate, o."isPM", bin, quantile_cont(c, [0.05, 0.5, 0.95]) AS q FROM drawn d JOIN obs o ON o.user_id = d.user_id GROUP BY 1, 2, 3),
 band AS (SELECT "isPM", bin, i, quantile_cont(q[i], 0.025) AS low, quantile_cont(q[i], 0.975) AS high FROM rep, range(1, 4) g(i) GROUP BY ALL)
-SELECT s."isPM", s.bin, n, CASE i WHEN 1 THEN 'p05' WHEN 2 THEN 'p50' ELSE 'p95' END AS mark, sig(s.q[i]) AS observed, sig(low) AS low, sig(high) AS high
+SELECT s."isPM", s.bin, n, CASE g.i WHEN 1 THEN 'p05' WHEN 2 THEN 'p50' ELSE 'p95' END AS mark, sig(s.q[g.i]) AS observed, sig(low) AS low, sig(high) AS high
 FROM seen s, range(1, 4) g(i) LEFT JOIN band b ON b."isPM" = s."isPM" AND b.bin = s.bin AND b.i = g.i""")
 def _(spark, d):
     hot = hot_users(spark, d)

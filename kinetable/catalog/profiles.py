@@ -116,7 +116,7 @@ SELECT user_id, occ, sig(t) AS t, CASE WHEN c >= 20 THEN c WHEN t < fq THEN 0.0
 def _(spark, d):
     hot = hot_users(spark, d)
     obs = records(spark, d, hot).filter("amt is null").select(*PROFILE, "t", "c")
-    return rounded(nca.blq(obs, PROFILE, 20.0, hot))
+    return rounded(nca.blq(obs, PROFILE, 20.0, hot), raw=["c"])
 
 
 _register("nca_report_llq", "n_obs", "cmax, tmax, auclast, lambdaz", llq=20.0)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -76,21 +77,21 @@ def group_multi_agg(df: DataFrame, by: Sequence[str], columns: Sequence[str], st
                     hot=skew.LOOK) -> DataFrame:
     """Columns x functions, named ``<column>_<function>``, one row per group."""
     stats = _expand(stats)
-    folds = [s for s in stats if s in _FOLDS]
+    names = [f"{c}_{s}" for c in columns for s in stats]
     quants = [s for s in stats if s in _QUANTILES]
-    out = df.groupBy(*by).agg(*[_FOLDS[s](c).alias(f"{c}_{s}") for c in columns for s in folds])
-    if quants:
-        if hot is skew.LOOK:
-            hot = skew.find_hot(df, by)
-        if hot is None:
-            return df.groupBy(*by).agg(*[
-                (_FOLDS[s](c) if s in _FOLDS else F.percentile(c, _QUANTILES[s])).alias(f"{c}_{s}")
-                for c in columns for s in stats
-            ])
-        for c in columns:
-            ranked = grouped(df, by, c, {}, {f"{c}_{s}": _QUANTILES[s] for s in quants}, hot)
-            out = skew.same(out, ranked, by, "left")
-    return out.select(*by, *[f"{c}_{s}" for c in columns for s in stats])
+    if quants and hot is skew.LOOK:
+        hot = skew.find_hot(df, by)
+    if not quants or hot is None:
+        return df.groupBy(*by).agg(*[
+            (_FOLDS[s](c) if s in _FOLDS else F.percentile(c, _QUANTILES[s])).alias(f"{c}_{s}")
+            for c in columns for s in stats
+        ])
+    parts = [
+        grouped(df, by, c, {f"{c}_{s}": _FOLDS[s](c) for s in stats if s in _FOLDS},
+                {f"{c}_{s}": _QUANTILES[s] for s in quants}, hot)
+        for c in columns
+    ]
+    return reduce(lambda a, b: skew.same(a, b, by, "inner"), parts).select(*by, *names)
 
 
 def group_count(df: DataFrame, by: Sequence[str], name: str = "count") -> DataFrame:

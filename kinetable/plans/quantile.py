@@ -31,7 +31,8 @@ def grouped(
         return _builtin(df, by, value, aggs, probs)
     cold = _builtin(same(keyed, F.broadcast(hot), keys, "left_anti"), keys, value, aggs, probs)
     warm = cut_lineage(same(keyed, F.broadcast(hot), keys, "left_semi"))
-    plain = warm.groupBy(*keys).agg(*[c.alias(n) for n, c in aggs.items()])
+    named = [c.alias(n) for n, c in aggs.items()]
+    plain = warm.groupBy(*keys).agg(*named) if named else warm.select(*keys).distinct()
     ranked = ranked_quantiles(warm, keys, value, probs, hot_rows(df.sparkSession))
     joined = same(plain, ranked, keys, "left")
     return cold.unionByName(joined.select(*keys, *aggs, *probs)).select(*by, *aggs, *probs)
