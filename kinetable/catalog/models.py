@@ -12,6 +12,7 @@ from kinetable.catalog.base import (
 from kinetable.catalog.profiles import nca_sql, report, summary_hot
 from kinetable.operators import agg, events, metrics, nca, resample, score
 from kinetable.plans import skew
+from kinetable.session import cut_lineage
 
 # ---- event tables ----
 
@@ -224,26 +225,33 @@ def _metrics_sql(name: str, kind: str, k: int) -> str:
   ('AIC', -2 * ll + {2.0 * k}), ('BIC', -2 * ll + {k} * ln(n)), ('Observations', n::DOUBLE), ('Subjects', s::DOUBLE), ('Parameters', {float(k)})) AS e(metric, value))"""
 
 
-def _metrics(spark, d, kind: str, k: int):
-    return metrics.fit_metrics(scored(spark, d), "user_id", "dv", "pred", kind, ADD, PROP, k)
+def stored(spark, d):
+    """Predictions written once, for several models' tables to read."""
+    return cut_lineage(scored(spark, d).select("user_id", "dv", "pred"))
+
+
+def _metrics(preds, kind: str, k: int):
+    return metrics.fit_metrics(preds, "user_id", "dv", "pred", kind, ADD, PROP, k)
 
 
 @query("fit_metrics", f"""WITH {SC}, {_metrics_sql('m', 'combined', 6)} SELECT "Metric", sig("Value") AS "Value" FROM m""")
 def _(spark, d):
-    return rounded(_metrics(spark, d, "combined", 6))
+    return rounded(_metrics(scored(spark, d), "combined", 6))
 
 
 @query("compare_metrics", f"""WITH {SC}, {_metrics_sql('a', 'additive', 5)}, {_metrics_sql('c', 'combined', 6)}
 SELECT a."Metric", sig(a."Value") AS "ADD", sig(c."Value") AS "COMB" FROM a JOIN c ON a."Metric" = c."Metric" """)
 def _(spark, d):
-    return rounded(metrics.compare_metrics({"ADD": _metrics(spark, d, "additive", 5), "COMB": _metrics(spark, d, "combined", 6)}))
+    preds = stored(spark, d)
+    return rounded(metrics.compare_metrics({"ADD": _metrics(preds, "additive", 5), "COMB": _metrics(preds, "combined", 6)}))
 
 
 @query("lr_test", f"""WITH {SC}, l AS (SELECT sum({_ll('additive')}) AS ll0, sum({_ll('combined')}) AS ll1 FROM sc),
 s AS (SELECT *, greatest(2 * (ll1 - ll0), 0.0) AS x FROM l)
 SELECT sig(ll0) AS ll0, sig(ll1) AS ll1, sig(x) AS statistic, CAST(2 AS BIGINT) AS df, sig(exp(-x / 2)) AS p FROM s""")
 def _(spark, d):
-    return rounded(metrics.lr_test(_metrics(spark, d, "additive", 4), _metrics(spark, d, "combined", 6), 2))
+    preds = stored(spark, d)
+    return rounded(metrics.lr_test(_metrics(preds, "additive", 4), _metrics(preds, "combined", 6), 2))
 
 
 @query("influential", f"""WITH {SC} SELECT user_id, sig(-2 * sum({_ll('combined')})) AS m2ll FROM sc GROUP BY user_id
@@ -256,8 +264,9 @@ def _(spark, d):
 SELECT 'one_cmt_add' AS model, "Metric", sig("Value") AS "Value" FROM a UNION ALL SELECT 'one_cmt_prop', "Metric", sig("Value") FROM p""")
 def _(spark, d):
     fits = {"one_cmt_add": ("additive", 5), "one_cmt_prop": ("proportional", 5), "one_cmt_comb": ("combined", 6)}
-    stored = {n: _metrics(spark, d, *k) for n, k in fits.items()}
-    return rounded(metrics.model_registry(stored, ["one_cmt_add", "one_cmt_prop"]))
+    preds = stored(spark, d)
+    tables = {n: _metrics(preds, *k) for n, k in fits.items()}
+    return rounded(metrics.model_registry(tables, ["one_cmt_add", "one_cmt_prop"]))
 
 
 # ---- candidate parameter sets ----
@@ -321,7 +330,7 @@ DEV = f"""{PK}, {nca_sql()}, dev AS (SELECT user_id, occ, auclast, cmax, {flags_
 
 
 def deviations(spark, d):
-    r = report(spark, d).select(*PROFILE, *PAIR, *flags("user_id"))
+    r = cut_lineage(report(spark, d).select(*PROFILE, *PAIR, *flags("user_id")))  # the mean and the rows read it
     return metrics.subject_deviation(r, PAIR)
 
 
@@ -421,7 +430,7 @@ BOOT = f"""{SUBJ}, {draws_sql('subj', REPLICATES)}, boot AS (SELECT replicate, a
 
 def subjects(spark, d):
     r = report(spark, d).groupBy("user_id").agg(F.avg("cmax").alias("cmax"), F.avg("auclast").alias("auclast"))
-    return r.withColumn("isPM", F.when(F.col("user_id") % 3 == 0, "yes").otherwise("no"))
+    return cut_lineage(r.withColumn("isPM", F.when(F.col("user_id") % 3 == 0, "yes").otherwise("no")))
 
 
 def strata_hot(spark, d):
@@ -429,8 +438,8 @@ def strata_hot(spark, d):
     return None if dataset(spark, d, "events").count() <= skew.hot_rows(spark) else skew.LOOK
 
 
-def replicated(spark, d):
-    return resample.bootstrap(subjects(spark, d), "user_id", "isPM", ["cmax", "auclast"], REPLICATES, strata_hot(spark, d))
+def replicated(spark, d, base=None):
+    return resample.bootstrap(base or subjects(spark, d), "user_id", "isPM", ["cmax", "auclast"], REPLICATES, strata_hot(spark, d))
 
 
 @query("bootstrap", f"WITH {BOOT} " + rsel("replicate", "cmax, auclast", "boot"))
@@ -462,7 +471,7 @@ def _(spark, d):
     st = base.agg(F.struct(F.count("cmax").alias("n"), F.avg("cmax").alias("m"), F.var_samp("cmax").alias("v")).alias("s")).scalar()
     n, m, v = F.col("s.n"), F.col("s.m"), F.col("s.v")
     ll = -0.5 * (n * F.ln(2 * math.pi * v) + ((n - 1) * v + n * F.pow(m - F.col("cmax"), F.lit(2.0))) / v)
-    cands = replicated(spark, d).withColumn("s", st).select("replicate", ll.alias("loglik"))
+    cands = replicated(spark, d, base).withColumn("s", st).select("replicate", ll.alias("loglik"))
     return rounded(resample.sir(cands, "replicate", "loglik", 20, None))
 
 

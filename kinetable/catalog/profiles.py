@@ -9,6 +9,7 @@ from kinetable.catalog.base import (
 )
 from kinetable.operators import agg, eda, nca, rel, rows, sequence
 from kinetable.plans import skew
+from kinetable.session import cut_lineage
 
 
 def nca_sql(method: str = "linuplogdown", llq: float | None = None, max_points: int | None = None,
@@ -201,6 +202,7 @@ def _(spark, d):
     "user_id, occ", "vz, cl, lambdaz, half_life, cmax_dose", "rep WHERE lambdaz IS NOT NULL"))
 def _(spark, d):
     r = report(spark, d).filter("lambdaz is not null").withColumnsRenamed({"vz_f_obs": "vz", "cl_f_obs": "cl"})
+    r = cut_lineage(r.select(*PROFILE, "vz", "cl", "lambdaz", "half_life", "cmax_dose"))  # five tables read it
     singles = [r.select(*PROFILE, c) for c in ("vz", "cl", "lambdaz", "half_life", "cmax_dose")]
     return rounded(rel.inner_join_many(singles, PROFILE, makeunique=True))
 

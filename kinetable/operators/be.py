@@ -154,15 +154,7 @@ def be_nonpar(data: DataFrame, by: Sequence[str] = (), log: bool = False, hot=sk
 def _kth_difference(x: np.ndarray, y: np.ndarray, k: int) -> float:
     """k-th smallest (from 1) of all x_i - y_j, for sorted y."""
     def at_most(v: float) -> int:
-        # x_i - y_j falls as y_j grows, so per x the pairs counted are a suffix of y
-        lo, hi = np.zeros(len(x), dtype=np.int64), np.full(len(x), len(y), dtype=np.int64)
-        while (lo < hi).any():
-            mid = (lo + hi) // 2
-            ok = x - y[np.minimum(mid, len(y) - 1)] <= v
-            open_ = lo < hi
-            hi = np.where(open_ & ok, mid, hi)
-            lo = np.where(open_ & ~ok, mid + 1, lo)
-        return int((len(y) - lo).sum())
+        return len(x) * len(y) - int(np.searchsorted(y, x - v, side="left").sum())
 
     low, high = float(x.min() - y[-1]), float(x.max() - y[0])
     if at_most(low) >= k:
@@ -170,11 +162,15 @@ def _kth_difference(x: np.ndarray, y: np.ndarray, k: int) -> float:
     while True:
         mid = low + (high - low) / 2
         if mid <= low or mid >= high:
-            return high
+            break
         if at_most(mid) >= k:
             high = mid
         else:
             low = mid
+    # x - v rounds, so ``high`` may be off in the last digits: take the pair difference next to it
+    at = np.clip(np.searchsorted(y, x - high)[:, None] + np.array([-1, 0, 1]), 0, len(y) - 1)
+    near = (x[:, None] - y[at]).ravel()
+    return float(near[np.abs(near - high).argmin()])
 
 
 def _within_task(sides: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -56,29 +56,21 @@ def cast_types(df: DataFrame, kinds: Mapping[str, str], strict: bool = True) ->
 def categorical_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Add ``<col>_code``: position (from 1) of the value among the column's sorted levels.
 
-    Levels are few by nature, yet nothing depends on it: they are numbered in ranges and joined
-    by a plan Spark sizes itself. Text levels cannot be cut into ranges, so their window is over
-    the distinct levels only.
+    The levels are joined back by a plan Spark sizes itself; nothing assumes that they are few.
     """
+    kinds = dict(df.dtypes)
     for c in columns:
         levels = df.select(c).filter(F.col(c).isNotNull()).distinct()
-        coded = skew.row_number(levels, [(c, False)], f"{c}_code") if dict(df.dtypes)[c] != "string" else (
-            _text_levels(levels, c))
-        df = df.join(coded, c, "left")
+        axis = _text_axis(c) if kinds[c] == "string" else F.col(c)
+        coded = skew.row_number(levels.withColumn("_axis", axis), [("_axis", False), (c, False)], f"{c}_code")
+        df = df.join(coded.drop("_axis"), c, "left")
     return df
 
 
-def _text_levels(levels: DataFrame, c: str) -> DataFrame:
-    """Number sorted text levels: by first character, then within it."""
-    from pyspark.sql import Window
-
-    head = levels.withColumn("_h", F.substring(c, 1, 1))
-    sizes = head.groupBy("_h").agg(F.count(F.lit(1)).alias("_m"))
-    before = Window.partitionBy(F.lit(0)).orderBy("_h").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.withColumn("_off", F.coalesce(F.sum("_m").over(before), F.lit(0))).drop("_m")
-    inside = F.row_number().over(Window.partitionBy("_h").orderBy(c))
-    return skew.same(head.withColumn("_rn", inside), sizes, ["_h"], "left").select(
-        c, (F.col("_off") + F.col("_rn")).alias(f"{c}_code"))
+def _text_axis(c: str) -> Column:
+    """The first seven bytes as a number: rises with the text's own order."""
+    head = F.rpad(F.hex(F.substring(F.encode(F.col(c), "UTF-8"), 1, 7)), 14, "0")
+    return F.conv(head, 16, 10).cast("double")
 
 
 def missing_flag(df: DataFrame, column: str, name: str) -> DataFrame:

@@ -36,8 +36,8 @@ def draws(subjects: DataFrame, id: str, stratum: str, replicates: int, hot=skew.
 
 def bootstrap(subjects: DataFrame, id: str, stratum: str, columns: Sequence[str], replicates: int,
               hot=skew.LOOK) -> DataFrame:
-    """Mean of each column in every replicate."""
-    base = cut_lineage(subjects.select(id, stratum, *columns))
+    """Mean of each column in every replicate. ``subjects`` is read several times: pass stored rows."""
+    base = subjects.select(id, stratum, *columns)
     drawn = draws(base, id, stratum, replicates, hot).join(base.drop(stratum), id, "inner")
     times = F.col("times")
     return drawn.groupBy("replicate").agg(*[

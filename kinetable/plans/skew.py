@@ -33,11 +33,16 @@ def hot_rows(spark: SparkSession) -> int:
     return int(spark.conf.get(HOT_ROWS_CONF, str(HOT_ROWS)))
 
 
-def same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Join on equal keys where NULL equals NULL; keeps the left key columns only."""
+def same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, bounded: bool = False) -> DataFrame:
+    """Join on equal keys where NULL equals NULL; keeps the left key columns only.
+
+    ``bounded`` says that the right side has at most a few rows per ``hot_rows`` of input and may
+    be broadcast.
+    """
     if not keys:
         raise ValueError("same() needs keys")
     side = right.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    side = F.broadcast(side) if bounded else side
     cond = None
     for k in keys:
         part = left[k].eqNullSafe(side[f"_k_{k}"])
@@ -45,7 +50,7 @@ def same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> Da
     return left.join(side, cond, how).drop(*[f"_k_{k}" for k in keys])
 
 
-def attach(df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column]) -> DataFrame:
+def attach(df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column], bounded: bool = False) -> DataFrame:
     """Group aggregates on every row: partial aggregation, then a join back.
 
     Unlike a window over the whole group no task ever holds a group, and the join is one that
@@ -53,7 +58,7 @@ def attach(df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column]) -> Da
     """
     named = [c.alias(n) for n, c in aggs.items()]
     if keys:
-        return same(df, df.groupBy(*keys).agg(*named), keys, "left")
+        return same(df, df.groupBy(*keys).agg(*named), keys, "left", bounded)
     total = df.agg(*named).select(F.struct(*aggs).alias("_t")).scalar()
     out = df.withColumn("_t", total)
     return out.withColumns({n: F.col(f"_t.{n}") for n in aggs}).drop("_t")
@@ -73,16 +78,24 @@ def find_hot(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
     return None if hot.isEmpty() else hot
 
 
-def add_chunks(df: DataFrame, keys: Sequence[str], order: Order, rows: int) -> tuple[DataFrame, list[str]]:
+def add_chunks(
+    df: DataFrame, keys: Sequence[str], order: Order, rows: int, bounded: bool = False
+) -> tuple[DataFrame, list[str]]:
     """Cut every key into contiguous ranges of the order columns of about ``rows`` rows.
 
     Equal-width ranges between the key's own minimum and maximum; a range that still holds too
     much (outliers, bursts) is cut once more, and a single repeated value is cut along the second
     order column. Counts, minima and maxima are exact, so a recomputed task sees the same ranges.
     Returns the frame and the range columns, whose ascending order is the requested order.
+
+    Per key there are at most 2 * ceil(n / rows) + 1 ranges per level. ``bounded`` tells that every
+    key is itself hot (or that there is no key), so that all ranges together number a few per
+    ``rows`` input rows and their statistics may be broadcast: the rows are then not shuffled here.
     """
     axis, desc = order[0]
-    steps = [(axis, desc, False), (axis, desc, False)] + [(n, d, True) for n, d in order[1:2]]
+    kinds = dict(df.dtypes)
+    ties = [(n, d, True) for n, d in order[1:2] if kinds[n] != "string"]
+    steps = [(axis, desc, False), (axis, desc, False), *ties]
     parts: list[str] = []
     for i, (name, down, only_ties) in enumerate(steps):
         x = F.col(name).cast("double")
@@ -96,6 +109,7 @@ def add_chunks(df: DataFrame, keys: Sequence[str], order: Order, rows: int) -> t
                 "_hi": F.max(x),
                 "_tie": F.min(at).eqNullSafe(F.max(at)),
             },
+            bounded,
         )
         k = F.when(F.col("_n") > rows, F.ceil(F.col("_n") / F.lit(rows)) * 2).otherwise(F.lit(1))
         spread = F.col("_hi") > F.col("_lo")
@@ -211,17 +225,20 @@ def by_heat(
 def row_number(df: DataFrame, order: Order, name: str, by: Sequence[str] = (), hot=LOOK) -> DataFrame:
     """Sequential number along the order, per ``by`` or over the whole table.
 
-    The whole-table form always works in ranges: there is no window without partition.
+    The whole table counts as one group: within the row limit one task sorts it, beyond that it
+    is numbered in ranges.
     """
     one = {name: ("count", F.lit(1))}
     if by:
         return by_heat(df, by, lambda d, s: s.scan(d, by, order, running=one), hot)
-    rows = max(1, hot_rows(df.sparkSession) // 8)
-    cut, parts = add_chunks(df, [], order, rows)
+    limit = hot_rows(df.sparkSession)
+    if df.count() <= limit:
+        return Plain().scan(df.withColumn("_g", F.lit(0)), ["_g"], order, running=one).drop("_g")
+    cut, parts = add_chunks(df, [], order, max(1, limit // 8), bounded=True)
     local = Window.partitionBy(*parts).orderBy(*_sorts(order))
     sizes = cut.groupBy(*parts).agg(F.count(F.lit(1)).alias("_m"))
-    # one row per range, all on one key: ranges number total_rows / rows, not rows
+    # one row per range, all on one key: ranges number a few per limit / 8 rows
     gathered = Window.partitionBy(F.lit(0)).orderBy(*parts).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn("_off", F.coalesce(F.sum("_m").over(gathered), F.lit(0))).drop("_m")
-    numbered = same(cut.withColumn("_rn", F.row_number().over(local)), offsets, parts, "left")
+    numbered = same(cut.withColumn("_rn", F.row_number().over(local)), offsets, parts, "left", bounded=True)
     return numbered.withColumn(name, F.col("_off") + F.col("_rn")).select(*df.columns, name)
