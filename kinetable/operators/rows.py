@@ -40,9 +40,13 @@ def last_n(df: DataFrame, n: int, *order: tuple[str, bool]) -> DataFrame:
     return df.orderBy(*back).limit(n)
 
 
+HEAD = 10_000  # slices ending here or earlier are taken from the sorted head, without numbering the table
+
+
 def row_slice(df: DataFrame, order: skew.Order, start: int, stop: int, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows start..stop (from 1, both included) under the order; one cell when start = stop and one column."""
-    cut = skew.row_number(df, order, "_rn").filter(F.col("_rn").between(start, stop)).drop("_rn")
+    head = order_by(df, *order).limit(stop) if stop <= HEAD else df
+    cut = skew.row_number(head, order, "_rn").filter(F.col("_rn").between(start, stop)).drop("_rn")
     return cut.select(*columns) if columns else cut
 
 
@@ -59,5 +63,5 @@ def page_groups(df: DataFrame, id: str, panels: int) -> DataFrame:
 
 def pick_subject(df: DataFrame, id: str, first: int, last: int | None = None) -> DataFrame:
     """Records of the first-th (to last-th) subject."""
-    wanted = subject_index(df, id).filter(F.col("n").between(first, last or first))
-    return df.join(wanted.select(id), id, "left_semi")
+    wanted = row_slice(df.select(id).distinct(), [(id, False)], first, last or first)
+    return df.join(wanted, id, "left_semi")
