@@ -1,42 +1,41 @@
-"""Area of one concentration segment (t1, c1) -> (t2, c2)."""
+"""Area of one concentration segment (t1, c1) -> (t2, c2), as SQL expressions.
 
-from __future__ import annotations
+Arguments and results are expression texts; ``lg`` is the text of the segment's log-scale test.
+"""
 
-from pyspark.sql import Column, functions as F
+from __future__ import annotations
 
 METHODS = ("linear", "linuplogdown", "linlog")
 
 
-def log_rule(method: str, t1: Column, c1: Column, t2: Column, c2: Column, tmax: Column) -> Column:
+def log_rule(method: str, t1: str, c1: str, t2: str, c2: str, tmax: str) -> str:
     """Whether the segment declines in a way the method integrates on the log scale."""
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}")
     if method == "linear":
-        return F.lit(False)
-    falls = (c2 > 0) & (c2 < c1) & (t2 > t1)
-    return falls if method == "linuplogdown" else falls & (t1 >= tmax)
+        return "false"
+    falls = f"{c2} > 0 AND {c2} < {c1} AND {t2} > {t1}"
+    return f"({falls})" if method == "linuplogdown" else f"({falls} AND {t1} >= {tmax})"
 
 
-def auc(is_log: Column, t1: Column, c1: Column, t2: Column, c2: Column) -> Column:
-    h = t2 - t1
-    return F.when(is_log, h * (c1 - c2) / F.ln(c1 / c2)).otherwise(h * (c1 + c2) / 2)
+def auc(lg: str, t1: str, c1: str, t2: str, c2: str) -> str:
+    h = f"({t2} - {t1})"
+    return f"CASE WHEN {lg} THEN {h} * ({c1} - {c2}) / ln({c1} / {c2}) ELSE {h} * ({c1} + {c2}) / 2 END"
 
 
-def aumc(is_log: Column, t1: Column, c1: Column, t2: Column, c2: Column) -> Column:
-    h = t2 - t1
-    k = F.ln(c1 / c2) / h
-    moment = (t1 * c1 - t2 * c2) / k + (c1 - c2) / (k * k)
-    return F.when(is_log, moment).otherwise(h * (t1 * c1 + t2 * c2) / 2)
+def aumc(lg: str, t1: str, c1: str, t2: str, c2: str) -> str:
+    h = f"({t2} - {t1})"
+    k = f"(ln({c1} / {c2}) / {h})"
+    return (f"CASE WHEN {lg} THEN ({t1} * {c1} - {t2} * {c2}) / {k} + ({c1} - {c2}) / ({k} * {k}) "
+            f"ELSE {h} * ({t1} * {c1} + {t2} * {c2}) / 2 END")
 
 
-def clipped_auc(
-    is_log: Column, t1: Column, c1: Column, t2: Column, c2: Column, a: Column, b: Column
-) -> Column:
+def clipped_auc(lg: str, t1: str, c1: str, t2: str, c2: str, a: str, b: str) -> str:
     """The part of the segment inside [a, b], its ends interpolated by the segment's own rule."""
-    lo, hi = F.greatest(t1, a), F.least(t2, b)
+    lo, hi = f"greatest({t1}, {a})", f"least({t2}, {b})"
 
-    def at(x: Column) -> Column:
-        part = (x - t1) / (t2 - t1)
-        return F.when(is_log, c1 * F.exp(part * F.ln(c2 / c1))).otherwise(c1 + (c2 - c1) * part)
+    def at(x: str) -> str:
+        part = f"({x} - {t1}) / ({t2} - {t1})"
+        return f"(CASE WHEN {lg} THEN {c1} * exp({part} * ln({c2} / {c1})) ELSE {c1} + ({c2} - {c1}) * {part} END)"
 
-    return F.when(lo < hi, auc(is_log, lo, at(lo), hi, at(hi)))
+    return f"CASE WHEN {lo} < {hi} THEN {auc(lg, lo, at(lo), hi, at(hi))} END"

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from kinetable.functions import areas
 from kinetable.plans import skew
@@ -88,45 +88,35 @@ def _scored(d: DataFrame, scan: skew.Scan, keys: Sequence[str], llq, max_points)
     if llq is not None:
         d = _blq(d, scan, keys, llq)
     # records without a concentration sort behind all others, so successors skip them
-    d = d.withColumn("_t", F.when(F.col("c").isNotNull(), F.col("t")))
-    t, c = F.col("_t"), F.col("c")
-    pos = c > 0
-    x, y = F.when(pos, t), F.when(pos, F.ln(c))
+    d = d.selectExpr("*", "CASE WHEN c IS NOT NULL THEN t END AS _t",
+                     "CASE WHEN c > 0 THEN t END AS _x", "CASE WHEN c > 0 THEN ln(c) END AS _y")
     running = {
-        "_n": ("count", x),
-        "_sx": ("sum", x),
-        "_sy": ("sum", y),
-        "_sxx": ("sum", x * x),
-        "_sxy": ("sum", x * y),
-        "_syy": ("sum", y * y),
+        "_n": ("count", F.expr("_x")),
+        "_sx": ("sum", F.expr("_x")),
+        "_sy": ("sum", F.expr("_y")),
+        "_sxx": ("sum", F.expr("_x * _x")),
+        "_sxy": ("sum", F.expr("_x * _y")),
+        "_syy": ("sum", F.expr("_y * _y")),
     }
     d = scan.scan(d, keys, [("_t", True), ("c", True)], running=running, prev={"_t2": "_t", "_c2": "c"})
     d = scan.group(d, keys, {
-        "_peak": F.max(F.when(c.isNotNull(), F.struct(c.alias("c"), (-t).alias("nt")))),
-        "_tlast": F.max(x),
-        "_tfirst": F.min(t),
-        "_route": F.max("route"),
-        "_dur": F.max("dur"),
-        "_tau": F.max("tau"),
+        "_peak": F.expr("max(CASE WHEN c IS NOT NULL THEN struct(c AS c, -_t AS nt) END)"),
+        "_tlast": F.expr("max(_x)"),
+        "_tfirst": F.expr("min(_t)"),
+        "_route": F.expr("max(route)"),
+        "_dur": F.expr("max(dur)"),
+        "_tau": F.expr("max(tau)"),
     })
-    n = F.col("_n")
-    dx = n * F.col("_sxx") - F.col("_sx") * F.col("_sx")
-    dy = n * F.col("_syy") - F.col("_sy") * F.col("_sy")
-    dxy = n * F.col("_sxy") - F.col("_sx") * F.col("_sy")
-    r2 = F.try_divide(dxy * dxy, dx * dy)
-    bolus = (F.col("_route") == "iv") & (F.coalesce("_dur", F.lit(0.0)) == 0)
-    d = d.withColumns({
-        "_tmax": -F.col("_peak.nt"),
-        "_from": F.when(bolus, F.lit(0.0)).otherwise(-F.col("_peak.nt")),
-        "_slope": F.try_divide(dxy, dx),
-        "_r2": r2,
-    })
-    fits = pos & (t > F.col("_from")) & (n >= 3) & (F.col("_slope") < 0)
-    if max_points is not None:
-        fits = fits & (n <= max_points)
-    adj = F.when(fits, 1 - (1 - F.col("_r2")) * (n - 1) / (n - 2))
-    d = d.withColumn("_adj", adj)
-    return scan.group(d, keys, {"_best": F.max("_adj")})
+    d = d.selectExpr(
+        "*", "-_peak.nt AS _tmax", "_n * _sxx - _sx * _sx AS _dx", "_n * _syy - _sy * _sy AS _dy",
+        "_n * _sxy - _sx * _sy AS _dxy",
+        "CASE WHEN _route = 'iv' AND coalesce(_dur, 0.0D) = 0 THEN 0.0D ELSE -_peak.nt END AS _from")
+    cap = "" if max_points is None else f"AND _n <= {int(max_points)}"
+    d = d.selectExpr(
+        "*", "try_divide(_dxy, _dx) AS _slope",
+        f"""CASE WHEN c > 0 AND _t > _from AND _n >= 3 AND try_divide(_dxy, _dx) < 0 {cap}
+            THEN 1 - (1 - try_divide(_dxy * _dxy, _dx * _dy)) * (_n - 1) / (_n - 2) END AS _adj""")
+    return scan.group(d, keys, {"_best": F.expr("max(_adj)")})
 
 
 def _slug(x: float) -> str:
@@ -162,96 +152,75 @@ def nca_report(
 
 
 def _aggregate(d: DataFrame, keys, method, intervals, add_c0) -> DataFrame:
-    t1, c1, t2, c2 = F.col("_t"), F.col("c"), F.col("_t2"), F.col("_c2")
-    inside = t2 <= F.col("_tlast")
-    is_log = areas.log_rule(method, t1, c1, t2, c2, F.col("_tmax"))
-    at_start = t1 == F.col("_tfirst")
-    c0 = F.when(at_start, F.coalesce(
-        F.when((c2 > 0) & (c2 < c1) & (t2 > t1), F.exp(F.ln(c1) - t1 * (F.ln(c2) - F.ln(c1)) / (t2 - t1))), c1))
-
-    auc_part = F.when(inside, areas.auc(is_log, t1, c1, t2, c2))
-    aumc_part = F.when(inside, areas.aumc(is_log, t1, c1, t2, c2))
+    seg = ("_t", "c", "_t2", "_c2")
+    d = d.selectExpr(
+        "*", "_t2 <= _tlast AS _inside", f"{areas.log_rule(method, *seg, '_tmax')} AS _lg",
+        """CASE WHEN _t = _tfirst THEN CASE WHEN _c2 > 0 AND _c2 < c AND _t2 > _t
+           THEN exp(ln(c) - _t * (ln(_c2) - ln(c)) / (_t2 - _t)) ELSE c END END AS _c0""")
+
+    def total(piece: str, name: str, lead: str = "") -> str:
+        inside = f"CASE WHEN _inside THEN {piece} END"
+        if lead:
+            inside = f"coalesce({inside} + {lead}, {inside}, {lead})"
+        return f"sum({inside}) AS {name}"
+
+    lead = {"auc": "", "aumc": ""}
     if add_c0:  # area between the dose and the first sample
-        zero = F.lit(0.0)
-        start = F.when(F.col("_route") == "ev", zero).otherwise(c0)
-        lead = at_start & (t1 > 0)
-        down = (start > c1) & (c1 > 0) & F.lit(method != "linear")
-        before = F.when(lead, areas.auc(down, zero, start, t1, c1))
-        before_m = F.when(lead, areas.aumc(down, zero, start, t1, c1))
-        auc_part = F.coalesce(auc_part + before, auc_part, before)
-        aumc_part = F.coalesce(aumc_part + before_m, aumc_part, before_m)
-
-    pieces = [
-        F.sum(F.when(inside, areas.clipped_auc(is_log, t1, c1, t2, c2, F.lit(float(a)), F.lit(float(b))))).alias(
-            interval_name(a, b))
-        for a, b in intervals
-    ]
-    kept = F.when(F.col("_adj") >= F.col("_best") - TOLERANCE,
-                  F.struct(
-                      F.col("_n").alias("n"), F.col("_slope").alias("b"), F.col("_adj").alias("r"), t1.alias("t"),
-                      ((F.col("_sy") - F.col("_slope") * F.col("_sx")) / F.col("_n")).alias("a")))
-    return d.groupBy(*keys).agg(
-        F.count("c").alias("n_obs"),
-        F.max("amt").alias("dose"),
-        F.max("_route").alias("route"),
-        F.max("_tau").alias("tau"),
-        F.max("_dur").alias("dur"),
-        F.max("c").alias("cmax"),
-        F.max("_tmax").alias("tmax"),
-        F.max("_tlast").alias("tlast"),
-        F.max(F.when(t1 == F.col("_tlast"), c1)).alias("clast"),
-        F.max(c0).alias("c0"),
-        F.sum(auc_part).alias("auclast"),
-        F.sum(aumc_part).alias("aumclast"),
-        F.sum(F.when(inside, areas.clipped_auc(is_log, t1, c1, t2, c2, F.lit(0.0), F.col("_tau")))).alias("auctau"),
-        *pieces,
-        F.max(kept).alias("_lz"),
-    )
+        start = "(CASE WHEN _route = 'ev' THEN 0.0D ELSE _c0 END)"
+        down = f"({start} > c AND c > 0 AND {'false' if method == 'linear' else 'true'})"
+        for name, rule in (("auc", areas.auc), ("aumc", areas.aumc)):
+            lead[name] = f"(CASE WHEN _t = _tfirst AND _t > 0 THEN {rule(down, '0.0D', start, '_t', 'c')} END)"
+    spans = [total(areas.clipped_auc("_lg", *seg, f"{float(a)}D", f"{float(b)}D"), interval_name(a, b))
+             for a, b in intervals]
+    return d.groupBy(*keys).agg(*[F.expr(e) for e in (
+        "count(c) AS n_obs", "max(amt) AS dose", "max(_route) AS route", "max(_tau) AS tau", "max(_dur) AS dur",
+        "max(c) AS cmax", "max(_tmax) AS tmax", "max(_tlast) AS tlast",
+        "max(CASE WHEN _t = _tlast THEN c END) AS clast", "max(_c0) AS c0",
+        total(areas.auc("_lg", *seg), "auclast", lead["auc"]),
+        total(areas.aumc("_lg", *seg), "aumclast", lead["aumc"]),
+        total(areas.clipped_auc("_lg", *seg, "0.0D", "_tau"), "auctau"),
+        *spans,
+        f"""max(CASE WHEN _adj >= _best - {TOLERANCE}D THEN struct(_n AS n, _slope AS b, _adj AS r, _t AS t,
+            (_sy - _slope * _sx) / _n AS a) END) AS _lz""",
+    )])
 
 
 def _derived(d: DataFrame, keys, intervals) -> DataFrame:
-    lz, clast, tlast = F.col("lambdaz"), F.col("clast"), F.col("tlast")
-    d = d.withColumns({
-        "lambdaz": -F.col("_lz.b"),
-        "n_lambdaz": F.col("_lz.n"),
-        "adj_r2": F.col("_lz.r"),
-        "lambdaz_from": F.col("_lz.t"),
-        "lambdaz_intercept": F.col("_lz.a"),
-    }).drop("_lz")
-
-    def extend(name: str, a: Column, b: Column) -> Column:
+    own = [f"`{c}`" for c in d.columns if c != "_lz"]
+    d = d.selectExpr(*own, "-_lz.b AS lambdaz", "_lz.n AS n_lambdaz", "_lz.r AS adj_r2", "_lz.t AS lambdaz_from",
+                     "_lz.a AS lambdaz_intercept")
+
+    def extend(name: str, a: str, b: str) -> str:
         """Add the extrapolated part of [a, b] beyond the last quantifiable time."""
-        a = F.greatest(a, tlast)
-        tail = clast * (F.exp(-lz * (a - tlast)) - F.exp(-lz * (b - tlast))) / lz
-        tail = F.when((b > a) & lz.isNotNull(), tail)
-        return F.coalesce(F.col(name) + tail, F.col(name), tail)
-
-    d = d.withColumns({
-        "half_life": F.ln(F.lit(2.0)) / lz,
-        "aucinf_obs": F.col("auclast") + clast / lz,
-        "aumcinf_obs": F.col("aumclast") + clast * tlast / lz + clast / (lz * lz),
-        "auctau": F.when(F.col("tau").isNotNull(), extend("auctau", F.lit(0.0), F.col("tau"))),
-        **{interval_name(a, b): extend(interval_name(a, b), F.lit(float(a)), F.lit(float(b))) for a, b in intervals},
-    })
-    infused = F.when(F.col("route") == "inf", F.coalesce("dur", F.lit(0.0)) / 2).otherwise(F.lit(0.0))
-    dose, oral = F.col("dose"), F.col("route") == "ev"
-    cl = F.try_divide(dose, F.col("aucinf_obs"))
-    d = d.withColumns({
-        "mrtlast": F.try_divide(F.col("aumclast"), F.col("auclast")) - infused,
-        "mrtinf_obs": F.try_divide(F.col("aumcinf_obs"), F.col("aucinf_obs")) - infused,
-        "_cl": cl,
-        "_vz": F.try_divide(dose, lz * F.col("aucinf_obs")),
-        "cl_ss": F.try_divide(dose, F.col("auctau")),
-        "cmax_dose": F.try_divide(F.col("cmax"), dose),
-        "auc_dose": F.try_divide(F.col("auclast"), dose),
-    })
-    return d.withColumns({
-        "kel": F.try_divide(F.col("_cl"), F.col("_vz")),
-        "cl_obs": F.when(~oral, F.col("_cl")),
-        "vz_obs": F.when(~oral, F.col("_vz")),
-        "cl_f_obs": F.when(oral, F.col("_cl")),
-        "vz_f_obs": F.when(oral, F.col("_vz")),
-    }).drop("_cl", "_vz")
+        a = f"greatest({a}, tlast)"
+        tail = f"clast * (exp(-lambdaz * ({a} - tlast)) - exp(-lambdaz * ({b} - tlast))) / lambdaz"
+        tail = f"CASE WHEN {b} > {a} AND lambdaz IS NOT NULL THEN {tail} END"
+        return f"coalesce({name} + {tail}, {name}, {tail})"
+
+    longer = {interval_name(a, b): extend(interval_name(a, b), f"{float(a)}D", f"{float(b)}D") for a, b in intervals}
+    longer["auctau"] = f"CASE WHEN tau IS NOT NULL THEN {extend('auctau', '0.0D', 'tau')} END"
+    d = d.selectExpr(
+        *[f"{longer[c]} AS {c}" if c in longer else f"`{c}`" for c in d.columns],
+        "ln(2.0D) / lambdaz AS half_life",
+        "auclast + clast / lambdaz AS aucinf_obs",
+        "aumclast + clast * tlast / lambdaz + clast / (lambdaz * lambdaz) AS aumcinf_obs")
+    infused = "CASE WHEN route = 'inf' THEN coalesce(dur, 0.0D) / 2 ELSE 0.0D END"
+    d = d.selectExpr(
+        "*",
+        f"try_divide(aumclast, auclast) - {infused} AS mrtlast",
+        f"try_divide(aumcinf_obs, aucinf_obs) - {infused} AS mrtinf_obs",
+        "try_divide(dose, aucinf_obs) AS _cl",
+        "try_divide(dose, lambdaz * aucinf_obs) AS _vz",
+        "try_divide(dose, auctau) AS cl_ss",
+        "try_divide(cmax, dose) AS cmax_dose",
+        "try_divide(auclast, dose) AS auc_dose")
+    return d.selectExpr(
+        *[f"`{c}`" for c in d.columns if c not in ("_cl", "_vz")],
+        "try_divide(_cl, _vz) AS kel",
+        "CASE WHEN route <> 'ev' THEN _cl END AS cl_obs",
+        "CASE WHEN route <> 'ev' THEN _vz END AS vz_obs",
+        "CASE WHEN route = 'ev' THEN _cl END AS cl_f_obs",
+        "CASE WHEN route = 'ev' THEN _vz END AS vz_f_obs")
 
 
 def mean_profile(records: DataFrame, group: Sequence[str], time: str, conc: str) -> DataFrame:
