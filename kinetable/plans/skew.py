@@ -151,16 +151,25 @@ class Plain:
 
 @dataclass(frozen=True)
 class Chunked:
-    """The same passes with every key cut into ranges of about ``rows`` rows."""
+    """The same passes with every key cut into ranges of about ``rows`` rows.
+
+    ``hot`` names the columns by which the rows were found hot. A pass by just these has a bounded
+    number of keys and ranges, whose summaries are broadcast; the rows are then shuffled once.
+    """
 
     rows: int
+    hot: tuple[str, ...] = ()
+
+    def _bounded(self, keys: Sequence[str]) -> bool:
+        return set(keys) <= set(self.hot)
 
     def scan(
         self, df: DataFrame, keys: Sequence[str], order: Order,
         running: Running | None = None, prev: Mapping[str, str] | None = None,
     ) -> DataFrame:
         running, prev = dict(running or {}), dict(prev or {})
-        cut, parts = add_chunks(df, keys, order, self.rows)
+        bounded = self._bounded(keys)
+        cut, parts = add_chunks(df, keys, order, self.rows, bounded)
         cut = cut_lineage(cut)  # read twice below
         within = [*keys, *parts]
         w = Window.partitionBy(*within).orderBy(*_sorts(order))
@@ -182,7 +191,7 @@ class Chunked:
             carry["_b_end"] = F.lag("_end").over(across)
         side = side.select(*within, *[c.alias(n) for n, c in carry.items()])
 
-        out = same(rows, side, within, "left")
+        out = same(rows, side, within, "left", bounded)
         done = {}
         for n, (f, _) in running.items():
             mine, earlier = F.col(f"_l_{n}"), F.col(f"_b_{n}")
@@ -195,7 +204,7 @@ class Chunked:
         return out.withColumns(done).select(*df.columns, *running, *prev)
 
     def group(self, df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column]) -> DataFrame:
-        return attach(cut_lineage(df), keys, aggs)
+        return attach(cut_lineage(df), keys, aggs, self._bounded(keys))
 
 
 Scan = Plain | Chunked
@@ -209,7 +218,8 @@ def by_heat(
     """Run ``build`` with whole-key windows, and again in ranges for the keys above the limit.
 
     ``hot`` passes on what an earlier step over the same keys already found (a frame of keys, or
-    None for "no hot key"); a superset of the hot keys is fine.
+    None for "no hot key"). It may be a few keys too many, or name only some of the columns by which
+    ``build`` groups, but its size must be bounded as in ``find_hot``: it is broadcast.
     """
     if hot is LOOK:
         hot = find_hot(df, keys)
@@ -218,7 +228,7 @@ def by_heat(
     names = hot.columns
     cold = build(same(df, F.broadcast(hot), names, "left_anti"), Plain())
     apart = cut_lineage(same(df, F.broadcast(hot), names, "left_semi"))
-    warm = build(apart, Chunked(hot_rows(df.sparkSession)))
+    warm = build(apart, Chunked(hot_rows(df.sparkSession), tuple(names)))
     return cold.unionByName(warm)
 
 

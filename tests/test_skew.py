@@ -75,7 +75,7 @@ def test_salted_join(spark, skewed, how):
 
 def test_no_key_is_collected_whole(spark, skewed, tiny_limit):
     """The plan for hot keys never partitions a row-level window by the key alone."""
-    cut = Chunked(10).scan(skewed, ["k"], [("t", False), ("row", False)], {"s": ("sum", F.col("v"))})
+    cut = Chunked(10).scan(skewed, ["k"], [("t", False), ("row", False)], {"s": ("sum", F.col("v"))}, {"b": "t"})
     plan = cut._jdf.queryExecution().optimizedPlan().toString()
     windows = [line for line in plan.split("\n") if "Window [" in line and "row_number" in line]
     assert windows and all("_c0" in w for w in windows)
