@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid
+from . import decontam, langid, pagetext
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +26,53 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.fit(docs.where(~langid.held_out() & F.col("doc_id").isNotNull()))
     found = langid.identify(docs.withColumn("held_out", langid.held_out()), model)
     return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
+@query
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return pagetext.extract(pages).select("page_id", "url", "text", "n_chars")
+
+
+@query
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in every whole document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    seen = decontam.find(docs, table(spark, sf_dir, "benchmark"))
+    found = F.col("found")
+    return seen.select(
+        "doc_id",
+        found["n_words"].alias("n_words"),
+        decontam.hits(found).alias("n_hit"),
+        F.size(found["items"]).cast("long").alias("n_items"),
+        F.sha2(F.array_join(found["items"], ","), 256).alias("items_sha256"),
+        decontam.is_contaminated(found).alias("contaminated"),
+    )
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{decontam.WORD}')"
+ORACLES["op2_decontamination"] = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+bw AS (
+    SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS win
+    FROM (SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+          FROM (SELECT item_id, w, least(13, len(w)) AS n FROM b WHERE len(w) > 0))
+),
+dw AS (
+    SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS win
+    FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+          FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n)
+),
+m AS (SELECT doc_id, i, dw.n, item_id FROM dw JOIN bw ON dw.n = bw.n AND dw.win = bw.win),
+h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM m) GROUP BY doc_id),
+t AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM m) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
