@@ -47,3 +47,8 @@ def components(links: DataFrame) -> DataFrame:
         labels = cut_lineage(labels.join(at("label", "to"), "label", "left").select("id", F.coalesce("to", "label").alias("label")))
     least = labels.groupBy("label").agg(F.min("id").alias("component"))
     return labels.join(least, "label").select("id", "component")
+
+
+def sized_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
+    """``df``, whose rows are a few numbers each, with a broadcast hint if it has at most ``max_rows`` rows."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

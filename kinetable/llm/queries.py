@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, pagetext
+from . import decontam, langid, minhash, mixing, pagetext, sharding
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,33 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
     sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
 """
+
+
+@query
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards 0 to 39 by document id, and where each document goes with one shard more."""
+    text = F.coalesce("text", F.lit(""))
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.lit("key").alias("law")
+    )
+    grown = sharding.shard_of([F.col("doc_id")], sharding.topology(41))
+    placed = sharding.assign(docs.withColumn("grown_shard", grown), sharding.topology(40))
+    return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
+@query
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document the mix takes."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count().alias("size"), F.xxhash64("text").alias("h"))
+    mixed = mixing.mix(docs, F.array("source"), [F.col("doc_id"), F.col("h")], F.col("size"))
+    own = F.element_at("quotas", 1)
+    return mixed.select(
+        "doc_id", "size", own["size"].alias("source_size"), own["target"].alias("target"), (F.col("size") * F.col("copies")).alias("taken"),
+    )
+
+
+@query
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose two-word shingles agree to 80 %."""
+    found = minhash.group(table(spark, sf_dir, "documents").select("doc_id", "text"), width=2)
+    return found.withColumnRenamed("id", "doc_id")
