@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, minhash, mixing, pagetext, sharding
+from . import decontam, embeddings, langid, minhash, mixing, pagetext, sharding, suffix
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,16 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose two-word shingles agree to 80 %."""
     found = minhash.group(table(spark, sf_dir, "documents").select("doc_id", "text"), width=2)
     return found.withColumnRenamed("id", "doc_id")
+
+
+@query
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors linked by cosine, with their components."""
+    return embeddings.link(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+@query
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without 200-byte strings that occur more than once."""
+    docs = suffix.repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", suffix.digest().alias("d")).select("doc_id", "d.*")
