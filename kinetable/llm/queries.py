@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, embeddings, langid, minhash, mixing, pagetext, sharding, suffix
+from . import decontam, embeddings, langid, linedup, minhash, mixing, packing, pagetext, sharding, suffix
 from .common import table
 
+VOCABULARY = os.environ.get("KINETABLE_VOCABULARY", "file:///opt/tokenizers/byte_bpe_50k.tiktoken")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -119,3 +122,20 @@ def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without 200-byte strings that occur more than once."""
     docs = suffix.repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return docs.select("doc_id", suffix.digest().alias("d")).select("doc_id", "d.*")
+
+
+@query
+def op3_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as packed rows of 2,048 token ids."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, packing.vocabulary(spark, VOCABULARY))
+
+
+@query
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the line blocks that earlier documents have."""
+    docs = linedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select(
+        "doc_id", "n_lines", linedup.removed_lines(F.col("removed")).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_blocks"), "partners", F.sha2("text", 256).alias("kept_sha256"),
+    )
