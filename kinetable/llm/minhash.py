@@ -66,22 +66,24 @@ def _identity(own: np.ndarray) -> int:
 
 
 def sketches(docs: DataFrame, key: str, text: str, width: int, coords: int) -> DataFrame:
-    """``(id, n, sid, sig)``: size and identity of each document's shingle set and its signature; no row is lost."""
+    """``(id, hash, n, sid, sig)``: a hash of the text, size and identity of its shingle set, its signature; no row is lost."""
     kind = docs.schema[key].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, sid, sig = [], [], []
-            for t in batch.column(1):
+            for t in batch.column(2):
                 own = shingles(t.as_py(), width)
                 n.append(len(own))
                 sid.append(_identity(own) if len(own) else None)
                 sig.append(signature(own, coords) if len(own) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(sid, pa.int64()), pa.array(sig, pa.list_(pa.int32()))], ["id", "n", "sid", "sig"]
+                [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(sid, pa.int64()), pa.array(sig, pa.list_(pa.int32()))],
+                ["id", "hash", "n", "sid", "sig"],
             )
 
-    return docs.select(F.col(key).alias("id"), F.col(text).alias("t")).mapInArrow(work, f"id {kind}, n long, sid long, sig array<int>")
+    rows = docs.select(F.col(key).alias("id"), F.xxhash64(text).alias("hash"), F.col(text).alias("t"))
+    return rows.mapInArrow(work, f"id {kind}, hash long, n long, sid long, sig array<int>")
 
 
 def sets(docs: DataFrame, text: str, width: int) -> DataFrame:
@@ -172,7 +174,7 @@ def links(docs: DataFrame, reps: DataFrame, key: str, text: str, width: int, per
 
 
 def group(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80, coords: int = COORDS) -> DataFrame:
-    """``(id, n_shingles, component_id, kept)``, one row per row of ``docs``.
+    """``(id, hash, n_shingles, component_id, kept)``, one row per row of ``docs``; ``hash`` is the text's.
 
     Documents whose shingle sets have a Jaccard similarity of at least ``percent`` hundredths are linked;
     ``component_id`` is the smallest key reachable. Equal sets are one vertex, so copies form no pairs.
@@ -191,8 +193,26 @@ def group(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
     named = named.where("component is not null or copies > 1").select("sid", "rep", "c")
     least = named.groupBy("c").agg(F.min("rep").alias("component_id"))
     named = named.join(least, "c").select("sid", "component_id")
-    out = seen.select("id", "n", "sid").join(named, "sid", "left")
+    out = seen.select("id", "hash", "n", "sid").join(named, "sid", "left")
     return out.select(
-        "id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"),
+        "id", "hash", F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"),
         F.col("id").eqNullSafe(F.coalesce("component_id", "id")).alias("kept"),
     )
+
+
+def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``docs`` with one document of each group, the one with the smallest key; rows that repeat a key and a text stay once.
+
+    What leaves is listed by key and hash of the text; the list is broadcast if it is small, else texts are shuffled.
+    Documents without words are linked with nothing and stay.
+    """
+    found = group(docs, key, text, **options)
+    gone = cut_lineage(found.where(~F.col("kept")).select(F.col("id").alias("_id"), F.col("hash").alias("_hash")).distinct())
+    same = F.col(key).eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_hash"))
+    kept = docs.join(sized_broadcast(gone), same, "left_anti")
+    twice = docs.groupBy(F.col(key).alias("_id"), F.xxhash64(text).alias("_hash")).agg(F.count("*").alias("m")).where("m > 1")
+    twice = cut_lineage(twice.select("_id", "_hash"))
+    if twice.isEmpty():
+        return kept
+    twice = sized_broadcast(twice)
+    return kept.join(twice, same, "left_anti").unionByName(kept.join(twice, same, "left_semi").dropDuplicates([key, text]))

@@ -108,7 +108,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose two-word shingles agree to 80 %."""
     found = minhash.group(table(spark, sf_dir, "documents").select("doc_id", "text"), width=2)
-    return found.withColumnRenamed("id", "doc_id")
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
 @query
