@@ -139,3 +139,52 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", linedup.removed_lines(F.col("removed")).alias("n_removed"),
         F.size("removed").cast("long").alias("n_blocks"), "partners", F.sha2("text", 256).alias("kept_sha256"),
     )
+
+
+ORACLES["op5_suffix_array_dedup"] = """
+WITH RECURSIVE d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+s AS (
+    SELECT doc_id, i, md5(substr(h, 2 * i + 1, 400)) AS k
+    FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 199)) AS i FROM d WHERE len(h) >= 400)
+),
+r AS (SELECT doc_id, i FROM s WHERE k IN (SELECT k FROM s GROUP BY k HAVING count(*) > 1)),
+m AS (SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 200 THEN 0 ELSE 1 END AS opens FROM r),
+g AS (SELECT doc_id, i, sum(opens) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM m),
+runs AS (SELECT doc_id, run, min(i) AS a, max(i) + 200 AS b FROM g GROUP BY doc_id, run),
+cuts AS (
+    SELECT doc_id, coalesce(lag(b) OVER w, 0) AS a, runs.a AS b, b - runs.a AS gone FROM runs
+    WINDOW w AS (PARTITION BY doc_id ORDER BY run)
+),
+parts AS (
+    SELECT doc_id, a, b FROM cuts
+    UNION ALL
+    SELECT d.doc_id, coalesce(max(runs.b), 0), len(any_value(h)) // 2 FROM d LEFT JOIN runs USING (doc_id) GROUP BY d.doc_id
+),
+kept AS (
+    SELECT doc_id, string_agg(substr(h, CAST(2 * a + 1 AS BIGINT), CAST(2 * (b - a) AS BIGINT)), '' ORDER BY a) AS k
+    FROM parts JOIN d USING (doc_id) GROUP BY doc_id
+),
+n AS (SELECT doc_id, count(*) AS n_spans, CAST(sum(gone) AS BIGINT) AS n_removed FROM cuts GROUP BY doc_id)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+    sha256(unhex(k)) AS kept_sha256
+FROM d JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
+ORACLES["op10_minhash"] = rf"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+s AS (
+    SELECT DISTINCT doc_id, CASE WHEN len(w) = 1 THEN w[1] ELSE w[i] || ' ' || w[i + 1] END AS g
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w), 2))) AS i FROM d WHERE len(w) > 0)
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+met AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM met JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+reach AS (SELECT a, b FROM e UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a),
+c AS (SELECT a, min(b) AS low FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(low, d.doc_id)) AS component_id,
+    d.doc_id <= coalesce(low, d.doc_id) AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.a = d.doc_id
+"""
