@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import DoubleType
 
 from kinetable.operators.sequence import dosing
@@ -140,27 +140,30 @@ def records(spark: SparkSession, d: str, hot, route: str = "ev", tau: float | No
         F.when(is_dose, F.lit(dur)).cast("double").alias("dur"))
 
 
-# ---- crossover studies: the first two orders of each customer ----
+# ---- crossover studies: consecutive orders of a customer, two and two, are subjects ----
 
 def be_data(spark: SparkSession, d: str) -> DataFrame:
-    """study, id, sequence, period and three endpoints; complete customers only."""
-    from pyspark.sql import Window
-
+    """study, id, sequence, period and three endpoints; an odd last order has no second period and is left out."""
     o = dataset(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
-    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    two = o.withColumn("period", F.row_number().over(w)).filter("period <= 2")  # limited before the shuffle
-    both = two.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("o_custkey"))).filter("n = 2")
+    hot = None if o.count() <= skew.hot_rows(spark) else skew.LOOK
+    n = F.col("rn") - 1
+    one = skew.row_number(o, [("o_orderdate", False), ("o_orderkey", False)], "rn", ["o_custkey"], hot).withColumns(
+        {"pair": F.floor(n / 2), "period": (n % 2 + 1).cast("int")})
+    subject = Window.partitionBy("o_custkey", "pair")  # one or two rows
+    both = one.withColumn("n", F.count(F.lit(1)).over(subject)).filter("n = 2")
     k = F.col("o_custkey")
     return both.select(
-        (k % 25).alias("study"), k.alias("id"), F.when(k % 2 == 0, "RT").otherwise("TR").alias("sequence"),
+        (k % 25).alias("study"), (k * 1_000_000 + F.col("pair")).alias("id"),
+        F.when((k + F.col("pair")) % 2 == 0, "RT").otherwise("TR").alias("sequence"),
         F.col("period"), F.col("o_totalprice").alias("AUC"),
         (F.col("o_totalprice") / (1 + F.col("o_orderkey") % 7)).alias("Cmax"),
         (F.col("o_orderkey") % 24).cast("double").alias("tmax"))
 
 
-BE = """o2 AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS period FROM orders),
-o3 AS (SELECT *, count(*) OVER (PARTITION BY o_custkey) AS n FROM o2 WHERE period <= 2),
-bed AS (SELECT o_custkey % 25 AS study, o_custkey AS id, CASE WHEN o_custkey % 2 = 0 THEN 'RT' ELSE 'TR' END AS sequence,
+BE = """o1 AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) - 1 AS rn FROM orders),
+o2 AS (SELECT *, rn // 2 AS pair, rn % 2 + 1 AS period FROM o1),
+o3 AS (SELECT *, count(*) OVER (PARTITION BY o_custkey, pair) AS n FROM o2),
+bed AS (SELECT o_custkey % 25 AS study, o_custkey * 1000000 + pair AS id, CASE WHEN (o_custkey + pair) % 2 = 0 THEN 'RT' ELSE 'TR' END AS sequence,
     CAST(period AS INTEGER) AS period, o_totalprice AS "AUC", o_totalprice / (1 + o_orderkey % 7) AS "Cmax",
     CAST(o_orderkey % 24 AS DOUBLE) AS tmax FROM o3 WHERE n = 2),
 be AS (SELECT study, id, sequence, period, substring(sequence, period, 1) AS formulation, e.endpoint, e.y

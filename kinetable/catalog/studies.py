@@ -38,13 +38,6 @@ mom AS (SELECT coalesce(rt.study, tr.study) AS study, coalesce(rt.endpoint, tr.e
 coef AS (SELECT study, endpoint, e.term, e.estimate, e.se, df FROM mom,
   LATERAL (VALUES ('formulation', pe, se), ('period', period, se), ('sequence', sequence, sem)) AS e(term, estimate, se))"""
 
-Z = 1.6448536269514722
-RESULT = f"""{MOMENTS},
-tq AS (SELECT *, CASE WHEN df >= 3 THEN {Z} + {(Z**3 + Z) / 4} / df + {(5 * Z**5 + 16 * Z**3 + 3 * Z) / 96} / (df * df)
-  + {(3 * Z**7 + 19 * Z**5 + 17 * Z**3 - 15 * Z) / 384} / (df * df * df) END AS q FROM mom),
-res AS (SELECT study, endpoint, pe, se, df, pe - q * se AS lnlb, pe + q * se AS lnub, exp(pe) AS gmr, exp(pe - q * se) AS lb,
-  exp(pe + q * se) AS ub FROM tq)"""
-
 # the series coefficients by gamma functions: independent of the product form used on the other side
 P_SQL = """CASE WHEN df % 2 = 0 THEN 1 - sin_ * list_sum([exp(lgamma(j + 0.5) - lgamma(j + 1) - 0.5 * ln(pi())) * pow(cos2, j)
     FOR j IN range(0, CAST(df / 2 AS BIGINT))])
@@ -52,6 +45,16 @@ P_SQL = """CASE WHEN df % 2 = 0 THEN 1 - sin_ * list_sum([exp(lgamma(j + 0.5) -
     FOR j IN range(0, CAST((df - 1) / 2 AS BIGINT))]) ELSE 0 END) END"""
 
 
+# the quantile by halving: independent of the Newton steps on the other side
+RESULT = f"""{MOMENTS},
+half AS (SELECT df, 0.0::DOUBLE AS lo, 8.0::DOUBLE AS hi, 0 AS k FROM (SELECT DISTINCT df FROM mom WHERE df > 0)
+  UNION ALL SELECT df, CASE WHEN p > 0.1 THEN tv ELSE lo END, CASE WHEN p > 0.1 THEN hi ELSE tv END, k + 1
+  FROM (SELECT *, {P_SQL} AS p FROM (SELECT *, atan(tv / sqrt(df)) AS theta, df / (df + tv * tv) AS cos2, tv / sqrt(df + tv * tv) AS sin_
+    FROM (SELECT *, (lo + hi) / 2 AS tv FROM half WHERE k < 55)))),
+tq AS (SELECT mom.*, hi AS q FROM mom LEFT JOIN (SELECT df, hi FROM half WHERE k = 55) USING (df)),
+res AS (SELECT study, endpoint, pe, se, df, pe - q * se AS lnlb, pe + q * se AS lnub, exp(pe) AS gmr, exp(pe - q * se) AS lb,
+  exp(pe + q * se) AS ub FROM tq)"""
+
 @query("be_input", f"WITH {BE} SELECT study, id, sequence, period, formulation, endpoint, sig(y) AS y FROM be")
 def _(spark, d):
     return rounded(bound(spark, d))
@@ -94,12 +97,12 @@ def _(spark, d):
     return rounded(be.be_lsmeans(bound(spark, d), BY))
 
 
-@query("be_result", f"WITH {RESULT} " + rsel("study, endpoint, df", "pe, se, lnlb, lnub, gmr, lb, ub", "res"))
+@query("be_result", f"WITH RECURSIVE {RESULT} " + rsel("study, endpoint, df", "pe, se, lnlb, lnub, gmr, lb, ub", "res"))
 def _(spark, d):
     return rounded(be.be_result(bound(spark, d), BY))
 
 
-@query("be_decision", f"""WITH {RESULT} SELECT study, endpoint, e.criteria, (lb >= e.lo AND ub <= e.hi) AS pass FROM res,
+@query("be_decision", f"""WITH RECURSIVE {RESULT} SELECT study, endpoint, e.criteria, (lb >= e.lo AND ub <= e.hi) AS pass FROM res,
   LATERAL (VALUES ('80-125', 0.80::DOUBLE, 1.25::DOUBLE), ('90-110', 0.90::DOUBLE, 1.10::DOUBLE)) AS e(criteria, lo, hi)""")
 def _(spark, d):
     return be.be_decision(bound(spark, d), BY)
@@ -117,7 +120,7 @@ def _(spark, d):
     return rounded(be.be_nonpar(bound(spark, d), BY, hot=study_hot(spark, d)))
 
 
-@query("be_endpoints", f"""WITH {RESULT}, {NONPAR}, k AS (SELECT DISTINCT study, endpoint FROM raw WHERE endpoint = 'tmax')
+@query("be_endpoints", f"""WITH RECURSIVE {RESULT}, {NONPAR}, k AS (SELECT DISTINCT study, endpoint FROM raw WHERE endpoint = 'tmax')
 SELECT study, endpoint, 'lm' AS method, sig(pe) AS pe, sig(lnlb) AS lnlb, sig(lnub) AS lnub FROM res WHERE endpoint <> 'tmax'
 UNION ALL SELECT study, endpoint, 'nonpar', sig(pe), NULL, NULL FROM k LEFT JOIN hl USING (study, endpoint)""")
 def _(spark, d):

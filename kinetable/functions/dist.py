@@ -9,46 +9,66 @@ import math
 
 from pyspark.sql import Column, functions as F
 
-SERIES_DF = 2000  # above this many degrees of freedom t is taken to the normal scale first
-
 Z95 = 1.6448536269514722  # fixed value: 0.95 quantile of the standard normal
 
+# Coefficients of a**-k in gamma(a + 1/2) / (gamma(a) sqrt(a)) as a grows.
+_GAMMA_RATIO = [1.0, -1 / 8, 1 / 128, 5 / 1024, -21 / 32768, -399 / 262144, 869 / 4194304, 39325 / 33554432]
+
+
+def _gamma_ratio(a: Column) -> Column:
+    """gamma(a + 1/2) / gamma(a): the expansion at a + 24, and back by the recurrence."""
+    far = a + 24
+    series = F.lit(0.0)
+    for c in reversed(_GAMMA_RATIO):
+        series = series / far + F.lit(c)
+    back = F.lit(1.0)
+    for i in range(24):
+        back = back * ((a + i) / (a + (i + 0.5)))
+    return F.sqrt(far) * series * back
+
+
+def _fraction(a: Column, b: Column, x: Column, terms: Column) -> Column:
+    """Continued fraction of the incomplete beta function (26.5.8) from its last term to its first."""
+
+    def step(value: Column, k: Column) -> Column:
+        m = terms - k  # terms - 1 ... 0
+        even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
+        odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
+        inner = 1 + odd / value
+        return F.when(m > 0, 1 + even / inner).otherwise(inner)
+
+    return 1 / F.aggregate(F.sequence(F.lit(1), terms), F.lit(1.0), step)
+
+
+def t_two_sided_p(t: Column, nu: Column) -> Column:
+    """P(|T| > |t|) for any positive degrees of freedom, as an incomplete beta function.
+
+    The fraction is taken on the side where it converges; its terms grow with the square root of
+    the degrees of freedom, and small probabilities keep their relative accuracy.
+    """
+    v, t = nu.cast("double"), F.abs(t)
+    a = v / 2
+    x, y = v / (v + t * t), t * t / (v + t * t)
+    terms = (40 + F.ceil(2 * F.sqrt(v))).cast("int")
+    lead = F.exp(-a * F.log1p(t * t / v)) * F.sqrt(y) * _gamma_ratio(a) / math.sqrt(math.pi)
+    half = F.lit(0.5)
+    tail = lead / a * _fraction(a, half, x, terms)
+    inside = lead / half * _fraction(half, a, y, terms)
+    return F.when(v > 0, F.when(t == 0, 1.0).when(x < (a + 1) / (a + 2.5), tail).otherwise(1 - inside))
+
 
 def t_quantile95(nu: Column) -> Column:
-    """0.95 quantile of Student t (26.7.5); NULL below three degrees of freedom."""
+    """0.95 quantile of Student t: Newton steps on the tail from the expansion 26.7.5; NULL without degrees of freedom."""
     z = Z95
-    terms = [
-        (z**3 + z) / 4,
-        (5 * z**5 + 16 * z**3 + 3 * z) / 96,
-        (3 * z**7 + 19 * z**5 + 17 * z**3 - 15 * z) / 384,
-    ]
     v = nu.cast("double")
-    return F.when(nu >= 3, F.lit(z) + terms[0] / v + terms[1] / (v * v) + terms[2] / (v * v * v))
+    start = z + (z**3 + z) / 4 / v + (5 * z**5 + 16 * z**3 + 3 * z) / 96 / (v * v) + (3 * z**7 + 19 * z**5 + 17 * z**3 - 15 * z) / 384 / (v * v * v)
+    height = _gamma_ratio(v / 2) / F.sqrt(v * math.pi)
 
+    def step(q: Column, _: Column) -> Column:
+        density = height * F.exp(-(v + 1) / 2 * F.log1p(q * q / v))
+        return q + (t_two_sided_p(q, nu) - 0.1) / (2 * density)
 
-def t_two_sided_p(t: Column, nu: Column) -> Column:
-    """P(|T| > |t|) for integer degrees of freedom (26.7.3, 26.7.4)."""
-    v, t = nu.cast("double"), F.abs(t)
-    cos2 = v / (v + t * t)
-    cos, sin = F.sqrt(cos2), t / F.sqrt(v + t * t)
-    even = (nu % 2) == 0
-    last = F.when(even, nu / 2 - 1).otherwise((nu - 3) / 2).cast("int")
-    short = nu <= SERIES_DF
-    steps = F.when(short & (last >= 1), F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-    lead = F.when(even, F.lit(1.0)).otherwise(cos)
-    start = F.struct(lead.alias("term"), lead.alias("sum"))
-
-    def step(acc: Column, j: Column) -> Column:
-        ratio = F.when(even, (2 * j - 1) / (2 * j)).otherwise((2 * j) / (2 * j + 1))
-        term = acc["term"] * ratio * cos2
-        return F.struct(term.alias("term"), (acc["sum"] + term).alias("sum"))
-
-    series = F.aggregate(steps, start, step, lambda acc: acc["sum"])
-    theta = F.atan(t / F.sqrt(v))
-    inside = F.when(even, sin * series).otherwise((2 / math.pi) * (theta + F.when(nu > 1, sin * series).otherwise(0.0)))
-    # many degrees of freedom: normalizing transform 26.7.8, then the normal tail
-    z = t * (1 - 1 / (4 * v)) / F.sqrt(1 + t * t / (2 * v))
-    return F.when(short, 1 - inside).otherwise(erfc(z / math.sqrt(2.0)))
+    return F.when(v > 0, F.aggregate(F.sequence(F.lit(1), F.lit(7)), start, step))
 
 
 def erfc(x: Column) -> Column:

@@ -5,10 +5,12 @@ Every function groups by ``[*by, "endpoint"]``; one study is the case ``by=[]``.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
@@ -17,6 +19,8 @@ from kinetable.operators.agg import stats_of
 from kinetable.plans import skew
 from kinetable.session import cut_lineage
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need not have this package
+
 LIMITS = {"80-125": (0.80, 1.25), "90-110": (0.90, 1.10)}  # fixed values: acceptance ranges
 
 
@@ -236,7 +240,23 @@ def _across_tasks(sides: DataFrame, keys: Sequence[str], rounds: int = 12) -> Da
             F.coalesce(F.max(F.when(~enough, F.col("v"))), F.first("lo")).alias("lo"),
             F.coalesce(F.min(F.when(enough, F.col("v"))), F.first("hi")).alias("hi"))
         state = cut_lineage(state)
-    return state.groupBy(*keys).agg((F.avg("hi") / 2).alias("pe"))
+    near = _nearest_difference(sides, state.select(*keys, "k", F.col("hi").alias("v")), keys, rows)
+    return near.groupBy(*keys).agg((F.avg("difference") / 2).alias("pe"))
+
+
+def _nearest_difference(sides: DataFrame, wanted: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
+    """The difference x - y next to each ``v``: y moved up by v stands beside its x when both are in order."""
+    is_x = F.col("sequence") == "TR"
+    line = skew.same(sides, wanted, keys, "inner").withColumns(
+        {"at": F.when(is_x, F.col("d")).otherwise(F.col("d") + F.col("v")), "y": F.when(~is_x, F.col("d"))})
+    line = line.select(*keys, "k", "v", "at", "d", F.when(is_x, 1).otherwise(0).alias("x"), "y")
+    scan = skew.Chunked(rows)
+    group = [*keys, "k"]
+    low = scan.scan(line, group, [("at", False), ("x", False)], running={"below": ("max", F.col("y"))})
+    both = scan.scan(low, group, [("at", True), ("x", False)], running={"above": ("min", F.col("y"))})
+    pairs = both.filter("x = 1").select(*group, "v", F.explode(F.array(F.col("d") - F.col("below"), F.col("d") - F.col("above"))).alias("difference"))
+    off = F.abs(F.col("difference") - F.col("v"))
+    return pairs.filter("difference IS NOT NULL").groupBy(*group).agg(F.min_by("difference", F.struct(off, "difference")).alias("difference"))
 
 
 def be_endpoints(data: DataFrame, by: Sequence[str] = (), hot=skew.LOOK) -> DataFrame:

@@ -58,21 +58,12 @@ def categorical_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     The levels are joined back by a plan Spark sizes itself; nothing assumes that they are few.
     """
-    kinds = dict(df.dtypes)
     for c in columns:
         levels = df.select(c).filter(F.col(c).isNotNull()).distinct()
-        axis = _text_axis(c) if kinds[c] == "string" else F.col(c)
-        coded = skew.row_number(levels.withColumn("_axis", axis), [("_axis", False), (c, False)], f"{c}_code")
-        df = df.join(coded.drop("_axis"), c, "left")
+        df = df.join(skew.row_number(levels, [(c, False)], f"{c}_code"), c, "left")
     return df
 
 
-def _text_axis(c: str) -> Column:
-    """The first seven bytes as a number: rises with the text's own order."""
-    head = F.rpad(F.hex(F.substring(F.encode(F.col(c), "UTF-8"), 1, 7)), 14, "0")
-    return F.conv(head, 16, 10).cast("double")
-
-
 def missing_flag(df: DataFrame, column: str, name: str) -> DataFrame:
     return df.withColumn(name, F.col(column).isNull())
 

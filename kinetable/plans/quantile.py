@@ -52,10 +52,9 @@ def ranked_quantiles(
     """Exact quantiles by counting ranges and sorting only the ranges that hold a wanted rank."""
     v = F.col(value).cast("double")
     known = df.filter(v.isNotNull()).select(*by, v.alias("_v"))
-    cut, parts = add_chunks(known, by, [("_v", False)], rows, bounded=True)  # every group here is hot
-    cut = cut_lineage(cut)  # read twice below
-    within = [*by, *parts]
-    along = Window.partitionBy(*by).orderBy(*parts)
+    cut = add_chunks(known, by, [("_v", False)], rows)
+    within = [*by, "_c"]
+    along = Window.partitionBy(*by).orderBy("_c")
     sizes = (
         cut.groupBy(*within)
         .agg(F.count(F.lit(1)).alias("_m"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
@@ -79,7 +78,7 @@ def ranked_quantiles(
     flat = wanted.filter("_lo = _hi").select(*by, "_q", "_weight", F.col("_lo").alias("_v"))
     mixed = wanted.filter("_lo < _hi")
     touched = same(cut, mixed.select(*within).distinct(), within, "left_semi", bounded=True)
-    placed = touched.withColumn("_local", F.row_number().over(Window.partitionBy(*within).orderBy("_v")))
+    placed = touched.withColumn("_local", F.row_number().over(Window.partitionBy(*within).orderBy("_at")))
     found = same(mixed.drop("_lo", "_hi"), placed, [*within, "_local"], "inner").select(*by, "_q", "_weight", "_v")
     return flat.unionByName(found).groupBy(*by).agg(
         *[F.sum(F.when(F.col("_q") == n, F.col("_weight") * F.col("_v"))).alias(n) for n in probs]

@@ -78,56 +78,25 @@ def find_hot(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
     return None if hot.isEmpty() else hot
 
 
-def add_chunks(
-    df: DataFrame, keys: Sequence[str], order: Order, rows: int, bounded: bool = False
-) -> tuple[DataFrame, list[str]]:
-    """Cut every key into contiguous ranges of the order columns of about ``rows`` rows.
-
-    Equal-width ranges between the key's own minimum and maximum; a range that still holds too
-    much (outliers, bursts) is cut once more, and a single repeated value is cut along the second
-    order column. Counts, minima and maxima are exact, so a recomputed task sees the same ranges.
-    Returns the frame and the range columns, whose ascending order is the requested order.
-
-    Per key there are at most 2 * ceil(n / rows) + 1 ranges per level. ``bounded`` tells that every
-    key is itself hot (or that there is no key), so that all ranges together number a few per
-    ``rows`` input rows and their statistics may be broadcast: the rows are then not shuffled here.
-    """
-    axis, desc = order[0]
-    kinds = dict(df.dtypes)
-    ties = [(n, d, True) for n, d in order[1:2] if kinds[n] != "string"]
-    steps = [(axis, desc, False), (axis, desc, False), *ties]
-    parts: list[str] = []
-    for i, (name, down, only_ties) in enumerate(steps):
-        x = F.col(name).cast("double")
-        at = F.col(axis).cast("double")
-        df = attach(
-            df,
-            [*keys, *parts],
-            {
-                "_n": F.count(F.lit(1)),
-                "_lo": F.min(x),
-                "_hi": F.max(x),
-                "_tie": F.min(at).eqNullSafe(F.max(at)),
-            },
-            bounded,
-        )
-        k = F.when(F.col("_n") > rows, F.ceil(F.col("_n") / F.lit(rows)) * 2).otherwise(F.lit(1))
-        spread = F.col("_hi") > F.col("_lo")
-        if only_ties:
-            spread = spread & F.col("_tie")
-        cell = F.when(spread, F.least(F.floor((x - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * k), k - 1))
-        cell = F.coalesce(cell, F.lit(0))
-        placed = F.when(x.isNull() & spread, k).otherwise((k - 1 - cell) if down else cell)
-        part = f"_c{i}"
-        df = df.withColumn(part, placed.cast("long")).drop("_n", "_lo", "_hi", "_tie")
-        parts.append(part)
-    return df, parts
-
-
 def _sorts(order: Order) -> list[Column]:
     return [F.col(n).desc_nulls_last() if d else F.col(n).asc_nulls_last() for n, d in order]
 
 
+def add_chunks(df: DataFrame, keys: Sequence[str], order: Order, rows: int) -> DataFrame:
+    """``df`` stored with ``_c``, contiguous ranges of at most ``rows`` rows, and ``_at``, the place of a row.
+
+    Rows are sorted over all partitions by keys and then the whole order, whatever the columns' types and
+    missing last; each partition's rows are then counted off. Ranges are therefore exact for
+    any distribution: outliers, bursts of one value, nothing but NULLs. Ascending ``_c`` and ``_at`` are the
+    requested order within a key. What is read back is what was stored, so a lost task changes nothing.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    along = [*[F.col(k).asc_nulls_last() for k in keys], *_sorts(order)]
+    placed = df.repartitionByRange(parts, *along).sortWithinPartitions(*along).withColumn("_at", F.monotonically_increasing_id())
+    part, row = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return cut_lineage(placed.withColumn("_c", F.shiftleft(part, 33) + F.floor(row / rows)))
+
+
 @dataclass(frozen=True)
 class Plain:
     """Windows over the whole key: for keys that fit one task."""
@@ -169,10 +138,9 @@ class Chunked:
     ) -> DataFrame:
         running, prev = dict(running or {}), dict(prev or {})
         bounded = self._bounded(keys)
-        cut, parts = add_chunks(df, keys, order, self.rows, bounded)
-        cut = cut_lineage(cut)  # read twice below
-        within = [*keys, *parts]
-        w = Window.partitionBy(*within).orderBy(*_sorts(order))
+        cut = add_chunks(df, keys, order, self.rows)
+        within = [*keys, "_c"]
+        w = Window.partitionBy(*within).orderBy("_at")
         upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         cols = {f"_l_{n}": _FOLD[f](e).over(upto) for n, (f, e) in running.items()}
         cols |= {f"_p_{n}": F.lag(c).over(w) for n, c in prev.items()}
@@ -181,10 +149,9 @@ class Chunked:
         # one row per range: its totals and its last row, then what all earlier ranges add up to
         ends = [_FOLD[f](e).alias(f"_t_{n}") for n, (f, e) in running.items()]
         if prev:
-            at = F.struct(*[-F.col(n) if d else F.col(n) for n, d in order])
-            ends.append(F.max_by(F.struct(*[F.col(c).alias(n) for n, c in prev.items()]), at).alias("_end"))
+            ends.append(F.max_by(F.struct(*[F.col(c).alias(n) for n, c in prev.items()]), "_at").alias("_end"))
         side = cut.groupBy(*within).agg(*ends)
-        across = Window.partitionBy(*keys).orderBy(*parts)
+        across = Window.partitionBy(*keys).orderBy("_c")
         before = across.rowsBetween(Window.unboundedPreceding, -1)
         carry = {f"_b_{n}": _FOLD["sum" if f == "count" else f](f"_t_{n}").over(before) for n, (f, _) in running.items()}
         if prev:
@@ -244,11 +211,11 @@ def row_number(df: DataFrame, order: Order, name: str, by: Sequence[str] = (), h
     limit = hot_rows(df.sparkSession)
     if df.count() <= limit:
         return Plain().scan(df.withColumn("_g", F.lit(0)), ["_g"], order, running=one).drop("_g")
-    cut, parts = add_chunks(df, [], order, max(1, limit // 8), bounded=True)
-    local = Window.partitionBy(*parts).orderBy(*_sorts(order))
-    sizes = cut.groupBy(*parts).agg(F.count(F.lit(1)).alias("_m"))
+    cut = add_chunks(df, [], order, max(1, limit // 8))
+    local = Window.partitionBy("_c").orderBy("_at")
+    sizes = cut.groupBy("_c").agg(F.count(F.lit(1)).alias("_m"))
     # one row per range, all on one key: ranges number a few per limit / 8 rows
-    gathered = Window.partitionBy(F.lit(0)).orderBy(*parts).rowsBetween(Window.unboundedPreceding, -1)
+    gathered = Window.partitionBy(F.lit(0)).orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn("_off", F.coalesce(F.sum("_m").over(gathered), F.lit(0))).drop("_m")
-    numbered = same(cut.withColumn("_rn", F.row_number().over(local)), offsets, parts, "left", bounded=True)
+    numbered = same(cut.withColumn("_rn", F.row_number().over(local)), offsets, ["_c"], "left", bounded=True)
     return numbered.withColumn(name, F.col("_off") + F.col("_rn")).select(*df.columns, name)

@@ -7,8 +7,7 @@ from conftest import SMALL
 from oracle import compare
 
 import __spark_entry__ as entry
-
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+from kinetable.catalog import ORACLES, QUERIES
 
 SKEWED = ["occasion", "nca_report", "nca_summary", "be_nonpar", "be_stats_period", "box_stats", "group_multi_agg",
           "row_index", "categorical_codes", "score_1cmt_oral", "predict_grid", "sir", "vpc_bands", "summary_stats"]
@@ -28,5 +27,9 @@ def test_query_with_hot_keys(spark, duck, tiny_limit, name):
     assert compare(spark, duck, SMALL, QUERIES[name], ORACLES[name]) == []
 
 
+def test_registered():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql()) <= set(entry.queries())
+
+
 def test_entry(spark):
     assert entry.entry(spark).limit(5).count() == 5

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kinetable.plans.quantile import grouped
-from kinetable.plans.skew import Chunked, Plain, attach, by_heat, find_hot, row_number
+from kinetable.plans.skew import Chunked, Plain, add_chunks, attach, by_heat, find_hot, row_number
 from kinetable.operators.rel import join
 
 
@@ -78,4 +78,34 @@ def test_no_key_is_collected_whole(spark, skewed, tiny_limit):
     cut = Chunked(10).scan(skewed, ["k"], [("t", False), ("row", False)], {"s": ("sum", F.col("v"))}, {"b": "t"})
     plan = cut._jdf.queryExecution().optimizedPlan().toString()
     windows = [line for line in plan.split("\n") if "Window [" in line and "row_number" in line]
-    assert windows and all("_c0" in w for w in windows)
+    assert windows and all("_c#" in w for w in windows)
+
+
+ORDERS = {
+    "text": "concat('Customer#', lpad(cast(row * 37 % 1000 AS string), 9, '0'))",
+    "timestamp": "cast(timestamp_seconds(row * 37 % 1000) AS timestamp_ntz)",
+    "decades": "pow(10D, row % 40)",
+    "burst": "5D",
+    "null": "cast(NULL AS double)",
+    "mostly_null": "CASE WHEN row % 50 = 0 THEN row END",
+}
+
+
+@pytest.mark.parametrize("kind", list(ORDERS))
+@pytest.mark.parametrize("desc", [False, True])
+def test_any_order(spark, tiny_limit, kind, desc):
+    df = spark.range(1500).withColumnRenamed("id", "row").withColumns({"k": F.col("row") % 3 % 2, "t": F.expr(ORDERS[kind])}).repartition(5)
+    order = [("t", desc), ("row", False)]
+    sizes = add_chunks(df, ["k"], order, 20).groupBy("k", "_c").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 20
+    got = Chunked(20, ("k",)).scan(df, ["k"], order, {"n": ("count", F.lit(1))}, {"p": "row"})
+    assert rows(got) == rows(Plain().scan(df, ["k"], order, {"n": ("count", F.lit(1))}, {"p": "row"}))
+    numbered = row_number(df, order, "rn").orderBy("rn").select("row", "rn").collect()
+    want = df.orderBy(F.col("t").desc_nulls_last() if desc else F.col("t").asc_nulls_last(), "row").collect()
+    assert [(r.row, r.rn) for r in numbered] == [(w.row, i + 1) for i, w in enumerate(want)]
+
+
+def test_quantiles_over_many_decades(spark, tiny_limit):
+    df = spark.range(900).select((F.col("id") % 2).alias("k"), F.pow(F.lit(10.0), F.col("id") % 41 - 20).alias("v"))
+    probs = {"q1": 0.1, "q5": 0.5, "q9": 0.95}
+    assert rows(grouped(df, ["k"], "v", {}, probs)) == rows(grouped(df, ["k"], "v", {}, probs, hot=None))
