@@ -102,15 +102,15 @@ def raw_events(spark: SparkSession, d: str) -> DataFrame:
     us = F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', ts)")
     dose = F.col("event_type") == "signup"
     return dataset(spark, d, "events").select(
-        "event_id", "user_id", us.alias("us"), F.when(dose, 1).otherwise(0).alias("evid"),
+        "event_id", "event_type", "user_id", us.alias("us"), F.when(dose, 1).otherwise(0).alias("evid"),
         F.when(dose, F.col("value")).alias("amt"), F.when(~dose, F.col("value")).alias("dv"))
 
 
-def pk_events(spark: SparkSession, d: str, hot) -> DataFrame:
+def pk_events(spark: SparkSession, d: str, hot, extra: Sequence[str] = ()) -> DataFrame:
     """Records with hours since the user's first event ``h``, occasion ``occ``, hours after dose ``t``."""
     ev = dosing(raw_events(spark, d), "user_id", "us", "evid", ["event_id"], hot, start="first_us")
     return ev.select(
-        "event_id", "user_id", "evid", "amt", "dv", "occ",
+        "event_id", "user_id", "evid", "amt", "dv", "occ", *extra,
         ((F.col("us") - F.col("first_us")) / F.lit(3.6e9)).alias("h"),
         ((F.col("us") - F.col("dose_time")) / F.lit(3.6e9)).alias("t"),
         ((F.col("dose_time") - F.col("first_us")) / F.lit(3.6e9)).alias("dose_time"))

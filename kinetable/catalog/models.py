@@ -22,10 +22,9 @@ _EV_SQL = """SELECT user_id AS id, sig(h) AS time, evid, CAST(1 AS INTEGER) AS c
 
 
 def _bound(spark, d):
-    ev = pk_events(spark, d, hot_users(spark, d)).withColumn("route", F.lit("ev"))
+    ev = pk_events(spark, d, hot_users(spark, d), ["event_type"]).withColumn("route", F.lit("ev"))
     # a purchase also carries an amount here, so that the validation has something to find
-    kind = dataset(spark, d, "events").select("event_id", "event_type")
-    ev = ev.join(kind, "event_id").withColumn("amt", F.when(F.col("event_type") == "purchase", F.col("dv")).otherwise(F.col("amt")))
+    ev = ev.withColumn("amt", F.when(F.col("event_type") == "purchase", F.col("dv")).otherwise(F.col("amt")))
     return events.event_table(ev, "user_id", "h", "amt", "evid", ["dv"], route="route")
 
 
@@ -137,11 +136,15 @@ def _(spark, d):
     return rounded(scored(spark, d).select("event_id", "user_id", "pred"))
 
 
-@query("score_2cmt_oral", f"""WITH {PK}, {PRM}, rts AS (SELECT *, cl/vc + q/vc + q/vp AS tot, (cl/vc)*(q/vp) AS prod, q/vp AS k21 FROM prm),
-ab AS (SELECT *, (tot + sqrt(tot*tot - 4*prod)) / 2 AS al, (tot - sqrt(tot*tot - 4*prod)) / 2 AS be FROM rts)
-SELECT o.event_id, o.user_id, sig(coalesce(sum(bio * d.amt * {SCALE} * ka / vc * (
-    (k21-al)*exp(-al*(o.h-d.h))/((be-al)*(ka-al)) + (k21-be)*exp(-be*(o.h-d.h))/((al-be)*(ka-be))
-    + (k21-ka)*exp(-ka*(o.h-d.h))/((al-ka)*(be-ka)))), 0.0)) AS pred
+_ROOTS = """rts AS (SELECT *, cl/vc + q/vc + q/vp AS tot, (cl/vc)*(q/vp) AS prod, q/vp AS k21 FROM prm),
+ab AS (SELECT *, (tot + sqrt(tot*tot - 4*prod)) / 2 AS al, (tot - sqrt(tot*tot - 4*prod)) / 2 AS be FROM rts)"""
+TWO_CMT = f"""bio * d.amt * {SCALE} * ka / vc * (
+    (k21-al)*exp(-al*{{x}})/((be-al)*(ka-al)) + (k21-be)*exp(-be*{{x}})/((al-be)*(ka-be))
+    + (k21-ka)*exp(-ka*{{x}})/((al-ka)*(be-ka)))"""
+
+
+@query("score_2cmt_oral", f"""WITH {PK}, {PRM}, {_ROOTS}
+SELECT o.event_id, o.user_id, sig(coalesce(sum({TWO_CMT.format(x='(o.h-d.h)')}), 0.0)) AS pred
 FROM ev o JOIN ab ON ab.user_id = o.user_id LEFT JOIN ev d ON d.user_id = o.user_id AND d.evid = 1 AND d.h <= o.h
 WHERE o.evid = 0 AND o.occ > 0 GROUP BY o.event_id, o.user_id""")
 def _(spark, d):
@@ -162,16 +165,32 @@ def _(spark, d):
         "event_id", "user_id", "pred_p", "pred_m"))
 
 
-@query("predict_grid", f"""WITH {PK}, {PRM}, g AS (SELECT user_id, i * 0.5 AS time FROM (SELECT DISTINCT user_id FROM ev WHERE evid = 1), range(0, 145) r(i))
-SELECT g.user_id, time::DOUBLE AS time, sig(coalesce(sum({ONE.format(a=f'd.amt * {SCALE}', x='(g.time - d.h)')}), 0.0)) AS pred
+GRID = 721  # fixed value: points of the grid 0, 0.1 ... 72
+_GRID = f"g AS (SELECT user_id, i * CAST(0.1 AS DOUBLE) AS time FROM (SELECT DISTINCT user_id FROM ev WHERE evid = 1), range(0, {GRID}) r(i))"
+
+
+def _grid(spark, d, hot):
+    ev = pk_events(spark, d, hot).select("user_id", "h", "evid", (F.col("amt") * SCALE).alias("amt"))
+    grid = score.prediction_grid(ev, "user_id", "h", "evid", "amt", 0.0, 0.1, GRID)
+    return score.subject_params(grid.select("*", *flags("user_id")), THETA)
+
+
+@query("predict_grid", f"""WITH {PK}, {PRM}, {_GRID}
+SELECT g.user_id, time, sig(coalesce(sum({ONE.format(a=f'd.amt * {SCALE}', x='(g.time - d.h)')}), 0.0)) AS pred
 FROM g JOIN prm ON prm.user_id = g.user_id LEFT JOIN ev d ON d.user_id = g.user_id AND d.evid = 1 AND d.h <= g.time GROUP BY g.user_id, time""")
 def _(spark, d):
     hot = hot_users(spark, d)
-    ev = pk_events(spark, d, hot).select("user_id", "h", "evid", (F.col("amt") * SCALE).alias("amt"))
-    grid = score.prediction_grid(ev, "user_id", "h", "evid", "amt", 0.0, 0.5, 145)
-    grid = score.subject_params(grid.select("*", *flags("user_id")), THETA)
-    out = score.score_1cmt_oral(grid, individual(), "user_id", "h", hot=hot)
-    return rounded(out.select("user_id", F.col("h").alias("time"), "pred"))
+    out = score.score_1cmt_oral(_grid(spark, d, hot), individual(), "user_id", "h", hot=hot)
+    return rounded(out.select("user_id", F.col("h").alias("time"), "pred"), raw=["time"])
+
+
+@query("predict_grid_2cmt", f"""WITH {PK}, {PRM}, {_ROOTS}, {_GRID}
+SELECT g.user_id, time, sig(coalesce(sum({TWO_CMT.format(x='(g.time - d.h)')}), 0.0)) AS pred
+FROM g JOIN ab ON ab.user_id = g.user_id LEFT JOIN ev d ON d.user_id = g.user_id AND d.evid = 1 AND d.h <= g.time GROUP BY g.user_id, time""")
+def _(spark, d):
+    hot = hot_users(spark, d)
+    out = score.score_2cmt_oral(_grid(spark, d, hot), individual(), "user_id", "h", hot=hot)
+    return rounded(out.select("user_id", F.col("h").alias("time"), "pred"), raw=["time"])
 
 
 # ---- residuals and likelihoods ----
@@ -214,15 +233,15 @@ def _(spark, d):
         "event_id", "sd_additive", "sd_proportional", "sd_combined"))
 
 
-@query("pooled_loglik", f"WITH {SC} SELECT sig(sum({_ll('combined')})) AS loglik, count({_ll('combined')}) AS n_obs FROM sc")
+@query("pooled_loglik", f"WITH {SC} SELECT sig(sum({_ll('combined')})) AS loglik, count({_ll('combined')}) AS n_obs, count(*) FILTER (WHERE dv IS NOT NULL AND pred IS NOT NULL AND {_ll('combined')} IS NULL) AS n_excluded FROM sc")
 def _(spark, d):
     return rounded(metrics.pooled_loglik(scored(spark, d), "dv", "pred", "combined", ADD, PROP))
 
 
 def _metrics_sql(name: str, kind: str, k: int) -> str:
-    return f"""{name}_ll AS (SELECT sum({_ll(kind)}) AS ll, count({_ll(kind)}) AS n, count(DISTINCT user_id) AS s FROM sc),
+    return f"""{name}_ll AS (SELECT sum({_ll(kind)}) AS ll, count({_ll(kind)}) AS n, count(*) FILTER (WHERE dv IS NOT NULL AND pred IS NOT NULL AND {_ll(kind)} IS NULL) AS x, count(DISTINCT user_id) AS s FROM sc),
 {name} AS (SELECT e.metric AS "Metric", e.value AS "Value" FROM {name}_ll, LATERAL (VALUES ('LogLikelihood', ll), ('-2LL', -2 * ll),
-  ('AIC', -2 * ll + {2.0 * k}), ('BIC', -2 * ll + {k} * ln(n)), ('Observations', n::DOUBLE), ('Subjects', s::DOUBLE), ('Parameters', {float(k)})) AS e(metric, value))"""
+  ('AIC', -2 * ll + {2.0 * k}), ('BIC', -2 * ll + {k} * ln(n)), ('Observations', n::DOUBLE), ('Excluded', x::DOUBLE), ('Subjects', s::DOUBLE), ('Parameters', {float(k)})) AS e(metric, value))"""
 
 
 def stored(spark, d):
@@ -476,7 +495,7 @@ def _(spark, d):
 
 
 @query("vpc_bands", f"""WITH {PK}, obs AS (SELECT user_id, CASE WHEN user_id % 3 = 0 THEN 'yes' ELSE 'no' END AS "isPM", floor(t / 24) * 24 AS bin, c FROM prof),
-ids AS (SELECT DISTINCT user_id, "isPM" FROM obs), {draws_sql('ids', 20)},
+ids AS (SELECT DISTINCT user_id, "isPM" FROM obs), {draws_sql('ids', REPLICATES)},
 seen AS (SELECT "isPM", bin, count(c) AS n, quantile_cont(c, [0.05, 0.5, 0.95]) AS q FROM obs GROUP BY 1, 2),
 rep AS (SELECT replicate, o."isPM", bin, quantile_cont(c, [0.05, 0.5, 0.95]) AS q FROM drawn d JOIN obs o ON o.user_id = d.user_id GROUP BY 1, 2, 3),
 band AS (SELECT "isPM", bin, i, quantile_cont(q[i], 0.025) AS low, quantile_cont(q[i], 0.975) AS high FROM rep, range(1, 4) g(i) GROUP BY ALL)
@@ -487,4 +506,4 @@ def _(spark, d):
     obs = records(spark, d, hot).filter("amt is null").select(
         "user_id", F.when(F.col("user_id") % 3 == 0, "yes").otherwise("no").alias("isPM"),
         (F.floor(F.col("t") / 24) * 24).cast("double").alias("bin"), "c")
-    return rounded(resample.vpc_bands(obs, "user_id", "isPM", "bin", "c", 20, strata_hot(spark, d)))
+    return rounded(resample.vpc_bands(obs, "user_id", "isPM", "bin", "c", REPLICATES, strata_hot(spark, d)))

@@ -6,7 +6,7 @@ import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from kinetable.functions.dist import chi2_tail
 from kinetable.operators.agg import group_multi_agg, stats_of
@@ -50,8 +50,10 @@ def loglik(dv: Column, pred: Column, var: Column) -> Column:
 
 def pooled_loglik(df: DataFrame, dv: str, pred: str, kind: str, add: float, prop: float,
                   by: Sequence[str] = ()) -> DataFrame:
+    """Sum over the observations that have a density, their number, and how many have none for zero variance."""
     ll = loglik(F.col(dv), F.col(pred), variance(kind, F.col(pred), add, prop))
-    return df.groupBy(*by).agg(F.sum(ll).alias("loglik"), F.count(ll).alias("n_obs"))
+    out = F.col(dv).isNotNull() & F.col(pred).isNotNull() & ll.isNull()
+    return df.groupBy(*by).agg(F.sum(ll).alias("loglik"), F.count(ll).alias("n_obs"), F.count_if(out).alias("n_excluded"))
 
 
 def fit_metrics(df: DataFrame, id: str, dv: str, pred: str, kind: str, add: float, prop: float,
@@ -59,7 +61,7 @@ def fit_metrics(df: DataFrame, id: str, dv: str, pred: str, kind: str, add: floa
     """Long (Metric, Value) table of the pooled fit."""
     per = pooled_loglik(df, dv, pred, kind, add, prop, [id])
     one = per.agg(F.sum("loglik").alias("ll"), F.sum("n_obs").cast("double").alias("n"),
-                  F.count(F.lit(1)).cast("double").alias("s"))
+                  F.sum("n_excluded").cast("double").alias("x"), F.count(F.lit(1)).cast("double").alias("s"))
     m2ll = -2 * F.col("ll")
     rows = {
         "LogLikelihood": F.col("ll"),
@@ -67,6 +69,7 @@ def fit_metrics(df: DataFrame, id: str, dv: str, pred: str, kind: str, add: floa
         "AIC": m2ll + 2.0 * n_params,
         "BIC": m2ll + n_params * F.ln("n"),
         "Observations": F.col("n"),
+        "Excluded": F.col("x"),
         "Subjects": F.col("s"),
         "Parameters": F.lit(float(n_params)),
     }
@@ -106,7 +109,7 @@ def influential(df: DataFrame, id: str, dv: str, pred: str, kind: str, add: floa
 def grid_fit_pooled(scored: DataFrame, dv: str, kind: str, add: float, prop: float) -> DataFrame:
     """Log-likelihood of each candidate over all data, the best one marked."""
     per = pooled_loglik(scored, dv, "pred", kind, add, prop, ["cand"])
-    top = per.agg(F.max_by("cand", F.struct("loglik", -F.col("cand"))).alias("best")).scalar()
+    top = F.max_by("cand", F.struct("loglik", -F.col("cand"))).over(Window.partitionBy(F.lit(0)))  # a row per candidate
     return per.select("cand", "loglik", (F.col("cand") == top).alias("best"))
 
 
@@ -161,7 +164,7 @@ def shrinkage(deviations: DataFrame, omega: Mapping[str, float]) -> DataFrame:
 def cov_effect_size(params: DataFrame, by: str, column: str, baseline, hot=skew.LOOK) -> DataFrame:
     """Parameter statistics per covariate level and the change of the mean against the baseline level."""
     out = stats_of(params, column, ["mean", "median", "min", "max", "std"], [by], hot)
-    base = out.filter(F.col(by) == baseline).select("mean").scalar()
+    base = F.max(F.when(F.col(by) == baseline, F.col("mean"))).over(Window.partitionBy(F.lit(0)))  # a row per level
     return out.withColumn("percent_change", F.try_divide(100 * (F.col("mean") - base), base))
 
 

@@ -15,13 +15,13 @@ from kinetable.plans.quantile import grouped
 from kinetable.session import cut_lineage
 
 
-def draws(subjects: DataFrame, id: str, stratum: str, replicates: int, hot=skew.LOOK) -> DataFrame:
-    """(stratum, replicate, id, times): how often each replicate drew each subject.
+def draws(subjects: DataFrame, id: str, stratum: str, replicates: int, hot=skew.LOOK, columns: Sequence[str] = ()) -> DataFrame:
+    """(stratum, replicate, id, columns, times): how often each replicate drew each subject.
 
     Every stratum is resampled to its own size. ``subjects`` holds one row per subject and is
     read several times.
     """
-    base = subjects.select(id, stratum)
+    base = subjects.select(id, stratum, *columns)
     if hot is skew.LOOK:
         hot = skew.find_hot(base, [stratum])
     ranked = skew.row_number(base, [(id, False)], "_rank", [stratum], hot)
@@ -31,14 +31,13 @@ def draws(subjects: DataFrame, id: str, stratum: str, replicates: int, hot=skew.
     hashed = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long")
     picked = rolled.select(stratum, "replicate", (hashed % F.col("_n") + 1).alias("_rank"))
     times = picked.groupBy(stratum, "replicate", "_rank").agg(F.count(F.lit(1)).alias("times"))
-    return times.join(ranked, [stratum, "_rank"], "inner").select(stratum, "replicate", id, "times")
+    return times.join(ranked, [stratum, "_rank"], "inner").select(stratum, "replicate", id, *columns, "times")
 
 
 def bootstrap(subjects: DataFrame, id: str, stratum: str, columns: Sequence[str], replicates: int,
               hot=skew.LOOK) -> DataFrame:
     """Mean of each column in every replicate. ``subjects`` is read several times: pass stored rows."""
-    base = subjects.select(id, stratum, *columns)
-    drawn = draws(base, id, stratum, replicates, hot).join(base.drop(stratum), id, "inner")
+    drawn = draws(subjects, id, stratum, replicates, hot, columns)
     times = F.col("times")
     return drawn.groupBy("replicate").agg(*[
         F.try_divide(F.sum(F.col(c) * times), F.sum(F.when(F.col(c).isNotNull(), times))).alias(c) for c in columns
@@ -70,6 +69,7 @@ def sir(candidates: DataFrame, id: str, loglik: str, resamples: int, hot=skew.LO
     each point (m - 1/2) / resamples inside. The points inside are counted directly from the two
     ends, so no join with the points is needed.
     """
+    candidates = cut_lineage(candidates)  # the totals read them again
     topped = skew.attach(candidates, [], {"_top": F.max(loglik)})
     weighted = topped.withColumn("_w", F.exp(F.col(loglik) - F.col("_top"))).withColumn("_g", F.lit(0))
     summed = skew.by_heat(weighted, ["_g"], lambda d, s: s.scan(
@@ -87,15 +87,24 @@ def sir(candidates: DataFrame, id: str, loglik: str, resamples: int, hot=skew.LO
 
 def vpc_bands(observations: DataFrame, id: str, stratum: str, time_bin: str, dv: str, replicates: int,
               hot=skew.LOOK) -> DataFrame:
-    """Observed 5/50/95 % per stratum and time bin, with replicate-based 95 % bands."""
+    """Observed 5/50/95 % per stratum and time bin, with replicate-based 95 % bands.
+
+    A drawn subject's observations count as often as it was drawn; copies are only formed for groups too
+    large for the built-in percentile.
+    """
     marks = {"p05": 0.05, "p50": 0.5, "p95": 0.95}
     base = observations.select(id, stratum, time_bin, dv)
     seen = grouped(base, [stratum, time_bin], dv, {"n": F.count(dv)}, marks, hot)
     drawn = draws(cut_lineage(base.select(id, stratum).distinct()), id, stratum, replicates, hot)
-    copies = base.join(drawn.drop(stratum), id, "inner").withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).drop("_copy")
-    each = grouped(copies, ["replicate", stratum, time_bin], dv, {}, marks,
-                   None if hot is None else skew.LOOK)
+    copies = base.join(drawn.drop(stratum), id, "inner")
+    cell = ["replicate", stratum, time_bin]
+    if hot is None:
+        at = F.array(*[F.lit(p) for p in marks.values()])
+        each = copies.groupBy(*cell).agg(F.percentile(F.col(dv).cast("double"), at, F.col("times")).alias("_q"))
+        each = each.select(*cell, *[F.col("_q")[i].alias(n) for i, n in enumerate(marks)])
+    else:
+        copies = copies.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).drop("_copy")
+        each = grouped(copies, cell, dv, {}, marks)
     long = each.unpivot([stratum, time_bin], list(marks), "mark", "value")
     bands = grouped(long, [stratum, time_bin, "mark"], "value", {}, {"low": 0.025, "high": 0.975}, None)
     wide = seen.unpivot([stratum, time_bin, "n"], list(marks), "mark", "observed")

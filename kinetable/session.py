@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -38,7 +39,7 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):  # local-cluster has executors of its own
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
     own = tempfile.mkdtemp(prefix="kinetable-")
     spark.conf.set(CHECKPOINT_CONF, own)
