@@ -143,6 +143,20 @@ _register("nca_cl_vz_f", "route", "cl_f_obs, vz_f_obs, cl_obs, vz_obs",
 _register("nca_kel", "", "kel", "SELECT *, cl / nullif(vz, 0) AS kel FROM rep")
 _register("nca_steady_state", "", "tau, auctau, cl_ss",
           "SELECT *, 24.0::DOUBLE AS tau, dose / nullif(auctau, 0) AS cl_ss FROM rep", tau=24.0)
+
+
+@query("nca_multi_dose", f"""WITH {PK}, {nca_sql(tau=24.0, llq=0.001)}
+SELECT user_id, occ AS dose_no, CASE WHEN occ >= 2 THEN 1 ELSE 0 END AS ss, sig(cmax) AS cmax, sig(auclast) AS auclast, sig(auctau) AS auctau,
+  sig(dose / nullif(CASE WHEN occ >= 2 THEN auctau ELSE aucinf_obs END, 0)) AS cl FROM rep""")
+def _(spark, d):
+    """Every dose of a subject is a profile; from the second on they count as given at steady state."""
+    hot = hot_users(spark, d)
+    ev = pk_events(spark, d, hot).withColumns({"ss": F.when(F.col("occ") >= 2, 1), "ii": F.lit(24.0), "route": F.lit("ev")}).drop("occ")
+    roles = nca.Roles(id="user_id", time="h", observations="dv", amt="amt", route="route", ii="ii", ss="ss")
+    out = nca.nca_report(nca.nca_doses(ev, roles, 0.001, hot), ["user_id", "dose_no", "ss"], hot=hot)
+    return rounded(nca.dose_clearance(out).select("user_id", "dose_no", "ss", "cmax", "auclast", "auctau", "cl"))
+
+
 _register("nca_infusion_mrt", "", "dur, mrtlast, mrtinf_obs", "SELECT *, 2.0::DOUBLE AS dur FROM rep", route="inf", dur=2.0)
 
 

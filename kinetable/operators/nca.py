@@ -8,11 +8,12 @@ areas and peaks then come from windows and one aggregation over the same partiti
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, functions as F
 
 from kinetable.functions import areas
+from kinetable.operators import sequence
 from kinetable.plans import skew
 
 TOLERANCE = 1e-4  # a longer tail is preferred while its adjusted R2 is within this of the best
@@ -31,6 +32,7 @@ class Roles:
     route: str | None = "route"
     ii: str | None = None
     duration: str | None = None
+    ss: str | None = None  # 1 on a dose given at steady state; see nca_doses
     group: Sequence[str] = field(default_factory=tuple)
 
     @property
@@ -66,6 +68,29 @@ def nca_profiles(df: DataFrame, roles: Roles, hot=skew.LOOK) -> DataFrame:
     )
 
 
+def nca_doses(df: DataFrame, roles: Roles, llq: float | None = None, hot=skew.LOOK) -> DataFrame:
+    """Profiles of subjects with several doses: every dose opens one, with ``dose_no`` and ``ss`` as further keys.
+
+    Observations belong to the latest dose at or before them; what precedes the first dose is left out.
+    ``llq``: concentrations below it are zero before the profile's first quantifiable one, else missing.
+    """
+    is_dose = F.coalesce(F.col(roles.amt) > 0, F.lit(False))
+    steady = F.when(is_dose & (F.col(roles.ss) == 1), 1).otherwise(0) if roles.ss else F.lit(0)
+    rows = df.withColumns({"_evid": F.when(is_dose, 1).otherwise(0), "_ss": steady})
+    rows = sequence.dosing(rows, roles.id, roles.time, "_evid", hot=hot).drop("dose_time", "_evid")
+    rows = rows.filter("occ > 0").withColumnRenamed("occ", "dose_no")
+    by = [*roles.keys, "dose_no"]
+    rows = skew.by_heat(rows, [roles.id], lambda d, s: s.group(d, by, {"ss": F.max("_ss")}), hot).drop("_ss")
+    keyed = replace(roles, group=(*roles.group, "dose_no", "ss"), ss=None)
+    out = nca_profiles(rows, keyed, hot)
+    return out if llq is None else blq(out, keyed.keys, llq, hot)
+
+
+def dose_clearance(report: DataFrame) -> DataFrame:
+    """Add ``cl``: dose over the area of a dosing interval at steady state, else over the extrapolated area."""
+    return report.withColumn("cl", F.try_divide("dose", F.when(F.col("ss") == 1, F.col("auctau")).otherwise(F.col("aucinf_obs"))))
+
+
 def _complete(records: DataFrame) -> DataFrame:
     kinds = {"amt": "double", "route": "string", "tau": "double", "dur": "double"}
     lacking = {n: F.lit(None).cast(k) for n, k in kinds.items() if n not in records.columns}
