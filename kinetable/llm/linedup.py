@@ -113,6 +113,7 @@ def proposals(lines: DataFrame, least: int) -> DataFrame:
     ))
     posted = lines.select("id", F.explode(F.array_distinct(rare)).alias("k")).where("k is not null")
     firsts = posted.groupBy("k").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a < z").select("k", "a")
+    firsts = cut_lineage(firsts)  # read from files, the join can split a line that many documents share
     return posted.join(firsts, "k").where("a < id").select("a", F.col("id").alias("b")).distinct()
 
 
@@ -154,7 +155,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int =
     seen = seen.withColumn("_id", ident)
     lines = _lines(docs.select(ident.alias("id"), text).where("id is not null"), text)
     lines = cut_lineage(lines)
-    unique = lines.groupBy("id").agg(F.first("hashes").alias("hashes"), F.first("sizes").alias("sizes"))
+    unique = cut_lineage(lines.groupBy("id").agg(F.first("hashes").alias("hashes"), F.first("sizes").alias("sizes")))
     pairs = cut_lineage(proposals(lines, least))
     found = cut_lineage(aligned(unique, pairs, least))
     gone = found.groupBy("id").agg(

@@ -168,11 +168,12 @@ def main_text(page: str | None, share: float, radius: int) -> str:
     ratio = {p: (chars[p] - min(links[p], chars[p])) / count[p] for p in count}
     punct = {p: (1 + marks[p]) / count[p] for p in count}
     weights = [exp(-(d * d) / 2) for d in range(-radius, radius + 1)]
-    fused: dict = defaultdict(float)  # mean over the path's blocks of the smoothed ratios' geometric mean
+    fused: dict = defaultdict(float)  # mean over the path's blocks: own and smoothed products of the two ratios
     for i, block in enumerate(own):
         near = [(w, own[j][1]) for w, j in zip(weights, range(i - radius, i + radius + 1), strict=True) if 0 <= j < len(own)]
         whole = sum(w for w, _ in near)
-        fused[block[1]] += sqrt(sum(w * ratio[p] for w, p in near) * sum(w * punct[p] for w, p in near)) / whole / count[block[1]]
+        smooth = sum(w * ratio[p] for w, p in near) / whole * sum(w * punct[p] for w, p in near) / whole
+        fused[block[1]] += sqrt(smooth * ratio[block[1]] * punct[block[1]]) / count[block[1]]
     least = share * max(fused.values())
     seeds = [ids for ids, path, _, _, _ in own if fused[path] >= least]
     common = seeds[0]
@@ -194,7 +195,7 @@ def extract(pages: DataFrame, html_col: str = "html", share: float = 0.2, radius
     elements that by name, role or class are menus, headers, footers, sidebars, notices, adverts, forms
     or reader comments leave; headings in the header of an article stay. For every remaining path the characters
     outside links and the punctuation marks per block are summed, smoothed over ``radius`` neighbours on the
-    page and fused by their geometric mean. Paths with at least ``share`` of the best are content. All
+    page and fused: the geometric mean of the products of the smoothed and of the path's own values. Paths with at least ``share`` of the best are content. All
     blocks below the innermost element that holds all content are the text, in page order, so headings and
     short paragraphs between long ones stay. Where ``article`` or ``main`` elements hold at least half
     of the text, only blocks inside them are considered. Lists of nothing but links leave. Null, empty and

@@ -333,6 +333,7 @@ def repeats(docs: DataFrame, text: str = "text", length: int = 200, broadcast_ro
     located = plain.mapInArrow(lambda b: _batched(_located(b, length)), "tid long, anchor long, content long, start int, n int, again boolean")
     located = cut_lineage(located)
     often = located.groupBy("anchor").agg(F.count("*").alias("m"), F.max("again").alias("again")).where("m > 1 or again").select("anchor")
+    often = cut_lineage(often)  # read from files on both sides, a join can split an anchor that many rows share
     shared = cut_lineage(located.drop("again").join(often, "anchor", "left_semi"))
     unique = cut_lineage(shared.groupBy("anchor", "content").agg(F.count("*").alias("copies"), F.min(F.struct("tid", "start", "n")).alias("at")))
     sizes = cut_lineage(unique.groupBy("anchor").agg(F.sum(F.col("at.n") + length - 1).alias("bytes")))
