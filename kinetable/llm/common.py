@@ -21,30 +21,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """``(id, component)`` of every id in ``links(a, b)``; component is the smallest id reachable.
+    """``(id, component)`` of every id in ``links(a, b)`` but self-links; component is the smallest id reachable.
 
-    Each round every vertex points at the neighbour (or itself) with the smallest hash of that round, the
-    pointer is followed once more, and links are rewritten to their ends' targets. Hashes instead of ids
-    keep sorted chains from shrinking by one vertex a round, so the rounds grow with the logarithm of the
-    longest path. Every step is a join or a partially aggregated minimum; each round is stored.
+    Each round a vertex takes the smallest hash of that round among its neighbours' smallest neighbours, so a star
+    of any size becomes one vertex at once; links are then rewritten to what their ends took. Hashes
+    instead of ids keep sorted chains from shrinking by a few vertices a round. Every step is a join or a
+    partially aggregated minimum, and each round is stored.
     """
-    spark = links.sparkSession
-    edges = cut_lineage(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    ids = edges.select(F.col("a").alias("id")).union(edges.select("b")).distinct()
-    labels = cut_lineage(ids.select("id", F.col("id").alias("label")))
+    undirected = links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    edges = cut_lineage(undirected.distinct())
+    labels = edges.select(F.col("a").alias("id")).union(edges.select("b")).distinct().select("id", F.col("id").alias("label"))
     turn = 0
     while not edges.isEmpty():
         turn += 1
-        draw = lambda c: F.xxhash64(F.col(c), F.lit(turn))
+        drawn = lambda c: F.struct(F.xxhash64(F.col(c), F.lit(turn)).alias("h"), F.col(c).alias("to"))
         ends = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        near = ends.groupBy("a").agg(F.min(F.struct(draw("b").alias("h"), F.col("b").alias("to"))).alias("m"))
-        aims = cut_lineage(near.select(F.col("a").alias("v"), F.when(F.struct(draw("a"), "a") < F.col("m"), F.col("a")).otherwise(F.col("m.to")).alias("to")))
-        on = aims.select(F.col("v").alias("to"), F.col("to").alias("next"))
-        aims = cut_lineage(aims.join(on, "to").select("v", F.col("next").alias("to")))
+        near = cut_lineage(ends.groupBy("a").agg(F.least(F.min(drawn("b")), drawn("a")).alias("m")))
+        seen = ends.join(near.select(F.col("a").alias("b"), F.col("m").alias("m2")), "b").groupBy("a").agg(F.min("m2").alias("m2"))
+        aims = cut_lineage(seen.join(near, "a").select(F.col("a").alias("v"), F.least("m", "m2")["to"].alias("to")))
         at = lambda c, t: aims.select(F.col("v").alias(c), F.col("to").alias(t))
         moved = edges.join(at("a", "x"), "a").join(at("b", "y"), "b").where("x <> y")
         edges = cut_lineage(moved.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-        labels = cut_lineage(labels.join(at("label", "to"), "label", "left").select("id", F.coalesce("to", "label").alias("label")))
+        labels = labels.join(at("label", "next"), "label", "left").select("id", F.coalesce("next", "label").alias("label"))
+    labels = cut_lineage(labels)
     least = labels.groupBy("label").agg(F.min("id").alias("component"))
     return labels.join(least, "label").select("id", "component")
 

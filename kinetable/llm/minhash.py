@@ -17,8 +17,10 @@ from .common import components, ship_by_value, sized_broadcast
 
 ship_by_value(__name__)
 
-COORDS = 64
-STAR_ROUNDS = 3
+COORDS = 64  # posted coordinates
+FINE = 256  # coordinates of one byte, counted but not posted
+BLOCK, BLOCKS = 256, 64  # rows of a block; a group has at most so many blocks
+TASK_ROWS = 2_048  # rows of block pairs that are handed to Python at once
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -59,6 +61,11 @@ def signature(own: np.ndarray, coords: int) -> np.ndarray:
     return (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
+def fine(own: np.ndarray) -> bytes:
+    """The last byte of the smallest value under each of ``FINE`` further hash functions."""
+    return (signature(_mix(own + _M1), FINE) & 0xFF).astype(np.uint8).tobytes()
+
+
 def _identity(own: np.ndarray) -> int:
     """64 bits of the whole set."""
     both = np.array([len(own), (own * _M1).sum(dtype=np.uint64), np.bitwise_xor.reduce(_mix(own))], np.uint64)
@@ -87,19 +94,20 @@ def sketches(docs: DataFrame, key: str, text: str, width: int, coords: int) -> D
 
 
 def sets(docs: DataFrame, text: str, width: int) -> DataFrame:
-    """``(sid, own)``: the full shingle set of each document."""
+    """``(sid, own, fine)``: the full shingle set of each document and its fine signature."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sid, own = [], []
-            for t in batch.column(0):
-                found = shingles(t.as_py(), width)
-                if len(found):
-                    sid.append(_identity(found))
-                    own.append(found.view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(sid, pa.int64()), pa.array(own, pa.list_(pa.int64()))], ["sid", "own"])
+            found = [x for t in batch.column(0) if len(x := shingles(t.as_py(), width))]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([_identity(x) for x in found], pa.int64()), pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64())),
+                    pa.array([fine(x) for x in found], pa.binary()),
+                ],
+                ["sid", "own", "fine"],
+            )
 
-    return docs.select(text).mapInArrow(work, "sid long, own array<long>")
+    return docs.select(text).mapInArrow(work, "sid long, own array<long>, fine binary")
 
 
 def match_threshold(percent: int, coords: int) -> int:
@@ -109,8 +117,8 @@ def match_threshold(percent: int, coords: int) -> int:
 
 
 def prefixes(reps: DataFrame, least: int) -> DataFrame:
-    """``(sid, n, keys, prefix)``: coordinate-value pairs that some other set shares, rarest first, and the first
-    of them, one of which any partner with ``least`` matches must share.
+    """``(sid, n, keys, prefix, weight)``: coordinate-value pairs that some other set shares, rarest first; the first
+    of them, one of which any partner with ``least`` matches must share; and how often all of them are shared.
     """
     value = F.col("value").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))
     posted = reps.select("sid", F.posexplode("sig").alias("coord", "value"))
@@ -118,59 +126,98 @@ def prefixes(reps: DataFrame, least: int) -> DataFrame:
     shared = posted.groupBy("k").agg(F.count("*").alias("df")).where("df > 1")
     listed = posted.join(shared, "k").groupBy("sid").agg(F.array_sort(F.collect_list(F.struct("df", "k"))).alias("l"))
     listed = listed.where(F.size("l") >= least)
-    listed = listed.select("sid", F.col("l.k").alias("keys"), F.slice("l.k", 1, F.size("l") - least + 1).alias("prefix"))
+    weight = F.aggregate("l", F.lit(0).cast("long"), lambda total, x: total + x["df"])
+    listed = listed.select("sid", F.col("l.k").alias("keys"), F.slice("l.k", 1, F.size("l") - least + 1).alias("prefix"), weight.alias("weight"))
     return listed.join(reps.select("sid", "n"), "sid")
 
 
+def _compare(rows: pa.Table, least: int, percent: int) -> pa.Table:
+    """Pairs of block pairs, across components only, whose fine signatures agree in ``least`` coordinates and whose
+    sets of 31-bit shingle hashes are similar enough; these can only seem more similar than the full sets.
+    """
+    sets = rows.column("small").combine_chunks()
+    sets = sets.chunk(0) if isinstance(sets, pa.ChunkedArray) else sets
+    values, edges = sets.values.to_numpy(), sets.offsets.to_numpy()
+    hub, block, i, j, sid, n, c = (rows.column(x).to_numpy() for x in ("hub", "block", "i", "j", "sid", "n", "c"))
+    own = np.frombuffer(b"".join(rows.column("fine").to_pylist()), np.uint8).reshape(-1, FINE)
+    order = np.lexsort((j, i, hub))
+    new = [(x[order][1:] != x[order][:-1]) for x in (hub, i, j)]
+    a, b = [], []
+    for part in np.split(order, np.flatnonzero(new[0] | new[1] | new[2]) + 1):
+        left, right = part[block[part] == i[part]], part[block[part] == j[part]]
+        for x in left:
+            some = right[(c[right] != c[x]) & (100 * np.minimum(n[right], n[x]) >= percent * np.maximum(n[right], n[x]))]
+            some = some[(own[some] == own[x]).sum(axis=1) >= least]
+            if not len(some):
+                continue
+            mine = np.unique(values[edges[x] : edges[x + 1]])
+            sizes = edges[some + 1] - edges[some]
+            theirs = np.concatenate([values[edges[y] : edges[y + 1]] for y in some])
+            at = np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)
+            same = np.add.reduceat(mine[at] == theirs, np.cumsum(sizes) - sizes, dtype=np.int64)
+            some = some[100 * same >= percent * (n[x] + sizes - same)]
+            a.extend(np.minimum(sid[some], sid[x]).tolist())
+            b.extend(np.maximum(sid[some], sid[x]).tolist())
+    return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
 def links(docs: DataFrame, reps: DataFrame, key: str, text: str, width: int, percent: int, coords: int) -> DataFrame:
-    """``(id, component)`` of every set that is linked with another: links are confirmed on full sets.
+    """``(id, component)`` of every set that has a candidate; links are confirmed on full sets.
 
-    Connectivity needs no more than a spanning set of links, so the members of a posting list are first
-    compared with one hub of the list, a few rounds with other hubs for those that are still apart;
-    then every pair of a list whose members are in different components is compared. No pair within a
-    component that is already connected is formed, and no list is cut.
+    Connectivity needs no more than a spanning set of links. The members of a posting list are first compared
+    with the list's hub, the set whose values are shared most, so the origin of many near copies. Lists with
+    one hub then form a group, and its members that are still in different components are compared by
+    their fine signatures and then their sets, block by block inside tasks; only similar pairs leave a task. Every pair that shares
+    a posted value is in a group, and no list or group is cut.
     """
-    least = match_threshold(percent, coords)
+    least, fine_least = match_threshold(percent, coords), match_threshold(percent, FINE)
     listed = cut_lineage(prefixes(reps, least))
-    posts = listed.select("sid", "n", F.explode("prefix").alias("k"))
-    crowded = posts.groupBy("k").agg(F.count("*").alias("c")).where("c > 1")
-    posts = cut_lineage(posts.join(crowded, "k").select("k", "sid", "n"))
-    wanted = posts.select("sid").distinct()
-    wanted = cut_lineage(reps.join(wanted, "sid", "left_semi").select("rep"))
-    found = docs.join(sized_broadcast(wanted.distinct()), F.col(key).eqNullSafe(F.col("rep")), "left_semi")
-    full = cut_lineage(sets(found, text, width).groupBy("sid").agg(F.first("own").alias("own")))
-    spark = docs.sparkSession
-    close = lambda a, b: 100 * F.least(a, b) >= percent * F.greatest(a, b)
-    done = spark.createDataFrame([], "a long, b long")
-    confirmed = spark.createDataFrame([], "a long, b long")
-    labels = spark.createDataFrame([], "id long, component long")
-    for turn in range(STAR_ROUNDS + 1):
-        own = posts.join(labels, posts["sid"] == labels["id"], "left").select("k", "sid", "n", F.coalesce("component", "sid").alias("c"))
-        if turn:
-            apart = own.groupBy("k").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi")
-            own = cut_lineage(own.join(apart.select("k"), "k"))
-            if own.isEmpty():
-                break
-        if turn < STAR_ROUNDS:
-            draw = F.xxhash64("c" if turn else "sid", F.lit(turn))
-            other = own.groupBy("k").agg(F.min(F.struct(draw.alias("h"), "sid", "n", "c")).alias("m"))
-            other = other.select("k", F.col("m.sid").alias("sid2"), F.col("m.n").alias("n2"), F.col("m.c").alias("c2"))
-            pairs = own.join(other, "k").where("c <> c2")
-        else:
-            pairs = own.join(own.select("k", F.col("sid").alias("sid2"), F.col("n").alias("n2"), F.col("c").alias("c2")), "k").where("c < c2")
-        pairs = pairs.where(close(F.col("n"), F.col("n2"))).select(F.least("sid", "sid2").alias("a"), F.greatest("sid", "sid2").alias("b")).distinct()
-        pairs = cut_lineage(pairs.join(done, ["a", "b"], "left_anti"))
-        at = lambda s, x: s.select(F.col("sid").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in s.columns if c != "sid"))
-        keys = listed.select("sid", "keys")
-        matched = pairs.join(at(keys, "a"), "a").join(at(keys, "b"), "b").where(F.size(F.array_intersect("keys_a", "keys_b")) >= least).select("a", "b")
-        same = F.size(F.array_intersect("own_a", "own_b"))
-        sure = matched.join(at(full, "a"), "a").join(at(full, "b"), "b").withColumn("same", same)
-        sure = sure.where(100 * F.col("same") >= percent * (F.size("own_a") + F.size("own_b") - F.col("same"))).select("a", "b")
-        sure = cut_lineage(sure)
-        done, confirmed = done.unionByName(pairs), confirmed.unionByName(sure)
-        if not sure.isEmpty():
-            labels = components(confirmed)
-    return labels
+    posts = listed.select("sid", "n", "weight", F.explode("prefix").alias("k"))
+    drawn = F.struct("weight", "sid", "n")
+    hubs = posts.groupBy("k").agg(F.count("*").alias("m"), F.max(drawn).alias("hub")).where("m > 1")
+    hubs = cut_lineage(hubs)  # read from files, joins can split a value or hub that many sets share
+    members = posts.join(hubs, "k").select(F.col("hub.sid").alias("hub"), F.col("hub.n").alias("hub_n"), "sid", "n").distinct()
+    members = cut_lineage(members)
+    close = 100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n")
+    pairs = members.where((F.col("sid") != F.col("hub")) & close).select(F.least("sid", "hub").alias("a"), F.greatest("sid", "hub").alias("b")).distinct()
+    at = lambda s, x: s.select(F.col("sid").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in s.columns if c != "sid"))
+    keys = listed.select("sid", "keys")
+    matched = pairs.join(at(keys, "a"), "a").join(at(keys, "b"), "b").where(F.size(F.array_intersect("keys_a", "keys_b")) >= least)
+    matched = cut_lineage(matched.select("a", "b"))
+    # what may still have a partner: members of a group with more than its hub and one other
+    sizes = cut_lineage(members.groupBy("hub").agg(F.count("*").alias("size")).where("size > 2"))
+    crowded = cut_lineage(members.join(sizes, "hub"))
+    wanted = matched.select(F.col("a").alias("sid")).union(matched.select("b")).union(crowded.select("sid")).distinct()
+    wanted = cut_lineage(reps.join(wanted, "sid", "left_semi").select("rep").distinct())
+    found = docs.join(sized_broadcast(wanted), F.col(key).eqNullSafe(F.col("rep")), "left_semi")
+    full = cut_lineage(sets(found, text, width).groupBy("sid").agg(F.first("own").alias("own"), F.first("fine").alias("fine")))
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        own = full.select("sid", "own")
+        both = pairs.join(at(own, "a"), "a").join(at(own, "b"), "b").withColumn("same", F.size(F.array_intersect("own_a", "own_b")))
+        union = F.size("own_a") + F.size("own_b") - F.col("same")
+        return cut_lineage(both.where(100 * F.col("same") >= percent * union).select("a", "b"))
+
+    ids = members.select(F.col("sid").alias("id")).distinct()
+    first = components(confirmed(matched))
+    labels = cut_lineage(ids.join(first, "id", "left").select("id", F.coalesce("component", "id").alias("c")))
+    named = crowded.join(labels, crowded["sid"] == labels["id"]).select("hub", "sid", "n", "c", "size")
+    apart = named.groupBy("hub").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("hub")
+    apart = cut_lineage(apart)
+    # every block meets every block: rows of block x go to the pairs (min(x, y), max(x, y))
+    blocks = F.least(F.ceil(F.col("size") / BLOCK), F.lit(BLOCKS)).cast("int")
+    dealt = named.join(apart, "hub", "left_semi").withColumns({"blocks": blocks, "block": F.pmod(F.xxhash64("sid"), blocks).cast("int")})
+    small = F.transform("own", lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("small")
+    dealt = dealt.join(full.select("sid", "fine", small), "sid").withColumn("y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("hub", "sid", "n", "c", "fine", "small", "block", F.least("block", "y").alias("i"), F.greatest("block", "y").alias("j"))
+    n_rows = crowded.agg(F.sum(F.least(F.ceil(F.col("size") / BLOCK), F.lit(BLOCKS)))).first()[0] or 0
+    bucket = F.pmod(F.xxhash64("hub", "i", "j"), F.lit(n_rows // TASK_ROWS + 1)).alias("bucket")
+    again = dealt.groupBy(bucket).applyInArrow(lambda rows: _compare(rows, fine_least, percent), "a long, b long").distinct()
+    more = confirmed(cut_lineage(again.where("a <> b").join(matched, ["a", "b"], "left_anti")))
+    of = lambda c, t: labels.select(F.col("id").alias(c), F.col("c").alias(t))
+    ends = more.join(of("a", "x"), "a").join(of("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    whole = components(ends).select(F.col("id").alias("c"), F.col("component").alias("whole"))
+    return labels.join(whole, "c", "left").select("id", F.coalesce("whole", "c").alias("component"))
 
 
 def group(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80, coords: int = COORDS) -> DataFrame:

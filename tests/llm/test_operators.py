@@ -359,7 +359,8 @@ def groups_by_hand(docs, width, percent):
 
 
 @pytest.mark.parametrize("width", [2, 5])
-def test_minhash(spark, width):
+def test_minhash(spark, monkeypatch, width):
+    monkeypatch.setattr(minhash, "BLOCK", 4)  # groups of several blocks
     rng = random.Random(11)
     vocabulary = [f"w{i}" for i in range(60)]
     bases = [[rng.choice(vocabulary) for _ in range(rng.randint(3, 60))] for _ in range(12)]
