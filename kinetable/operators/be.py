@@ -6,7 +6,7 @@ Every function groups by ``[*by, "endpoint"]``; one study is the case ``by=[]``.
 from __future__ import annotations
 
 import sys
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -259,11 +259,17 @@ def _nearest_difference(sides: DataFrame, wanted: DataFrame, keys: Sequence[str]
     return pairs.filter("difference IS NOT NULL").groupBy(*group).agg(F.min_by("difference", F.struct(off, "difference")).alias("difference"))
 
 
-def be_endpoints(data: DataFrame, by: Sequence[str] = (), hot=skew.LOOK) -> DataFrame:
-    """Every endpoint by its default method: names containing "tmax" nonparametric, others linear."""
-    tmax = F.lower("endpoint").contains("tmax")
-    lm = be_result(data.filter(~tmax), by).select(*by, "endpoint", F.lit("lm").alias("method"), "pe", "lnlb", "lnub")
-    nonpar = be_nonpar(data.filter(tmax), by, hot=hot).select(
+def be_endpoints(data: DataFrame, by: Sequence[str] = (), hot=skew.LOOK, methods: Mapping[str, str] | None = None) -> DataFrame:
+    """Every endpoint by its method, ``lm`` or ``nonpar``: as ``methods`` says by endpoint, else names containing
+    "tmax" nonparametric, others linear.
+    """
+    if bad := {m for m in (methods or {}).values() if m not in ("lm", "nonpar")}:
+        raise ValueError(f"methods are lm and nonpar, not {sorted(bad)}")
+    ranked = F.lower("endpoint").contains("tmax")
+    for name, method in (methods or {}).items():
+        ranked = F.when(F.col("endpoint") == name, F.lit(method == "nonpar")).otherwise(ranked)
+    lm = be_result(data.filter(~ranked), by).select(*by, "endpoint", F.lit("lm").alias("method"), "pe", "lnlb", "lnub")
+    nonpar = be_nonpar(data.filter(ranked), by, hot=hot).select(
         *by, "endpoint", F.lit("nonpar").alias("method"), "pe",
         F.lit(None).cast("double").alias("lnlb"), F.lit(None).cast("double").alias("lnub"))
     return lm.unionByName(nonpar)

@@ -31,6 +31,15 @@ def read_csv(
     return df.na.drop(subset=list(required)) if required else df
 
 
+def rejected_values(spark: SparkSession, path: str, schema: str | StructType, missing: Sequence[str] = MISSING) -> DataFrame:
+    """``(column, rejected)``: how many present values of each column ``read_csv`` makes NULL because they don't convert."""
+    want = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    text = read_csv(spark, path, missing)
+    names = [f.name for f in want.fields]
+    lost = [F.count_if(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()).alias(f.name) for f in want.fields]
+    return text.agg(*lost).unpivot([], names, "column", "rejected")
+
+
 def read_csv_skip_units(spark: SparkSession, path: str, schema: str, key: str,
                         missing: Sequence[str] = MISSING) -> DataFrame:
     """CSV with a units line below the header: lines whose key is not a number are not data."""

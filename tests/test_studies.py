@@ -83,6 +83,15 @@ def test_lsmeans_ratio_is_the_estimate(study):
         assert ls[r.endpoint, "T"] / ls[r.endpoint, "R"] == pytest.approx(r.gmr)
 
 
+def test_method_by_endpoint(study):
+    default = {r.endpoint: r.method for r in be.be_endpoints(study).collect()}
+    name = sorted(default)[0]
+    other = "nonpar" if default[name] == "lm" else "lm"
+    assert {r.endpoint: r.method for r in be.be_endpoints(study, methods={name: other}).collect()} == {**default, name: other}
+    with pytest.raises(ValueError):
+        be.be_endpoints(study, methods={name: "anova"})
+
+
 def test_one_sequence_gives_no_estimate(spark):
     df = spark.createDataFrame([(1, "RT", 1, 5.0), (1, "RT", 2, 6.0)], "id long, sequence string, period int, y double")
     r = be.be_result(be.be_input(df, ["y"])).collect()[0]

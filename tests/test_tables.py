@@ -23,6 +23,19 @@ def test_csv_tokens_and_units(spark):
     assert [tuple(r) for r in got] == [(1, 44.0, "inf"), (2, None, None), (3, None, "ev")]
 
 
+def test_rejected_values(spark):
+    path = fresh_path(spark, "csv")
+    spark.createDataFrame([("1", "4x"), ("2", "NA"), ("b", "5")], "id string, age string").write.option("header", True).csv(path)
+    got = {r.column: r.rejected for r in tables.rejected_values(spark, path, "id long, age double").collect()}
+    assert got == {"id": 1, "age": 1}
+
+
+def test_zero_variance_is_counted(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (3.0, 0.0), (None, 0.0), (5.0, None)], "dv double, pred double")
+    r = metrics.pooled_loglik(df, "dv", "pred", "proportional", 0.0, 0.1).first()
+    assert (r.n_obs, r.n_excluded) == (1, 1)
+
+
 def test_shared_dir_is_the_session_setting(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
 
