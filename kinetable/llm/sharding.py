@@ -68,20 +68,20 @@ def shard_of(keys: Sequence[Column], tree: Sequence[Shard]) -> Column:
 
 
 def number(rows: DataFrame, by: str, to: str) -> DataFrame:
-    """``rows`` with ``to``: 0, 1, 2 ... within each ``by``, any group size.
+    """``rows`` with ``to``: 0, 1, 2 ... within each ``by``, which is never null; any group size.
 
     Rows are stored first, so the splits of the stored files are the same whenever a task runs again. They
-    are numbered within (group, split), a bounded number of rows, and moved by the rows of earlier splits.
+    are numbered within (group, split), a bounded number of rows, and moved by the rows of earlier splits; both
+    steps need the same partitioning, so rows are shuffled once.
     """
     stored = cut_lineage(rows.drop(to))
     seen = stored.withColumns({"_split": F.spark_partition_id(), "_at": F.monotonically_increasing_id()})
     local = F.row_number().over(Window.partitionBy(by, "_split").orderBy("_at")).cast("long") - 1
     counts = stored.select(F.col(by), F.spark_partition_id().alias("_split")).groupBy(by, "_split").agg(F.count("*").alias("_n"))
     earlier = Window.partitionBy(by).orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
-    moved = counts.select(F.col(by).alias("_by"), F.col("_split").alias("_s"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    numbered = seen.withColumn(to, local)
-    joined = numbered.join(moved, numbered[by].eqNullSafe(moved["_by"]) & (numbered["_split"] == moved["_s"]))
-    return joined.withColumn(to, F.col(to) + F.col("_before")).drop("_by", "_s", "_before", "_split", "_at")
+    moved = counts.select(by, "_split", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    joined = seen.withColumn(to, local).join(moved, [by, "_split"])
+    return joined.select(*stored.columns, (F.col(to) + F.col("_before")).alias(to))
 
 
 def assign(docs: DataFrame, tree: Sequence[Shard], key: str = "doc_id") -> DataFrame:
