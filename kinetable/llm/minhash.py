@@ -133,7 +133,8 @@ def prefixes(reps: DataFrame, least: int) -> DataFrame:
 
 def _compare(rows: pa.Table, least: int, percent: int) -> pa.Table:
     """Pairs of block pairs, across components only, whose fine signatures agree in ``least`` coordinates and whose
-    sets of 31-bit shingle hashes are similar enough; these can only seem more similar than the full sets.
+    sets of 31-bit shingle hashes are similar enough; these can only seem more similar than the full sets. A set
+    leaves with its most similar partner in each other component.
     """
     sets = rows.column("small").combine_chunks()
     sets = sets.chunk(0) if isinstance(sets, pa.ChunkedArray) else sets
@@ -155,7 +156,10 @@ def _compare(rows: pa.Table, least: int, percent: int) -> pa.Table:
             theirs = np.concatenate([values[edges[y] : edges[y + 1]] for y in some])
             at = np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)
             same = np.add.reduceat(mine[at] == theirs, np.cumsum(sizes) - sizes, dtype=np.int64)
-            some = some[100 * same >= percent * (n[x] + sizes - same)]
+            near = 100 * same >= percent * (n[x] + sizes - same)
+            some, alike = some[near], (same / (n[x] + sizes - same))[near]
+            some = some[np.lexsort((-alike, c[some]))]
+            some = some[np.unique(c[some], return_index=True)[1]]  # one link joins x with a whole component
             a.extend(np.minimum(sid[some], sid[x]).tolist())
             b.extend(np.maximum(sid[some], sid[x]).tolist())
     return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
