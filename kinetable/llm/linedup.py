@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from kinetable.session import cut_lineage
 
-from .common import ship_by_value
+from .common import ship_by_value, sized_broadcast
 
 ship_by_value(__name__)
 
@@ -100,23 +100,6 @@ def _lines(docs: DataFrame, text: str) -> DataFrame:
     return docs.select("id", F.col(text).alias("t")).mapInArrow(work, f"id {kind.simpleString()}, hashes array<long>, sizes array<int>")
 
 
-def proposals(lines: DataFrame, least: int) -> DataFrame:
-    """``(a, b)``: documents and the first document that holds one of their rare line hashes.
-
-    A line of ``least`` characters is rare enough by itself, a shorter one together with the line after it.
-    A hash's holders are paired with the first of them alone, so pairs grow with the lines and no
-    frequency is capped.
-    """
-    whole = F.arrays_zip("hashes", "sizes")
-    rare = F.transform(whole, lambda x, i: F.when(x["hashes"] == 0, None).when(x["sizes"] >= least, x["hashes"]).otherwise(
-        F.xxhash64(x["hashes"], F.get(F.col("hashes"), i + 1))
-    ))
-    posted = lines.select("id", F.explode(F.array_distinct(rare)).alias("k")).where("k is not null")
-    firsts = posted.groupBy("k").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a < z").select("k", "a")
-    firsts = cut_lineage(firsts)  # read from files, the join can split a line that many documents share
-    return posted.join(firsts, "k").where("a < id").select("a", F.col("id").alias("b")).distinct()
-
-
 def aligned(lines: DataFrame, pairs: DataFrame, least: int) -> DataFrame:
     """``(id, first, end, a)``: lines of a later document that are aligned with document ``a``."""
     left = lines.select(F.col("id").alias("a"), F.col("hashes").alias("ha"))
@@ -141,13 +124,130 @@ def aligned(lines: DataFrame, pairs: DataFrame, least: int) -> DataFrame:
     return both.mapInArrow(work, f"id {kind}, first int, end int, a {kind}")
 
 
+def windows(hashes: list[int], sizes: list[int], least: int) -> list[tuple[int, int]]:
+    """The shortest ranges of at least ``least`` characters from every line on and up to every line: any run of so many
+    characters is a union of such ranges.
+    """
+    found: set[tuple[int, int]] = set()
+    j = total = 0
+    for i in range(len(hashes)):
+        while j < len(hashes) and (total < least or j == i):
+            total += sizes[j]
+            j += 1
+        if total >= least:
+            found.add((i, j))
+        total -= sizes[i]
+    i, total = len(hashes), 0
+    for j in range(len(hashes), 0, -1):
+        while i > 0 and (total < least or i == j):
+            i -= 1
+            total += sizes[i]
+        if total >= least:
+            found.add((i, j))
+        total -= sizes[j - 1]
+    return sorted(found)
+
+
+def postings(lines: DataFrame, least: int) -> DataFrame:
+    """``(k, id, first, end)``: the windows of every document; equal lines have the same ``k``."""
+    kind = lines.schema["id"].dataType.simpleString()
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, key, first, end = [], [], [], []
+            for i, (h, z) in enumerate(zip(batch.column("hashes").to_pylist(), batch.column("sizes").to_pylist(), strict=True)):
+                raw = np.array(h, np.int64).tobytes()
+                for a, b in windows(h, z, least):
+                    at.append(i)
+                    key.append(h[a] if b == a + 1 else xxhash.xxh3_64_intdigest(raw[8 * a : 8 * b]) - (1 << 63))
+                    first.append(a)
+                    end.append(b)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key, pa.int64()), batch.column("id").take(pa.array(at, pa.int64())), pa.array(first, pa.int32()), pa.array(end, pa.int32())],
+                ["k", "id", "first", "end"],
+            )
+
+    return lines.select("id", "hashes", "sizes").mapInArrow(work, f"k long, id {kind}, first int, end int")
+
+
+def uncovered(posted: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows of ``posted`` with a line that is in no range of ``found``."""
+    kind = posted.schema["id"].dataType.simpleString()
+    own = posted.groupBy("id").agg(F.collect_list(F.struct("k", "first", "end")).alias("own"))
+    gone = found.groupBy("id").agg(F.collect_set(F.struct("first", "end")).alias("gone"))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, rows = [], []
+            for i, (own, gone) in enumerate(zip(batch.column("own").to_pylist(), batch.column("gone").to_pylist(), strict=True)):
+                out = np.zeros(max(w["end"] for w in own) + 1, np.int64)
+                for r in gone or ():
+                    out[r["first"] : r["end"]] = 1
+                before = np.concatenate([[0], np.cumsum(out)])
+                left = [w for w in own if before[w["end"]] - before[w["first"]] < w["end"] - w["first"]]
+                at.extend([i] * len(left))
+                rows.extend(left)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([w["k"] for w in rows], pa.int64()), batch.column("id").take(pa.array(at, pa.int64())),
+                    pa.array([w["first"] for w in rows], pa.int32()), pa.array([w["end"] for w in rows], pa.int32()),
+                ],
+                ["k", "id", "first", "end"],
+            )
+
+    return own.join(gone, "id", "left").select("id", "own", "gone").mapInArrow(work, f"k long, id {kind}, first int, end int")
+
+
+def _level() -> Column:
+    """Zero bits at the end of a hash of ``id``: every level has half as many ids as the level below."""
+    h = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
+    return F.bit_count(h.bitwiseAND(-h) - 1)
+
+
+def shared_blocks(lines: DataFrame, least: int) -> DataFrame:
+    """``(id, first, end, a)``: lines of a later document that are aligned with document ``a``; ``lines`` has an id once.
+
+    The lines are those that aligning every pair of documents would find. Holders of a window are aligned with its
+    first holder. Where a window then isn't covered, its document is aligned with the window's other earlier
+    holders, few at first and four times as many each round, until it is covered or none is left.
+    """
+    posted = cut_lineage(postings(lines, least))
+    firsts = posted.groupBy("k").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a < z").select("k", "a")
+    firsts = cut_lineage(firsts)  # read from files, the join can split a window that many documents share
+    later = cut_lineage(posted.join(firsts, "k").where("a < id"))
+    found = cut_lineage(aligned(lines, later.select("a", F.col("id").alias("b")).distinct(), least))
+    left = cut_lineage(uncovered(later.select("k", "id", "first", "end"), found))
+    if left.isEmpty():
+        return found
+    wanted = sized_broadcast(cut_lineage(left.select("k").distinct()))
+    holders = cut_lineage(posted.join(wanted, "k", "left_semi").select("k", "id").distinct().withColumn("level", _level()))
+    owners = holders.select("id").distinct()
+    lines = cut_lineage(lines.join(sized_broadcast(cut_lineage(owners)), "id", "left_semi"))
+    have = cut_lineage(found.join(left.select("id").distinct(), "id", "left_semi").select("id", "first", "end"))
+    most = holders.groupBy("k").count().agg(F.max("count")).first()[0]
+    high, low = 65, min(most.bit_length() - 1, 30)
+    while not left.isEmpty():
+        some = holders.where((F.col("level") >= low) & (F.col("level") < high)).select("k", F.col("id").alias("a"))
+        pairs = cut_lineage(left.join(some, "k").where("a < id").select("a", F.col("id").alias("b")).distinct())
+        if not pairs.isEmpty():
+            more = cut_lineage(aligned(lines, pairs, least))
+            found = found.unionByName(more)
+            have = have.unionByName(more.select("id", "first", "end"))
+            left = cut_lineage(uncovered(left, have))
+        if low == 0:
+            break
+        high, low = low, max(0, low - 2)
+    return found
+
+
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = 40, broadcast_rows: int = 200_000) -> DataFrame:
     """``docs`` with ``text`` without the lines that an earlier document has, and ``n_lines``, ``removed`` (line
     ranges, end exclusive) and ``partners`` (keys of the documents they are aligned with).
 
     Documents are ordered by key and, for equal keys, by a hash of the text; equal rows are one document and don't
     touch each other. Of every aligned pair the common blocks of at least ``least`` characters leave
-    the later document; blocks are judged on the input. Rows with a null key or text stay as they are (null text: no
+    the later document; blocks are judged on the input. Removed are the lines that all pairs of documents would give;
+    a document is aligned with further partners only as long as it shares a run that is still there. Rows with a null key or text stay as they are (null text: no
     lines). Columns of these names are replaced.
     """
     seen = docs.drop("n_lines", "removed", "partners", "_id")
@@ -156,8 +256,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int =
     lines = _lines(docs.select(ident.alias("id"), text).where("id is not null"), text)
     lines = cut_lineage(lines)
     unique = cut_lineage(lines.groupBy("id").agg(F.first("hashes").alias("hashes"), F.first("sizes").alias("sizes")))
-    pairs = cut_lineage(proposals(lines, least))
-    found = cut_lineage(aligned(unique, pairs, least))
+    found = shared_blocks(unique, least)
     gone = found.groupBy("id").agg(
         F.array_sort(F.collect_set(F.struct("first", "end"))).alias("ranges"), F.array_sort(F.collect_set("a.key")).alias("partners")
     )

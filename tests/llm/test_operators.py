@@ -338,6 +338,32 @@ def test_line_dedup(spark):
     assert linedup.dedup(frame(spark, [])).count() == 0
 
 
+def test_line_dedup_beyond_first_holder(spark):
+    long = "a line that is long enough by itself to be a block"
+    s = [f"short line {i:04}" for i in range(4)]
+    fixtures = [
+        [s[1:3], s[2:4], ["p", *s[1:4], "q"], ["r", *s[1:4], "t"]],
+        [["x", long, "y", long, "z"], ["p", long, "q"], ["u", long, "v"], ["w", long]],
+    ]
+    rng = random.Random(7)
+    for _ in range(6):
+        say = lambda: rng.choice([f"{rng.randint(0, 5)} short text", f"{rng.randint(0, 9)} {long}", "", f"own {rng.random()}"])
+        fixtures.append([[say() for _ in range(rng.randint(1, 14))] for _ in range(25)])
+    rows = [(100 * i + j, "\n".join([f"# {i} " + x if x else "" for x in d])) for i, docs in enumerate(fixtures) for j, d in enumerate(docs)]
+    made = {i: linedup.line_hashes(t) for i, t in rows}
+    want = {}
+    for b in made:  # every pair of documents
+        gone = set()
+        for a in made:
+            if a < b:
+                for x, y in linedup.common_blocks(made[a][0], *made[b], 40):
+                    gone.update(range(x, y))
+        want[b] = gone
+    got = {r.doc_id: {x for o in r.removed for x in range(o.first, o.end)} for r in linedup.dedup(frame(spark, rows)).collect()}
+    assert got == want
+    assert want[3] == {1, 2, 3} and want[102] == {1} and want[103] == {1}
+
+
 # ---------------------------------------------------------------- op10
 
 def groups_by_hand(docs, width, percent):
