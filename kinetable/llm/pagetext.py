@@ -38,6 +38,9 @@ _WORDS = frozenset(
     notice notices alert popup modal overlay newsletter subscribe subscription signup login share sharing sharebar social related
     recommended recommendations widget toolbar pagination pager copyright legal skip search form""".split()
 )
+_MENUS = frozenset("nav menu navigation menubar".split())  # elements and roles that are never text
+_BESIDE = frozenset("li dt dd td th caption figcaption pre".split()) | _HEADINGS  # short parts that stay beside content
+LOWERED = 0.1  # what a path's characters count for under each element that names call foreign
 _ROOTS = frozenset("html body main".split())
 _ARTICLES_OUT = frozenset("ad advert advertisement sponsored promo related comment comments reply replies".split())
 
@@ -50,26 +53,34 @@ _MARKED = re.compile(r"/(?:article|main)(?:[./]|$)")
 _PUNCT = re.compile(r"[.,;:!?。，！？،؟]")
 
 
-def _foreign(tag: str, attrs: str, inside: bool) -> tuple[bool, str]:
-    """Whether an element opens something other than the article, and its label on the tag path."""
-    label, out = tag, tag in _PARTS
+def _foreign(tag: str, attrs: str, inside: bool) -> tuple[bool, int, bool, str]:
+    """Whether an element is a menu or hidden, whether names call it something other than the article (2: elements
+    and roles made for that), whether it may head an article, and its label on the tag path.
+    """
+    label, menu, named = tag, tag in _MENUS, set()
+    part = tag in _PARTS
     if attrs:
         for key, a, b, c, hidden in _ATTR.findall(attrs):
             value, key = (a or b or c).lower(), key.lower()
             if key == "class":
                 label = f"{tag}.{value}"
-            if key == "role" and value in _ROLES or hidden or key == "style" and "display:none" in value.replace(" ", ""):
-                out = True
+            if hidden or key == "style" and "display:none" in value.replace(" ", "") or key == "role" and value in _MENUS:
+                menu = True
+            elif key == "role" and value in _ROLES:
+                part = True
             elif key in ("class", "id") and tag not in _ROOTS:
                 words = set(re.split(r"[^a-z0-9]+", _NEGATED.sub(" ", value))) - ({"header"} if inside else set())
-                out = out or not (_ARTICLES_OUT if tag == "article" else _WORDS).isdisjoint(words)
-    return out, label
+                named |= words & (_ARTICLES_OUT if tag == "article" else _WORDS)
+    heads = inside if tag == "header" else not part
+    return menu, 2 if part and tag != "form" else int(part or bool(named)), heads and named <= {"header"}, label
 
 
-def blocks(page: str) -> list[tuple[tuple[int, ...], str, str, int, bool]]:
-    """Text blocks in page order: (ids of the open elements, tag path, text, characters in links, outside the article)."""
+def blocks(page: str) -> list[tuple[tuple[int, ...], str, str, int, tuple[int, ...], tuple[str, ...]]]:
+    """Text blocks outside menus in page order: (ids of the open elements, tag path, text, characters in links,
+    ids of those that names call foreign, tags of the open elements).
+    """
     found: list = []
-    stack: list[tuple[str, int, bool, str]] = []  # tag, id, foreign from here on, path
+    stack: list[tuple] = []  # tag, id, menu from here on, path, foreign elements and whether each may head an article
     text: list[str] = []
     linked, links, silent, made = 0, 0, 0, 0
 
@@ -77,8 +88,10 @@ def blocks(page: str) -> list[tuple[tuple[int, ...], str, str, int, bool]]:
         nonlocal linked
         if text:
             if words := " ".join("".join(text).split()):
-                top = stack[-1] if stack else ("", 0, False, "")
-                found.append((tuple(x[1] for x in stack if x[0] not in _INLINE), top[3], words, linked, top[2]))
+                top = stack[-1] if stack else ("", 0, False, "", ())
+                blocks = [x for x in stack if x[0] not in _INLINE]
+                if not top[2]:
+                    found.append((tuple(x[1] for x in blocks), top[3], words, linked, tuple(i for i, _ in top[4]), tuple(x[0] for x in blocks)))
             text.clear()
         linked = 0
 
@@ -131,11 +144,12 @@ def blocks(page: str) -> list[tuple[tuple[int, ...], str, str, int, bool]]:
             continue
         made += 1
         inside = any(x[0] in ("article", "main") for x in stack)
-        foreign, label = _foreign(tag, attrs, inside)
-        up = stack[-1] if stack else ("", 0, False, "")
+        menu, foreign, heads, label = _foreign(tag, attrs, inside)
+        up = stack[-1] if stack else ("", 0, False, "", ())
         # the header of an article holds its title: headings in it stay
-        title = inside and tag in _HEADINGS and next((x[0] for x in stack if x[2]), "") == "header"
-        stack.append((tag, made, (up[2] or foreign) and not title, up[3] if tag in _INLINE else f"{up[3]}/{label}"))
+        of = tuple(x for x in up[4] if not x[1]) if tag in _HEADINGS else up[4]
+        of += ((made, heads),) * foreign
+        stack.append((tag, made, up[2] or menu, up[3] if tag in _INLINE else f"{up[3]}/{label}", of))
         links += tag == "a"
         silent += tag in _SILENT
         if tag in _RAW:  # its content is not markup
@@ -150,22 +164,32 @@ def blocks(page: str) -> list[tuple[tuple[int, ...], str, str, int, bool]]:
 def main_text(page: str | None, share: float, radius: int) -> str:
     """The article of one page; see ``extract``."""
     found = blocks(page) if page else []
-    own = [b for b in found if not b[4]]
-    if not own:
+    if not found:
         return ""
+    held: dict = defaultdict(int)  # characters of the elements that names call foreign
+    for b in found:
+        for i in set(b[4]):
+            held[i] += len(b[2])
+    total = sum(len(b[2]) for b in found)
+    little = {i for i, n in held.items() if n < share * total}
+    most = {i for i, n in held.items() if n >= (1 - share) * total}
+    own = [b for b in found if little.isdisjoint(b[4])] or found
+    own = [(*b[:4], tuple(i for i in b[4] if i not in most), b[5]) for b in own]
     marked = [b for b in own if _MARKED.search(b[1])]
-    if 2 * sum(len(b[2]) for b in marked) >= sum(len(b[2]) for b in own):
+    if marked and 2 * sum(len(b[2]) * LOWERED ** len(b[4]) for b in marked) >= sum(len(b[2]) * LOWERED ** len(b[4]) for b in own):
         own = marked
     count: dict = defaultdict(int)
     chars: dict = defaultdict(int)
     marks: dict = defaultdict(int)
     links: dict = defaultdict(int)
-    for _, path, text, linked, _ in own:
+    lowered: dict = {}
+    for _, path, text, linked, foreign, _ in own:
+        lowered[path] = LOWERED ** len(foreign)
         count[path] += 1
         chars[path] += len(text)
         marks[path] += len(_PUNCT.findall(text))
         links[path] += linked
-    ratio = {p: (chars[p] - min(links[p], chars[p])) / count[p] for p in count}
+    ratio = {p: lowered[p] * (chars[p] - min(links[p], chars[p])) / count[p] for p in count}
     punct = {p: (1 + marks[p]) / count[p] for p in count}
     weights = [exp(-(d * d) / 2) for d in range(-radius, radius + 1)]
     fused: dict = defaultdict(float)  # mean over the path's blocks: own and smoothed products of the two ratios
@@ -175,7 +199,8 @@ def main_text(page: str | None, share: float, radius: int) -> str:
         smooth = sum(w * ratio[p] for w, p in near) / whole * sum(w * punct[p] for w, p in near) / whole
         fused[block[1]] += sqrt(smooth * ratio[block[1]] * punct[block[1]]) / count[block[1]]
     least = share * max(fused.values())
-    seeds = [ids for ids, path, _, _, _ in own if fused[path] >= least]
+    seeds = [b[0] for b in own if fused[b[1]] >= least]
+    depth = min(len(b[4]) for b in own if fused[b[1]] >= least)
     common = seeds[0]
     for ids in seeds[1:]:
         n = 0
@@ -185,20 +210,39 @@ def main_text(page: str | None, share: float, radius: int) -> str:
     if len(seeds) == 1:
         common = common[:-1]  # the block's own element says nothing about its neighbours
     menu = {p for p in count if count[p] > 2 and links[p] >= 0.9 * chars[p]}
-    return "\n\n".join(b[2] for b in own if b[0][: len(common)] == common and b[1] not in menu)
+    near = [b for b in own if b[0][: len(common)] == common and b[1] not in menu]
+    kept = [fused[b[1]] >= least for b in near]
+    small = [len(b[4]) <= depth and not _BESIDE.isdisjoint(b[5][len(common) :]) for b in near]
+    for order in (range(1, len(near)), range(len(near) - 2, -1, -1)):
+        step = order.step
+        for i in order:
+            kept[i] = kept[i] or small[i] and kept[i - step]
+    text = [b[2] for b, k in zip(near, kept, strict=True) if k]
+    # the only first heading of the page before its content is the title, wherever it stands
+    heads = [i for i, b in enumerate(own) if b[5][-1:] == ("h1",)]
+    first = next((i for i, b in enumerate(own) if fused[b[1]] >= least), 0)
+    if len(heads) == 1 and heads[0] < first and len(own[heads[0]][4]) <= depth and own[heads[0]] not in [b for b, k in zip(near, kept, strict=True) if k]:
+        text.insert(0, own[heads[0]][2])
+    return "\n\n".join(text)
 
 
 def extract(pages: DataFrame, html_col: str = "html", share: float = 0.2, radius: int = 1) -> DataFrame:
     """``pages`` with ``text``, the main text of each whole page, and ``n_chars``, its code points.
 
-    Each page is cut into blocks of text under root-to-leaf tag paths (class names included). Blocks inside
-    elements that by name, role or class are menus, headers, footers, sidebars, notices, adverts, forms
-    or reader comments leave; headings in the header of an article stay. For every remaining path the characters
-    outside links and the punctuation marks per block are summed, smoothed over ``radius`` neighbours on the
-    page and fused: the geometric mean of the products of the smoothed and of the path's own values. Paths with at least ``share`` of the best are content. All
-    blocks below the innermost element that holds all content are the text, in page order, so headings and
-    short paragraphs between long ones stay. Where ``article`` or ``main`` elements hold at least half
-    of the text, only blocks inside them are considered. Lists of nothing but links leave. Null, empty and
+    Each page is cut into blocks of text under root-to-leaf tag paths (class names included). Menus and hidden
+    elements leave. For every path the characters outside links and the punctuation marks per block are summed,
+    smoothed over ``radius`` neighbours on the page and fused: the geometric mean of the products of the
+    smoothed and of the path's own values. Paths with at least ``share`` of the best are content.
+
+    Names (elements, roles and words of class or id for headers, footers, sidebars, notices, adverts, forms and reader
+    comments) decide alone only about elements with less than ``share`` of the page's text, which leave unless
+    nothing else is there; under larger ones a path's characters count a tenth for each such element (a hundredth for
+    elements and roles like ``footer``), and elements with all but ``share`` of the text are not touched by their names, nor are headings in the header of an article.
+
+    The text is, in page order, the content blocks and, beside these and below the innermost element that holds all content,
+    headings, list items, cells, captions and preformatted blocks under no more foreign elements than the content.
+    The only ``h1`` of a page stays if it comes before the content. Where ``article`` or ``main`` elements hold at
+    least half of the text so counted, only blocks inside them are considered. Lists of nothing but links leave. Null, empty and
     textless pages give an empty text. Columns of these names are replaced.
     """
 

@@ -44,6 +44,23 @@ def test_pages(page, text):
     assert pagetext.main_text(page, 0.2, 1) == text
 
 
+_P = "<p>A long text, with marks. It goes on, and on, for some time.</p><p>Another text, with marks. It goes on as well.</p>"
+_T = "A long text, with marks. It goes on, and on, for some time.\n\nAnother text, with marks. It goes on as well."
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<div class='content-sidebar-wrap'><main>{_P}</main></div>", _T),
+    (f"<div class='post type-post category-social tag-legal'>{_P}<div class=sharebar>Share, this.</div></div><div>Made by us</div>", _T),
+    (f"<form id=form1>{_P}</form>", _T),
+    (f"<div class=post><div class='post-header'><h1>Title</h1></div><div class=body>{_P}</div></div>", f"Title\n\n{_T}"),
+    (f"<div class=post><div class='post-header'><h1>Title</h1></div>{_P}</div>", f"Title\n\n{_T}"),
+    (f"<div id=x>{_P}<span class=z></span><div class=meta>5 min</div><h2>H</h2>{_P}</div>", f"{_T}\n\nH\n\n{_T}"),
+    (f"<div id=x>{_P}</div><div class=comments>{'<p>I like it, a lot. Really, I do, and so do many others.</p>' * 5}</div>", _T),
+])
+def test_names_lower_scores(page, text):
+    assert pagetext.main_text(page, 0.2, 1) == text
+
+
 def test_extract_columns(spark):
     pages = spark.createDataFrame([(1, "u", "<p>Aé, b.</p>", "old"), (None, None, None, None)], "page_id long, url string, html string, text string")
     got = {r.page_id: (r.text, r.n_chars) for r in pagetext.extract(pages).collect()}
