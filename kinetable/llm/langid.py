@@ -37,7 +37,8 @@ def fit(
 ) -> Model:
     """Dictionaries from a bounded sample: the first ``docs_per_lang`` documents of each language by a hash of
     ``key``, ``chars_per_doc`` characters of each. Rows without text or language are not learned from;
-    no such row gives a model without languages. More than ``MAX_LANGS`` languages are refused.
+    no such row gives a model without languages. If the sample of a language is larger than ``dict_bytes``, every
+    document gives an equal share of them, shorter ones all they have. More than ``MAX_LANGS`` languages are refused.
     """
     known = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & F.col(key).isNotNull())
     rows = known.select(F.col(key).alias("k"), F.col(lang).alias("l"))
@@ -45,14 +46,26 @@ def fit(
     picked = rows.withColumn("n", F.row_number().over(order)).where(F.col("n") <= docs_per_lang).select("k", "l").distinct()
     picked = picked.limit((MAX_LANGS + 1) * docs_per_lang)
     cut = known.select(F.col(key).alias("k"), F.col(lang).alias("l"), F.substring(text, 1, chars_per_doc).alias("t"))
-    found = cut.join(F.broadcast(picked), ["k", "l"]).select("l", "t").distinct().collect()
+    found = cut.join(F.broadcast(picked), ["k", "l"]).groupBy("l", "t").agg(F.min(F.xxhash64("k")).alias("h")).collect()
     by_lang: dict[str, list[bytes]] = {}
-    for row in sorted(found):
+    for row in sorted(found, key=lambda r: (r.h, r.t)):  # as picked, not by the alphabet
         if part := letters(row.t).encode():
             by_lang.setdefault(row.l, []).append(part)
     if len(by_lang) > MAX_LANGS:
         raise ValueError(f"more than {MAX_LANGS} languages")
-    return Model({name: b" ".join(parts)[:dict_bytes] for name, parts in sorted(by_lang.items())})
+    return Model({name: shared_out(parts, dict_bytes) for name, parts in sorted(by_lang.items())})
+
+
+def shared_out(parts: list[bytes], most: int) -> bytes:
+    """``parts`` joined to at most ``most`` bytes; each has an equal share, and what short ones leave is the others'."""
+    left, share = most - len(parts) + 1, 0
+    for i, n in enumerate(sorted(map(len, parts))):
+        share = max(0, left) // (len(parts) - i)
+        if n > share:
+            break
+        left, share = left - n, n
+    whole = [p[:share].decode(errors="ignore").encode() for p in parts]
+    return b" ".join(whole)[:most]
 
 
 def _encoders(dictionaries: dict[str, bytes], level: int) -> list[tuple[str, zstandard.ZstdCompressor]]:

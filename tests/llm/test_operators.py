@@ -318,6 +318,16 @@ def test_language(spark):
     assert {r.lang_pred for r in none.collect()} == {"und"}
 
 
+def test_language_sample_is_shared_out(spark):
+    word = lambda i: "".join(chr(97 + int(d)) for d in f"{i:03}")
+    rows = [(i, f"{'a' if i % 2 else 'z'} {word(i)} " + f"filler{word(i)} " * 140, "en") for i in range(100)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), dict_bytes=10_000)
+    made = model.dictionaries["en"]
+    assert len(made) <= 10_000 and all(f"{'a' if i % 2 else 'z'} {word(i)} ".encode() in made for i in range(100))
+    assert langid.shared_out([b"ab", b"cdefgh", b"ijklmn"], 12) == b"ab cdef ijkl" and langid.shared_out([b"ab", b"cd"], 9) == b"ab cd"
+    assert langid.shared_out(["\u00e9\u00e9\u00e9".encode()], 5) == "\u00e9\u00e9".encode()
+
+
 def test_language_accuracy(spark):
     d = "/root/testdata/sf0.01"
     got = QUERIES["op8_language_id"](spark, d).join(spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "lang"), "doc_id")
