@@ -234,6 +234,11 @@ def group(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
     shingles). Null and wordless texts have an empty set and are linked with nothing. Rows with a null key take the
     smallest key of their component, null if there is none; such a row is kept if its component has no other key.
     """
+    return _grouped(docs, key, text, width, percent, coords).drop("c")
+
+
+def _grouped(docs: DataFrame, key: str, text: str, width: int = 5, percent: int = 80, coords: int = COORDS) -> DataFrame:
+    """What ``group`` returns and ``c``, a name of the group; null where a set is alone."""
     seen = cut_lineage(sketches(docs, key, text, width, coords))
     reps = seen.where("n > 0").groupBy("sid").agg(
         F.min("id").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.count("*").alias("copies")
@@ -243,21 +248,25 @@ def group(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
     named = reps.select("sid", "rep", "copies").join(found, F.col("sid") == F.col("id"), "left").withColumn("c", F.coalesce("component", "sid"))
     named = named.where("component is not null or copies > 1").select("sid", "rep", "c")
     least = named.groupBy("c").agg(F.min("rep").alias("component_id"))
-    named = named.join(least, "c").select("sid", "component_id")
+    named = named.join(least, "c").select("sid", "component_id", "c")
     out = seen.select("id", "hash", "n", "sid").join(named, "sid", "left")
     return out.select(
         "id", "hash", F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"),
-        F.col("id").eqNullSafe(F.coalesce("component_id", "id")).alias("kept"),
+        F.col("id").eqNullSafe(F.coalesce("component_id", "id")).alias("kept"), "c",
     )
 
 
 def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of each group, the one with the smallest key; rows that repeat a key and a text stay once.
+    """``docs`` with one document of each group, the one with the smallest key and, among texts with this key, the
+    smallest hash; rows that repeat a key and a text stay once.
 
     What leaves is listed by key and hash of the text; the list is broadcast if it is small, else texts are shuffled.
     Documents without words are linked with nothing and stay.
     """
-    found = group(docs, key, text, **options)
+    found = cut_lineage(_grouped(docs, key, text, **options))
+    # a group's smallest key, or no key at all, may stand on several texts
+    one = found.where(F.col("kept") & F.col("c").isNotNull()).groupBy("c").agg(F.min("hash").alias("_one"))
+    found = found.join(one, "c", "left").withColumn("kept", F.col("kept") & F.coalesce(F.col("hash") == F.col("_one"), F.lit(True)))
     gone = cut_lineage(found.where(~F.col("kept")).select(F.col("id").alias("_id"), F.col("hash").alias("_hash")).distinct())
     same = F.col(key).eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_hash"))
     kept = docs.join(sized_broadcast(gone), same, "left_anti")

@@ -433,6 +433,15 @@ def test_minhash(spark, monkeypatch, width):
     assert minhash.group(frame(spark, [])).count() == 0
 
 
+def test_one_representative_of_equal_keys(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    docs = [(1, base), (1, base + " x"), (1, base + " y"), (2, base + " z"), (5, "something else entirely, all alone here"), (5, "and another text that has nothing in common")]
+    other = " ".join(f"v{i}" for i in range(60))
+    docs += [(None, other), (None, other + " x"), (None, other + " x"), (None, other + " y"), (None, None), (7, None)]
+    kept = [(r.doc_id, (r.text or "")[:2]) for r in minhash.representatives(frame(spark, docs), width=5).collect()]
+    assert Counter(kept) == Counter([(1, "w0"), (5, "so"), (5, "an"), (None, "v0"), (None, ""), (7, "")])
+
+
 def test_components(spark):
     rng = random.Random(2)
     links = [(i, i + 1) for i in range(300)] + [(1000 + rng.randint(0, 80), 1000 + rng.randint(0, 80)) for _ in range(60)] + [(5000, i) for i in range(5001, 5200)]
