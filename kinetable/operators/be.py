@@ -241,7 +241,8 @@ def _across_tasks(sides: DataFrame, keys: Sequence[str], rounds: int = 12) -> Da
             F.coalesce(F.min(F.when(enough, F.col("v"))), F.first("hi")).alias("hi"))
         state = cut_lineage(state)
     near = _nearest_difference(sides, state.select(*keys, "k", F.col("hi").alias("v")), keys, rows)
-    return near.groupBy(*keys).agg((F.avg("difference") / 2).alias("pe"))
+    pe = near.groupBy(*keys).agg((F.avg("difference") / 2).alias("pe"))
+    return skew.same(span.select(*keys), pe, keys, "left")  # a study without pairs keeps its row
 
 
 def _nearest_difference(sides: DataFrame, wanted: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:

@@ -99,6 +99,18 @@ def test_one_sequence_gives_no_estimate(spark):
     assert be.be_nonpar(be.be_input(df, ["y"])).collect()[0].pe is None
 
 
+@pytest.mark.parametrize("limit", ["1000000", "3"])
+def test_one_sequence_study_keeps_its_row(spark, limit):
+    rows = [(s, i, "RT" if s == 1 or i % 2 else "TR", t, float(i * t)) for s in (1, 2) for i in range(8) for t in (1, 2)]
+    df = spark.createDataFrame(rows, "study int, id int, sequence string, period int, tmax double")
+    spark.conf.set("kinetable.hotRows", limit)
+    try:
+        got = {r.study: r.pe for r in be.be_nonpar(be.be_input(df, ["tmax"], by=["study"]), ["study"]).collect()}
+    finally:
+        spark.conf.unset("kinetable.hotRows")
+    assert set(got) == {1, 2} and got[1] is None and got[2] is not None
+
+
 @pytest.mark.parametrize("limit", ["1000000", "10"])
 @pytest.mark.parametrize("ties", [False, True])
 def test_nonparametric_against_all_pairs(spark, limit, ties):
