@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, embeddings, langid, linedup, minhash, mixing, packing, pagetext, sharding, suffix
+from . import decontam, embeddings, langid, linedup, manifest, minhash, mixing, packing, pagetext, sharding, suffix
 from .common import table
 
 VOCABULARY = os.environ.get("KINETABLE_VOCABULARY", "file:///opt/tokenizers/byte_bpe_50k.tiktoken")
@@ -188,3 +188,68 @@ SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(low, d.d
     d.doc_id <= coalesce(low, d.doc_id) AS kept
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.a = d.doc_id
 """
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's membership proof, and what its tampered row leads to."""
+    docs = table(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    hit = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    tampered = F.when(hit, manifest.digest(*[F.col(c) + 1 if c == "n_chars" else F.col(c) for c in fields]))
+    rows = manifest.manifest(docs, fields, "lang", "doc_id", keep={"tampered": tampered})
+    rows = rows.withColumn("folded_root", manifest.folded(F.coalesce("tampered", "leaf"), F.col("witness")))
+    return rows.select("doc_id", "leaf", "subroot", "root", F.sha2(manifest.siblings(F.col("witness")), 256).alias("proof_sha256"),
+                       "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def _sql_field(c: str) -> str:
+    return f"coalesce(octet_length(encode(CAST({c} AS VARCHAR))) || ':' || {c}, '-')"
+
+
+def _sql_crc32(text: str) -> str:
+    """Bit by bit over the characters of an ASCII text, with the reversed polynomial of CRC-32."""
+    bit = "CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END"
+    byte = f"list_reduce(list_prepend(xor(a, b), range(8)), lambda v, i: {bit})"
+    return f"xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split({text}, ''), lambda c: CAST(ascii(c) AS BIGINT))), lambda a, b: {byte}))"
+
+
+ORACLES["op11_merkle_manifest"] = f"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, lang, sha256({" || ".join(map(_sql_field, ("doc_id", "source", "lang", "n_chars", "text")))}) AS leaf,
+        sha256({" || ".join(map(_sql_field, ("doc_id", "source", "lang")))} || {_sql_field("(n_chars + 1)")} || {_sql_field("text")}) AS other,
+        coalesce({_sql_crc32("CAST(doc_id AS VARCHAR)")} % 7 = 0, false) AS hit
+    FROM documents
+),
+r AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS LAST, leaf) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n FROM d
+),
+low AS (
+    SELECT lang, 0 AS level, i, n, leaf AS h FROM r
+    UNION ALL
+    SELECT lang, level + 1, i // 2, (any_value(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM low WHERE n > 1 GROUP BY lang, level, i // 2
+),
+subs AS (SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM low WHERE n = 1),
+high AS (
+    SELECT 0 AS level, i, n, subroot AS h FROM subs
+    UNION ALL
+    SELECT level + 1, i // 2, (any_value(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM high WHERE n > 1 GROUP BY level, i // 2
+),
+steps AS (
+    SELECT r.doc_id, r.leaf, r.i AS pos, r.lang, l.level, (r.i >> l.level) & 1 AS before, s.h
+    FROM r JOIN (SELECT DISTINCT lang, level FROM low WHERE n > 1) l ON r.lang IS NOT DISTINCT FROM l.lang
+    LEFT JOIN low s ON s.lang IS NOT DISTINCT FROM r.lang AND s.level = l.level AND s.i = xor(r.i >> l.level, 1)
+    UNION ALL
+    SELECT r.doc_id, r.leaf, r.i, r.lang, 1000 + l.level, (subs.i >> l.level) & 1, s.h
+    FROM r JOIN subs ON r.lang IS NOT DISTINCT FROM subs.lang JOIN (SELECT DISTINCT level FROM high WHERE n > 1) l ON true
+    LEFT JOIN high s ON s.level = l.level AND s.i = xor(subs.i >> l.level, 1)
+),
+w AS (
+    SELECT lang, pos, list(CASE before WHEN 1 THEN 'L' ELSE 'R' END || coalesce(h, '') ORDER BY level) AS path,
+        string_agg(h, '' ORDER BY level) AS proof FROM steps GROUP BY lang, pos
+)
+SELECT *, folded_root = root AS verified FROM (SELECT r.doc_id, r.leaf, subroot, (SELECT h FROM high WHERE n = 1) AS root, sha256(coalesce(proof, '')) AS proof_sha256,
+    list_reduce(list_prepend(CASE WHEN hit THEN coalesce(other, leaf) ELSE leaf END, coalesce(path, [])),
+        lambda a, s: sha256(CASE WHEN s[1] = 'L' THEN s[2:] || a ELSE a || s[2:] END)) AS folded_root
+FROM r JOIN subs ON r.lang IS NOT DISTINCT FROM subs.lang LEFT JOIN w ON w.lang IS NOT DISTINCT FROM r.lang AND w.pos = r.i)
+"""
