@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, embeddings, langid, linedup, manifest, minhash, mixing, packing, pagetext, sharding, suffix
+from . import decontam, divergence, embeddings, langid, linedup, manifest, minhash, mixing, packing, pagetext, sharding, suffix
 from .common import table
 
 VOCABULARY = os.environ.get("KINETABLE_VOCABULARY", "file:///opt/tokenizers/byte_bpe_50k.tiktoken")
@@ -253,3 +253,42 @@ SELECT *, folded_root = root AS verified FROM (SELECT r.doc_id, r.leaf, subroot,
         lambda a, s: sha256(CASE WHEN s[1] = 'L' THEN s[2:] || a ELSE a || s[2:] END)) AS folded_root
 FROM r JOIN subs ON r.lang IS NOT DISTINCT FROM subs.lang LEFT JOIN w ON w.lang IS NOT DISTINCT FROM r.lang AND w.pos = r.i)
 """
+
+
+@query
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which sources of a language differ, and the terms each uses more than its language."""
+    return divergence.audit(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
+ORACLES["op12_source_divergence"] = rf"""
+WITH d AS (
+    SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w,
+        row_number() OVER () AS row
+    FROM documents
+),
+t AS (SELECT row, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, CAST(count(*) AS HUGEINT) AS l FROM t GROUP BY lang, term HAVING count(DISTINCT row) >= 30),
+langs AS (SELECT lang, CAST(count(*) AS HUGEINT) AS v, CAST(sum(l) AS HUGEINT) AS n FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS c FROM t JOIN kept USING (lang, term) GROUP BY lang, source, term),
+dense AS (
+    SELECT g.lang, g.source, kept.term, kept.l, coalesce(c.c, 0) AS c, sum(coalesce(c.c, 0)) OVER (PARTITION BY g.lang, g.source) AS n
+    FROM g JOIN kept USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term
+),
+p AS (
+    SELECT lang, source, term, c, 1 + 1000000000 * CAST(c + 5 AS HUGEINT) // (CAST(dense.n AS HUGEINT) + 5 * v) AS p,
+        1 + 1000000000 * (l + 5) // (langs.n + 5 * v) AS q
+    FROM dense JOIN langs USING (lang)
+),
+far AS (SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term GROUP BY ALL),
+pairs AS (
+    SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(far.value, 0) AS value
+    FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source
+    LEFT JOIN far ON far.lang = x.lang AND far.source = x.source AND far.item = y.source
+),
+every AS (SELECT * FROM pairs UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE c > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM every)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
