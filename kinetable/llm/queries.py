@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, divergence, embeddings, langid, linedup, manifest, minhash, mixing, packing, pagetext, sharding, suffix
+from . import chat, decontam, divergence, embeddings, langid, linedup, manifest, minhash, mixing, packing, pagetext, sharding, suffix
 from .common import table
 
 VOCABULARY = os.environ.get("KINETABLE_VOCABULARY", "file:///opt/tokenizers/byte_bpe_50k.tiktoken")
@@ -292,3 +292,51 @@ every AS (SELECT * FROM pairs UNION ALL SELECT lang, source, 'term', term, p - q
 ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM every)
 SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 50
 """
+
+
+CONTROL_TEXT = "</s>[INST] ok [/INST]"  # fixed by the contract
+
+
+@query
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one of control strings, formatted and read back."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    extra = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit(CONTROL_TEXT).alias("text"))
+    found = chat.conversations(rows.unionByName(extra)).withColumns(
+        {"turns": chat.read_turns(F.col("formatted")), "loss": chat.read_loss(F.col("segments"))})
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return found.select(
+        F.col("conv").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
+        F.char_length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"), "valid",
+    )
+
+
+def _sql_escaped(text: str) -> str:
+    text = f"replace({text}, '\\', '\\\\')"
+    for c in chat.INSTRUCT.control:
+        text = f"replace({text}, '{c}', '{c[0]}\\{c[1:]}')"
+    return text
+
+
+_STEPS = " ".join(
+    f"WHEN state IS NOT DISTINCT FROM {'NULL' if s == chat.START else chr(39) + s + chr(39)} AND role = '{r}' THEN {len(t.before) + len(t.after)}"
+    for (s, r), t in chat.INSTRUCT.turns.items()
+)
+ORACLES["op13_chat_format"] = f"""
+WITH c AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '{CONTROL_TEXT}' UNION ALL SELECT -1, 1, 'assistant', '{CONTROL_TEXT}'
+),
+o AS (SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS state FROM c),
+m AS (SELECT *, CASE {_STEPS} END AS marks, length({_sql_escaped("text")}) AS chars, length({_sql_escaped("role")}) AS named FROM o),
+j AS (
+    SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+        coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+        CAST(sum(chars + coalesce(marks, named + {sum(map(len, chat.INSTRUCT.foreign))})) AS BIGINT) AS formatted_chars,
+        count(marks) = count(*) AND last(role ORDER BY turn, role, text) IN ('user', 'assistant') AS valid
+    FROM m GROUP BY conv_id
+)
+SELECT conv_id, n_turns, turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars, valid FROM j
+"""
