@@ -17,8 +17,8 @@ from .common import ship_by_value, sized_broadcast
 
 ship_by_value(__name__)
 
-FLUSH = 200_000  # (lang, source, term) entries or
-FLUSH_BYTES = 16 << 20  # bytes of terms counted in a task before they are handed on
+FLUSH = 400_000  # (lang, source, term) entries or
+FLUSH_BYTES = 64 << 20  # bytes of text that a task counts before it hands sums on
 PIECE = 8_192  # terms of a group whose dominance is judged in one task
 TILE = 64  # sources of one side of a tile
 TILE_ROWS = 100_000  # counts that are handed to a tile's task
@@ -35,29 +35,29 @@ def term_counts(docs: DataFrame, text: str = "text", lang: str = "lang", source:
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple, tuple[Counter, Counter]] = {}
+        held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
         entries = size = 0
 
-        def flush() -> pa.RecordBatch:
-            rows = [(k[0], k[1], t, n, seen[t]) for k, (total, seen) in held.items() for t, n in total.items()]
-            columns = list(zip(*rows)) or [[]] * 5
-            kinds = [pa.string(), pa.string(), pa.binary(), pa.int64(), pa.int64()]
-            return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds)], ["lang", "source", "term", "c", "docs"])
+        def flush() -> Iterator[pa.RecordBatch]:
+            for (g, s), (total, seen) in held.items():
+                n = len(total)
+                columns = [pa.array([x] * n, pa.string()) for x in (g, s)] + [pa.array(list(total), pa.binary())]
+                sums = [np.fromiter(total.values(), np.int64, n), np.fromiter(map(seen.__getitem__, total), np.int64, n)]
+                yield pa.RecordBatch.from_arrays(columns + [pa.array(x) for x in sums], ["lang", "source", "term", "c", "docs"])
 
         for batch in batches:
             for g, s, t in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                found = Counter(t.translate(_TERM_BYTES).split(b" "))
-                found.pop(b"", None)
+                found = t.translate(_TERM_BYTES).split()
                 total, seen = held.setdefault((g, s), (Counter(), Counter()))
-                before = len(total)
+                entries -= len(total)
                 total.update(found)
-                seen.update(found.keys())
-                entries += len(total) - before
+                seen.update(set(found))
+                entries += len(total)
                 size += len(t)
-                if entries > FLUSH or size > FLUSH_BYTES and entries > FLUSH // 4:
-                    yield flush()
+                if entries > FLUSH or size > FLUSH_BYTES:
+                    yield from flush()
                     held, entries, size = {}, 0, 0
-        yield flush()
+        yield from flush()
 
     rows = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in ((lang, "lang"), (source, "source"))],
                        F.coalesce(F.col(text), F.lit("")).cast("binary").alias("t"))
