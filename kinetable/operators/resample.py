@@ -10,17 +10,13 @@ from itertools import combinations_with_replacement
 
 from pyspark.sql import DataFrame, functions as F
 
-from kinetable.plans import skew
+from kinetable.plans import skew, sweep
 from kinetable.plans.quantile import grouped
 from kinetable.session import cut_lineage
 
 
-def draws(subjects: DataFrame, id: str, stratum: str, replicates: int, hot=skew.LOOK, columns: Sequence[str] = ()) -> DataFrame:
-    """(stratum, replicate, id, columns, times): how often each replicate drew each subject.
-
-    Every stratum is resampled to its own size. ``subjects`` holds one row per subject and is
-    read several times.
-    """
+def _picks(subjects: DataFrame, id: str, stratum: str, replicates: int, hot, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(stratum, id, columns, _rank) of the subjects, and (stratum, replicate, _rank) of every draw."""
     base = subjects.select(id, stratum, *columns)
     if hot is skew.LOOK:
         hot = skew.find_hot(base, [stratum])
@@ -29,11 +25,27 @@ def draws(subjects: DataFrame, id: str, stratum: str, replicates: int, hot=skew.
     rolled = sized.select(stratum, "_n", F.col("_rank").alias("_draw"), F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("replicate"))
     key = F.concat_ws("|", F.col(stratum).cast("string"), F.col("replicate").cast("string"), F.col("_draw").cast("string"))
     hashed = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long")
-    picked = rolled.select(stratum, "replicate", (hashed % F.col("_n") + 1).alias("_rank"))
+    return ranked, rolled.select(stratum, "replicate", (hashed % F.col("_n") + 1).alias("_rank"))
+
+
+def draws(subjects: DataFrame, id: str, stratum: str, replicates: int, hot=skew.LOOK, columns: Sequence[str] = ()) -> DataFrame:
+    """(stratum, replicate, id, columns, times): how often each replicate drew each subject.
+
+    Every stratum is resampled to its own size. ``subjects`` holds one row per subject and is
+    read several times.
+    """
+    ranked, picked = _picks(subjects, id, stratum, replicates, hot, columns)
     times = picked.groupBy(stratum, "replicate", "_rank").agg(F.count(F.lit(1)).alias("times"))
     return times.join(ranked, [stratum, "_rank"], "inner").select(stratum, "replicate", id, *columns, "times")
 
 
+def draw_lists(subjects: DataFrame, id: str, stratum: str, replicates: int, hot=skew.LOOK) -> DataFrame:
+    """(stratum, id, drawn): the replicates that drew a subject, once for each time: some ``replicates`` entries."""
+    ranked, picked = _picks(subjects, id, stratum, replicates, hot, ())
+    lists = picked.groupBy(stratum, "_rank").agg(F.collect_list("replicate").alias("drawn"))
+    return lists.join(ranked, [stratum, "_rank"], "inner").select(stratum, id, "drawn")
+
+
 def bootstrap(subjects: DataFrame, id: str, stratum: str, columns: Sequence[str], replicates: int,
               hot=skew.LOOK) -> DataFrame:
     """Mean of each column in every replicate. ``subjects`` is read several times: pass stored rows."""
@@ -89,23 +101,19 @@ def vpc_bands(observations: DataFrame, id: str, stratum: str, time_bin: str, dv:
               hot=skew.LOOK) -> DataFrame:
     """Observed 5/50/95 % per stratum and time bin, with replicate-based 95 % bands.
 
-    A drawn subject's observations count as often as it was drawn; copies are only formed for groups too
-    large for the built-in percentile.
+    Every observation carries the list of replicates that drew its subject, and one sorted sweep of a cell
+    (stratum, time bin) gives the quantiles of all replicates; observations are never copied. A subject that no replicate
+    drew counts among the observed only.
     """
     marks = {"p05": 0.05, "p50": 0.5, "p95": 0.95}
-    base = observations.select(id, stratum, time_bin, dv)
-    seen = grouped(base, [stratum, time_bin], dv, {"n": F.count(dv)}, marks, hot)
-    drawn = draws(cut_lineage(base.select(id, stratum).distinct()), id, stratum, replicates, hot)
-    copies = base.join(drawn.drop(stratum), id, "inner")
-    cell = ["replicate", stratum, time_bin]
-    if hot is None:
-        at = F.array(*[F.lit(p) for p in marks.values()])
-        each = copies.groupBy(*cell).agg(F.percentile(F.col(dv).cast("double"), at, F.col("times")).alias("_q"))
-        each = each.select(*cell, *[F.col("_q")[i].alias(n) for i, n in enumerate(marks)])
-    else:
-        copies = copies.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).drop("_copy")
-        each = grouped(copies, cell, dv, {}, marks)
-    long = each.unpivot([stratum, time_bin], list(marks), "mark", "value")
-    bands = grouped(long, [stratum, time_bin, "mark"], "value", {}, {"low": 0.025, "high": 0.975}, None)
-    wide = seen.unpivot([stratum, time_bin, "n"], list(marks), "mark", "observed")
-    return skew.same(wide, bands, [stratum, time_bin, "mark"], "left")
+    base = cut_lineage(observations.select(id, stratum, time_bin, dv))
+    cell = [stratum, time_bin]
+    drawn = cut_lineage(draw_lists(base.select(id, stratum).distinct(), id, stratum, replicates, hot))
+    weighed = skew.same(base, drawn, [stratum, id], "left")
+    lanes = sweep.lane_quantiles(weighed, cell, dv, "drawn", replicates + 1, marks)
+    long = lanes.unpivot([*cell, "lane"], list(marks), "mark", "value")
+    ends = F.percentile(F.when(F.col("lane") > 0, F.col("value")), F.array(F.lit(0.025), F.lit(0.975)))  # one value for each replicate
+    bands = long.groupBy(*cell, "mark").agg(F.max(F.when(F.col("lane") == 0, F.col("value"))).alias("observed"), ends.alias("_b"))
+    wide = base.groupBy(*cell).agg(F.count(dv).alias("n")).withColumn("mark", F.explode(F.array(*map(F.lit, marks))))
+    out = skew.same(wide, bands, [*cell, "mark"], "left")
+    return out.select(*cell, "n", "mark", "observed", F.col("_b")[0].alias("low"), F.col("_b")[1].alias("high"))
