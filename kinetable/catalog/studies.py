@@ -108,21 +108,35 @@ def _(spark, d):
     return be.be_decision(bound(spark, d), BY)
 
 
+# Differences by rank. The rank k of the limits: for up to 60 subjects by counting how many sets of m ranks have each sum, rank by
+# rank; beyond that from the quantile of the normal distribution with its kurtosis term.
 NONPAR = """raw AS (SELECT study, endpoint, sequence, id, max(CASE WHEN period = 1 THEN y END) - max(CASE WHEN period = 2 THEN y END) AS dy
   FROM be GROUP BY ALL),
-hl AS (SELECT a.study, a.endpoint, median((a.dy - b.dy) / 2) AS pe FROM raw a JOIN raw b ON a.study = b.study AND a.endpoint = b.endpoint
-  WHERE a.sequence = 'TR' AND b.sequence = 'RT' GROUP BY ALL)"""
-
-
-@query("be_nonpar", f"""WITH {BE}, {NONPAR}, k AS (SELECT DISTINCT study, endpoint FROM raw)
-SELECT study, endpoint, sig(pe) AS pe FROM k LEFT JOIN hl USING (study, endpoint)""")
+cnt AS (SELECT study, endpoint, count(dy) FILTER (sequence = 'TR') AS m, count(dy) FILTER (sequence = 'RT') AS n FROM raw GROUP BY ALL),
+size AS (SELECT DISTINCT least(m, n) AS m, greatest(m, n) AS n FROM cnt WHERE m > 0 AND n > 0),
+ways AS (SELECT m, n, 0 AS r, 0 AS j, 0 AS s, 1.0::DOUBLE AS w FROM size WHERE m + n <= 60
+  UNION ALL SELECT m, n, r + 1, j2, s2, sum(w) FROM (SELECT m, n, r, j + t AS j2, s + t * (r + 1) AS s2, w FROM ways, (VALUES (0), (1)) AS v(t) WHERE r < m + n AND j + t <= m)
+  GROUP BY m, n, r, j2, s2),
+cum AS (SELECT m, n, s, sum(w) OVER (PARTITION BY m, n ORDER BY s) AS upto, sum(w) OVER (PARTITION BY m, n) AS total FROM ways WHERE r = m + n AND j = m),
+ranks AS (SELECT m, n, greatest(1, count(*) FILTER (upto / total <= 0.05)) AS k FROM cum GROUP BY m, n
+  UNION ALL SELECT m, n, CAST(floor(m * n / 2 + sqrt(m * n * (m + n + 1) / 12) * (z + g * (pow(z, 3) - 3 * z) / 24) - 0.5) AS BIGINT) + 1
+  FROM (SELECT *, -1.6448536269514722 AS z, -1.2 * (m * m + n * n + m * n + m + n) / (m * n * (m + n + 1)) AS g FROM size WHERE m + n > 60)),
+pairs AS (SELECT a.study, a.endpoint, (a.dy - b.dy) / 2 AS x FROM raw a JOIN raw b ON a.study = b.study AND a.endpoint = b.endpoint
+  WHERE a.sequence = 'TR' AND b.sequence = 'RT' AND a.dy IS NOT NULL AND b.dy IS NOT NULL),
+sorted AS (SELECT study, endpoint, median(x) AS pe, list_sort(list(x)) AS xs FROM pairs GROUP BY ALL),
+hl AS (SELECT study, endpoint, pe, xs[k] AS lb, xs[c.m * c.n + 1 - k] AS ub FROM sorted JOIN cnt c USING (study, endpoint)
+  JOIN ranks r ON r.m = least(c.m, c.n) AND r.n = greatest(c.m, c.n))"""
+
+
+@query("be_nonpar", f"""WITH RECURSIVE {BE}, {NONPAR}, k AS (SELECT DISTINCT study, endpoint FROM raw)
+SELECT study, endpoint, sig(pe) AS pe, sig(lb) AS lb, sig(ub) AS ub FROM k LEFT JOIN hl USING (study, endpoint)""")
 def _(spark, d):
-    return rounded(be.be_nonpar(bound(spark, d), BY, hot=study_hot(spark, d)))
+    return rounded(be.be_nonpar(bound(spark, d), BY, hot=study_hot(spark, d)).drop("level"))
 
 
 @query("be_endpoints", f"""WITH RECURSIVE {RESULT}, {NONPAR}, k AS (SELECT DISTINCT study, endpoint FROM raw WHERE endpoint = 'tmax')
 SELECT study, endpoint, 'lm' AS method, sig(pe) AS pe, sig(lnlb) AS lnlb, sig(lnub) AS lnub FROM res WHERE endpoint <> 'tmax'
-UNION ALL SELECT study, endpoint, 'nonpar', sig(pe), NULL, NULL FROM k LEFT JOIN hl USING (study, endpoint)""")
+UNION ALL SELECT study, endpoint, 'nonpar', sig(pe), sig(lb), sig(ub) FROM k LEFT JOIN hl USING (study, endpoint)""")
 def _(spark, d):
     return rounded(be.be_endpoints(bound(spark, d), BY, study_hot(spark, d)))
 

@@ -16,7 +16,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from kinetable.functions.dist import t_quantile95, t_two_sided_p
 from kinetable.operators.agg import stats_of
-from kinetable.plans import skew
+from kinetable.plans import pairs, skew
 from kinetable.session import cut_lineage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need not have this package
@@ -137,11 +137,12 @@ def be_decision(data: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 # ---- nonparametric estimate ----
 
 def be_nonpar(data: DataFrame, by: Sequence[str] = (), log: bool = False, hot=skew.LOOK) -> DataFrame:
-    """Hodges-Lehmann estimate: median over (i in TR, j in RT) of (d_i - d_j) / 2.
+    """Hodges-Lehmann estimate ``pe``, the median over (i in TR, j in RT) of (d_i - d_j) / 2, and its 90 % limits ``lb`` and ``ub``.
 
-    The n x m differences are never formed: their order statistics are found by bisection on the
-    value, counting pairs from the two sorted samples. A study within the row limit is one small
-    task; larger studies bisect with distributed counts.
+    The limits are the differences at rank k from either end, k by the rank-sum null distribution (``plans.pairs.limit_rank``);
+    ``level`` is what they reach, less than 0.9 only where a study is too small for any limits at 90 %. The n x m differences
+    are never formed: their order statistics are found by counting pairs from the two sorted samples. A study within
+    the row limit is one small task; larger ones are cut into ranges. A study without pairs keeps its row, with NULLs.
     """
     sides = subject_contrasts(data, by).select(
         *by, "endpoint", "sequence", F.col("d" if log else "dy").alias("d")).filter(
@@ -155,114 +156,44 @@ def be_nonpar(data: DataFrame, by: Sequence[str] = (), log: bool = False, hot=sk
     return cold.unionByName(_across_tasks(cut_lineage(skew.same(sides, F.broadcast(hot), keys, "left_semi")), keys))
 
 
-def _kth_difference(x: np.ndarray, y: np.ndarray, k: int) -> float:
-    """k-th smallest (from 1) of all x_i - y_j, for sorted y."""
-    def at_most(v: float) -> int:
-        return len(x) * len(y) - int(np.searchsorted(y, x - v, side="left").sum())
-
-    low, high = float(x.min() - y[-1]), float(x.max() - y[0])
-    if at_most(low) >= k:
-        return low
-    while True:
-        mid = low + (high - low) / 2
-        if mid <= low or mid >= high:
-            break
-        if at_most(mid) >= k:
-            high = mid
-        else:
-            low = mid
-    # x - v rounds, so ``high`` may be off in the last digits: take the pair difference next to it
-    at = np.clip(np.searchsorted(y, x - high)[:, None] + np.array([-1, 0, 1]), 0, len(y) - 1)
-    near = (x[:, None] - y[at]).ravel()
-    return float(near[np.abs(near - high).argmin()])
+ESTIMATES = StructType([StructField(n, DoubleType()) for n in ("pe", "lb", "ub", "level")])
 
 
 def _within_task(sides: DataFrame, keys: Sequence[str]) -> DataFrame:
-    fields = [sides.schema[k] for k in keys] + [StructField("pe", DoubleType())]
-
-    def median(pdf: pd.DataFrame) -> pd.DataFrame:
+    def estimate(pdf: pd.DataFrame) -> pd.DataFrame:
         x = pdf.loc[pdf["sequence"] == "TR", "d"].to_numpy(dtype=float)
         y = np.sort(pdf.loc[pdf["sequence"] == "RT", "d"].to_numpy(dtype=float))
         out = pdf.iloc[:1][list(keys)].copy()
-        n = len(x) * len(y)
-        if n == 0:
-            out["pe"] = None
-        else:
-            first = _kth_difference(x, y, (n + 1) // 2)
-            second = first if n % 2 else _kth_difference(x, y, n // 2 + 1)
-            out["pe"] = (first + second) / 4
+        out[["pe", "lb", "ub", "level"]] = None
+        if len(x) and len(y):
+            m1, m2, low, high = (pairs.kth_difference(x, y, k) for k in pairs.wanted_ranks(len(x), len(y)))
+            out[["pe", "lb", "ub", "level"]] = [[(m1 + m2) / 4, low / 2, high / 2, pairs.limit_rank(len(x), len(y))[1]]]
         return out
 
-    return sides.groupBy(*keys).applyInPandas(median, StructType(fields))
-
+    return sides.groupBy(*keys).applyInPandas(estimate, StructType([sides.schema[k] for k in keys] + ESTIMATES.fields))
 
-STEPS = 32  # thresholds tried per round
 
+def _across_tasks(sides: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The same order statistics of studies too large for a task; one row per study from four differences."""
+    is_x = F.col("sequence") == "TR"
+    found = pairs.ranked_differences(sides.withColumn("_x", is_x), keys, "_x", "d")
+    at = {n: F.max(F.when(F.col("id") == i, F.col("value"))) for i, n in enumerate(("_m1", "_m2", "_low", "_high"))}
+    ranked = found.groupBy(*keys).agg(*[c.alias(n) for n, c in at.items()])
+    sizes = sides.groupBy(*keys).agg(F.count_if(is_x).alias("_m"), F.count_if(~is_x).alias("_n"))
 
-def _across_tasks(sides: DataFrame, keys: Sequence[str], rounds: int = 12) -> DataFrame:
-    """The same bisection for large studies: every round counts pairs below several thresholds.
+    def levels(batches):
+        for pdf in batches:
+            pdf["level"] = [pairs.limit_rank(m, n)[1] if m and n else None for m, n in zip(pdf["_m"], pdf["_n"])]
+            yield pdf[[*keys, "level"]]
 
-    One state row per study and wanted rank; the number of large studies is bounded by
-    rows / limit. Each round keeps the bracket around the wanted rank and is written out.
-    """
-    d, is_x = F.col("d"), F.col("sequence") == "TR"
-    span = sides.groupBy(*keys).agg(
-        F.count_if(is_x).alias("nx"), F.count_if(~is_x).alias("ny"),
-        F.min(F.when(is_x, d)).alias("x0"), F.max(F.when(is_x, d)).alias("x1"),
-        F.min(F.when(~is_x, d)).alias("y0"), F.max(F.when(~is_x, d)).alias("y1"))
-    pairs = F.col("nx") * F.col("ny")
-    lows = F.floor((pairs + 1) / 2).cast("long")
-    highs = (F.floor(pairs / 2) + 1).cast("long")
-    state = span.select(
-        *keys, F.explode(F.array_distinct(F.array(lows, highs))).alias("k"),
-        # the lower end sits just below every difference, so "more than lo, at most hi" holds the rank
-        (F.col("x0") - F.col("y1") - 1e-9 * (1 + F.abs(F.col("x0") - F.col("y1")))).alias("lo"),
-        (F.col("x1") - F.col("y0")).alias("hi"))
-    state = cut_lineage(state)
-    rows = max(1, skew.hot_rows(sides.sparkSession))
-    for _ in range(rounds):
-        grid = state.withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(STEPS - 1)))).withColumn(
-            "v", F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("i") / STEPS)
-        probe = [*keys, "k", "i"]
-        each = skew.same(sides, grid.select(*probe, "v"), keys, "inner")
-        # x shifted by the threshold among the y: y counted at or after it are pairs with x - y <= v
-        line = each.select(*probe, F.when(is_x, d - F.col("v")).otherwise(d).alias("at"),
-                           F.when(is_x, 1).otherwise(0).alias("x"))
-        seen = skew.Chunked(rows).scan(line, probe, [("at", False), ("x", True)],
-                                       running={"before": ("sum", 1 - F.col("x"))})
-        count = seen.groupBy(*probe).agg(
-            F.sum(F.when(F.col("x") == 1, -F.col("before")).otherwise(0)).alias("s"),
-            F.sum("x").alias("nx"), F.sum(1 - F.col("x")).alias("ny"))
-        count = count.select(*probe, (F.col("nx") * F.col("ny") + F.col("s")).alias("n"))
-        judged = skew.same(grid, count, probe, "left")
-        enough = F.coalesce(F.col("n"), F.lit(0)) >= F.col("k")
-        state = judged.groupBy(*keys, "k").agg(
-            F.coalesce(F.max(F.when(~enough, F.col("v"))), F.first("lo")).alias("lo"),
-            F.coalesce(F.min(F.when(enough, F.col("v"))), F.first("hi")).alias("hi"))
-        state = cut_lineage(state)
-    near = _nearest_difference(sides, state.select(*keys, "k", F.col("hi").alias("v")), keys, rows)
-    pe = near.groupBy(*keys).agg((F.avg("difference") / 2).alias("pe"))
-    return skew.same(span.select(*keys), pe, keys, "left")  # a study without pairs keeps its row
-
-
-def _nearest_difference(sides: DataFrame, wanted: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
-    """The difference x - y next to each ``v``: y moved up by v stands beside its x when both are in order."""
-    is_x = F.col("sequence") == "TR"
-    line = skew.same(sides, wanted, keys, "inner").withColumns(
-        {"at": F.when(is_x, F.col("d")).otherwise(F.col("d") + F.col("v")), "y": F.when(~is_x, F.col("d"))})
-    line = line.select(*keys, "k", "v", "at", "d", F.when(is_x, 1).otherwise(0).alias("x"), "y")
-    scan = skew.Chunked(rows)
-    group = [*keys, "k"]
-    low = scan.scan(line, group, [("at", False), ("x", False)], running={"below": ("max", F.col("y"))})
-    both = scan.scan(low, group, [("at", True), ("x", False)], running={"above": ("min", F.col("y"))})
-    pairs = both.filter("x = 1").select(*group, "v", F.explode(F.array(F.col("d") - F.col("below"), F.col("d") - F.col("above"))).alias("difference"))
-    off = F.abs(F.col("difference") - F.col("v"))
-    return pairs.filter("difference IS NOT NULL").groupBy(*group).agg(F.min_by("difference", F.struct(off, "difference")).alias("difference"))
+    level = sizes.mapInPandas(levels, StructType([sides.schema[k] for k in keys] + ESTIMATES.fields[-1:]))
+    joined = skew.same(level, ranked, keys, "left")  # a study without pairs keeps its row
+    return joined.select(*keys, ((F.col("_m1") + F.col("_m2")) / 4).alias("pe"), (F.col("_low") / 2).alias("lb"), (F.col("_high") / 2).alias("ub"), "level")
 
 
 def be_endpoints(data: DataFrame, by: Sequence[str] = (), hot=skew.LOOK, methods: Mapping[str, str] | None = None) -> DataFrame:
     """Every endpoint by its method, ``lm`` or ``nonpar``: as ``methods`` says by endpoint, else names containing
-    "tmax" nonparametric, others linear.
+    "tmax" nonparametric, others linear. Estimate and 90 % limits of ``nonpar`` are differences on the endpoint's own scale.
     """
     if bad := {m for m in (methods or {}).values() if m not in ("lm", "nonpar")}:
         raise ValueError(f"methods are lm and nonpar, not {sorted(bad)}")
@@ -271,6 +202,5 @@ def be_endpoints(data: DataFrame, by: Sequence[str] = (), hot=skew.LOOK, methods
         ranked = F.when(F.col("endpoint") == name, F.lit(method == "nonpar")).otherwise(ranked)
     lm = be_result(data.filter(~ranked), by).select(*by, "endpoint", F.lit("lm").alias("method"), "pe", "lnlb", "lnub")
     nonpar = be_nonpar(data.filter(ranked), by, hot=hot).select(
-        *by, "endpoint", F.lit("nonpar").alias("method"), "pe",
-        F.lit(None).cast("double").alias("lnlb"), F.lit(None).cast("double").alias("lnub"))
+        *by, "endpoint", F.lit("nonpar").alias("method"), "pe", F.col("lb").alias("lnlb"), F.col("ub").alias("lnub"))
     return lm.unionByName(nonpar)
