@@ -165,6 +165,61 @@ def _(spark, d):
         "event_id", "user_id", "pred_p", "pred_m"))
 
 
+# Every third dose runs in over one to five hours, every fourth is at steady state of itself every 24 h. The twin lists the earlier
+# doses of a steady state one by one, far beyond a double's precision, and adds up what each dose gives alone.
+PAST = 120
+_REGIMEN = f"""rg AS (SELECT *, evid = 1 AND event_id % 3 = 0 AS runs, CASE WHEN evid = 1 AND event_id % 4 = 1 THEN 1 ELSE 0 END AS ss, 1 + event_id % 5 AS len FROM ev),
+ep AS (SELECT *, sum(ss) OVER (PARTITION BY user_id ORDER BY h, evid DESC, event_id ROWS UNBOUNDED PRECEDING) AS epoch FROM rg),
+given AS (SELECT user_id, epoch, runs, len, amt * {SCALE} AS amt, h - 24 * j AS h FROM ep, range(0, {PAST}) r(j) WHERE evid = 1 AND (ss = 1 OR j = 0))"""
+# what one dose gives to an exponential at a time after its start
+_ALONE = """CASE WHEN NOT d.runs THEN d.amt * exp(-{k} * (o.h - d.h)) WHEN o.h - d.h < d.len THEN d.amt / d.len / {k} * (1 - exp(-{k} * (o.h - d.h)))
+    ELSE d.amt / d.len / {k} * (exp(-{k} * (o.h - d.h - d.len)) - exp(-{k} * (o.h - d.h))) END"""
+
+
+def _regimen_sql(prm: str, select: str) -> str:
+    return f"""WITH {PK}, {PRM}, {_ROOTS}, {_REGIMEN} SELECT o.event_id, o.user_id, {select}
+FROM ep o JOIN {prm} p ON p.user_id = o.user_id LEFT JOIN given d ON d.user_id = o.user_id AND d.epoch = o.epoch AND d.h <= o.h
+WHERE o.evid = 0 AND o.occ > 0 GROUP BY o.event_id, o.user_id"""
+
+
+def _regimen(spark, d, hot):
+    rows = dosed(spark, d, hot)
+    return rows.withColumns({
+        "rate": F.when((F.col("evid") == 1) & (F.col("event_id") % 3 == 0), F.col("amt") / (1 + F.col("event_id") % 5)),
+        "ss": F.when((F.col("evid") == 1) & (F.col("event_id") % 4 == 1), 1).otherwise(0), "ii": F.lit(24.0)})
+
+
+HOW = {"rate": "rate", "ss": "ss", "ii": "ii"}
+
+
+def _mode(k: str) -> str:
+    return f"sum({_ALONE.format(k=f'({k})')})"
+
+
+@query("score_regimen", _regimen_sql("prm", f"""sig(coalesce(min(bio * ka / (vc * (ka - cl / vc))) * ({_mode('cl / vc')} - {_mode('ka')}), 0.0)) AS pred"""))
+def _(spark, d):
+    hot = hot_users(spark, d)
+    out = score.score_1cmt_oral(_regimen(spark, d, hot), individual(), "user_id", "h", tie=["event_id"], hot=hot, **HOW)
+    return rounded(out.select("event_id", "user_id", "pred"))
+
+
+@query("score_regimen_2cmt", _regimen_sql("ab", f"""sig(coalesce(min(bio * ka / vc) * (min((k21-al)/((be-al)*(ka-al))) * {_mode('al')}
+  + min((k21-be)/((al-be)*(ka-be))) * {_mode('be')} + min((k21-ka)/((al-ka)*(be-ka))) * {_mode('ka')}), 0.0)) AS pred"""))
+def _(spark, d):
+    hot = hot_users(spark, d)
+    out = score.score_2cmt_oral(_regimen(spark, d, hot), individual(), "user_id", "h", tie=["event_id"], hot=hot, **HOW)
+    return rounded(out.select("event_id", "user_id", "pred"))
+
+
+@query("score_regimen_met", _regimen_sql("prm", f"""sig(coalesce(min(1 / vc) * {_mode('cl / vc')}, 0.0)) AS pred_p,
+  sig(coalesce(min((cl/vc) / (vp * (q/vp - cl/vc))) * ({_mode('cl / vc')} - {_mode('q / vp')}), 0.0)) AS pred_m"""))
+def _(spark, d):
+    hot = hot_users(spark, d)
+    p = {"CL": F.col("CL"), "Vc": F.col("Vc"), "CLme": F.col("Q"), "Vme": F.col("Vp")}
+    out = score.score_parent_met(_regimen(spark, d, hot), p, "user_id", "h", tie=["event_id"], hot=hot, **HOW)
+    return rounded(out.select("event_id", "user_id", "pred_p", "pred_m"))
+
+
 GRID = 721  # fixed value: points of the grid 0, 0.1 ... 72
 _GRID = f"g AS (SELECT user_id, i * CAST(0.1 AS DOUBLE) AS time FROM (SELECT DISTINCT user_id FROM ev WHERE evid = 1), range(0, {GRID}) r(i))"
 

@@ -21,9 +21,7 @@ def _gamma_ratio(a: Column) -> Column:
     series = F.lit(0.0)
     for c in reversed(_GAMMA_RATIO):
         series = series / far + F.lit(c)
-    back = F.lit(1.0)
-    for i in range(24):
-        back = back * ((a + i) / (a + (i + 0.5)))
+    back = F.aggregate(F.sequence(F.lit(0), F.lit(23)), F.lit(1.0), lambda v, i: v * ((a + i) / (a + i + 0.5)))
     return F.sqrt(far) * series * back
 
 

@@ -46,47 +46,99 @@ def subject_params(df: DataFrame, theta: Mapping[str, float], wt: str = "wt", is
 
 
 def decayed_doses(records: DataFrame, id: str, time: str, evid: str, amt: str, rates: Mapping[str, Column],
-                  tie: Sequence[str] = (), hot=skew.LOOK) -> DataFrame:
+                  tie: Sequence[str] = (), hot=skew.LOOK, rate: str | None = None, ss: str | None = None, ii: str | None = None) -> DataFrame:
     """Observation records with ``S_<name>`` for every rate; zero before the first dose.
 
     ``rates`` are expressions over the record's own columns (constant within a subject). Records
-    that already carry ``occ`` and ``dose_time`` are taken as they are.
+    that already carry ``occ`` and ``dose_time`` are taken as they are. With ``rate`` or ``ss`` doses may be
+    given over time or at steady state, see ``_regimen``.
     """
     names = list(rates)
     if hot is skew.LOOK:
         hot = skew.find_hot(records, [id])
-    done = {"occ", "dose_time"} <= set(records.columns)
-    rows = records if done else dosing(records, id, time, evid, tie, hot)
+    given = bool(rate or ss)
+    if given:
+        rows = _regimen(records, id, time, evid, amt, tie, hot, rate, ss, ii)
+        group, occ, last = [id, "_epoch"], "_occ", "_dose_time"
+    else:
+        done = {"occ", "dose_time"} <= set(records.columns)
+        rows = records if done else dosing(records, id, time, evid, tie, hot)
+        group, occ, last = [id], "occ", "dose_time"
     lanes = F.explode(F.array(*[
         F.struct(F.lit(i).alias("lane"), rates[n].cast("double").alias("rate")) for i, n in enumerate(names)
     ]))
+    inputs = [F.col(amt).cast("double").alias("_amt"), *(["_r", "_len", "_ii"] if given else [])]
     doses = (
         rows.filter(F.col(evid) == 1)
-        .select(F.col(id), "occ", F.col(time).alias("_td"), F.col(amt).cast("double").alias("_amt"), lanes.alias("_l"))
-        .select(id, "occ", "_td", "_amt", "_l.lane", "_l.rate")
+        .select(*group, F.col(occ).alias("_no"), F.col(time).alias("_td"), *inputs, lanes.alias("_l"))
+        .withColumns({"lane": F.col("_l.lane"), "rate": F.col("_l.rate")})
         .withColumn("_block", F.floor(F.col("_td") * F.col("rate") / REACH))
-        .withColumn("_in", F.col("_amt") * F.exp(F.col("rate") * F.col("_td") - F.col("_block") * REACH))
+        .withColumn("_in", (_pulse(F.col("rate")) if given else F.col("_amt")) * F.exp(F.col("rate") * F.col("_td") - F.col("_block") * REACH))
+        .select(*group, "_no", "_td", "lane", "rate", "_block", "_in")
     )
-    lane = [id, "lane", "_block"]
+    lane = [*group, "lane", "_block"]
     # occasions number the doses of a subject in time order, so they order a block without ties
     run = {"_run": ("sum", F.col("_in"))}
-    summed = skew.by_heat(doses, [id], lambda d, s: s.scan(d, lane, [("occ", False)], running=run), hot)
+    summed = skew.by_heat(doses, [id], lambda d, s: s.scan(d, lane, [("_no", False)], running=run), hot)
     whole = doses.groupBy(*lane).agg(F.sum("_in").alias("_past")).withColumn("_block", F.col("_block") + 1)
     within = F.exp(F.col("_block") * REACH - F.col("rate") * F.col("_td"))
     state = F.col("_run") * within + F.coalesce(F.col("_past"), F.lit(0.0)) * within * math.exp(-REACH)
-    at_dose = summed.join(whole, lane, "left").groupBy(id, "occ").agg(
+    at_dose = summed.join(whole, lane, "left").groupBy(*group, F.col("_no").alias(occ)).agg(
         *[F.max(F.when(F.col("lane") == i, state)).alias(f"_a{i}") for i in range(len(names))])
-    seen = rows.filter(F.col(evid) == 0).join(at_dose, [id, "occ"], "left")
-    gap = F.col(time) - F.col("dose_time")
-    return seen.withColumns({
-        f"S_{n}": F.coalesce(F.col(f"_a{i}") * F.exp(-rates[n] * gap), F.lit(0.0)) for i, n in enumerate(names)
-    }).drop(*[f"_a{i}" for i in range(len(names))])
+    seen = rows.filter(F.col(evid) == 0).join(at_dose, [*group, occ], "left")
+    gap = F.col(time) - F.col(last)
+    decayed = [F.coalesce(F.col(f"_a{i}") * F.exp(-rates[n] * gap), F.lit(0.0)) for i, n in enumerate(names)]
+    if given:
+        decayed = [F.when(F.col("_occ") > 0, s + F.col("_on") / rates[n]).otherwise(s) for s, n in zip(decayed, names)]
+    out = seen.withColumns({f"S_{n}": s for n, s in zip(names, decayed)})
+    return out.drop(*[f"_a{i}" for i in range(len(names))], *(["_epoch", "_occ", "_dose_time", "_on", "_r", "_len", "_ii", "_stop"] if given else []))
+
+
+def _regimen(records: DataFrame, id: str, time: str, evid: str, amt: str, tie: Sequence[str], hot,
+             rate: str | None, ss: str | None, ii: str | None) -> DataFrame:
+    """Records with a stop event after every infusion, the running number and time of events, and the rate running in ``_on``.
+
+    A dose with ``rate`` above zero runs in for amt / rate; without one it is given at once. A dose with ``ss`` = 1 finds the steady
+    state of the same dose every ``ii`` (which an infusion must not outlast) and ends the effect of all earlier
+    doses: it opens an epoch of its subject, and sums do not cross epochs.
+    """
+    if ss and not ii:
+        raise ValueError("steady-state doses need their interval")
+    none = F.lit(None).cast("double")
+    is_dose = F.col(evid) == 1
+    runs = is_dose & (F.coalesce(F.col(rate).cast("double"), F.lit(0.0)) > 0) if rate else F.lit(False)
+    steady = is_dose & F.coalesce(F.col(ss) == 1, F.lit(False)) if ss else F.lit(False)
+    rows = records.withColumn(time, F.col(time).cast("double")).withColumns({
+        "_r": F.when(runs, F.col(rate).cast("double")) if rate else none,
+        "_len": F.when(runs, F.col(amt).cast("double") / F.col(rate).cast("double")) if rate else none,
+        "_ii": F.when(steady, F.col(ii).cast("double")) if ss else none, "_stop": F.lit(False)})
+    order = [(time, False), (evid, True), ("_stop", True), *[(c, False) for c in tie]]
+    opened = {"_epoch": ("sum", steady.cast("long"))}
+    rows = skew.by_heat(rows, [id], lambda d, s: s.scan(d, [id], order, running=opened), hot)
+    # an infusion that a steady-state dose cuts off stops in its own epoch, where nothing is observed any more
+    stops = rows.filter(F.col("_r") > 0).withColumns({time: F.col(time) + F.col("_len"), "_r": -F.col("_r"), "_ii": none, "_stop": F.lit(True)})
+    counted = {"_occ": ("sum", F.col(evid).cast("long")), "_dose_time": ("max", F.when(F.col(evid) == 1, F.col(time))),
+               "_on": ("sum", F.coalesce("_r", F.lit(0.0)))}
+    every = rows.unionByName(stops) if rate else rows
+    return skew.by_heat(every, [id], lambda d, s: s.scan(d, [id, "_epoch"], order, running=counted), hot)
+
+
+def _pulse(rate: Column) -> Column:
+    """What an event adds to an exponential of this rate, beside the level rate-in / rate while it runs in.
+
+    Before a steady-state dose the same doses have been given forever: geometric series in exp(-rate * ii).
+    """
+    r, length, ii = F.col("_r"), F.col("_len"), F.col("_ii")
+    earlier = F.exp(-rate * (ii - length)) * F.expm1(-rate * length) / F.expm1(-rate * ii)
+    run_in = r / rate * (F.when(ii.isNotNull(), earlier).otherwise(0.0) - 1)
+    at_once = F.col("_amt") * F.when(ii.isNotNull(), -1 / F.expm1(-rate * ii)).otherwise(1.0)
+    return F.when(r > 0, run_in).when(r < 0, -r / rate).otherwise(at_once)
 
 
 def _apart(a: Column, *others: Column) -> Column:
-    """Nudge a rate that coincides with another one, where the closed form has a removable pole."""
+    """Nudge a rate that coincides with another one, where the closed form has a removable pole; in any unit of time."""
     for b in others:
-        a = F.when(F.abs(a - b) < 1e-9, b * (1 + 1e-6)).otherwise(a)
+        a = F.when(F.abs(a - b) < 1e-6 * F.abs(b), b * (1 + 1e-6)).otherwise(a)
     return a
 
 
@@ -119,32 +171,36 @@ def two_cmt(p: Mapping[str, Any]) -> tuple[dict[str, Column], Any]:
     return {"alpha": alpha, "beta": beta, "ka": ka}, predict
 
 
-def _predict(records, id, time, evid, amt, model, tie, hot, name) -> DataFrame:
+def _predict(records, id, time, evid, amt, model, tie, hot, name, regimen) -> DataFrame:
     rates, predict = model
-    out = decayed_doses(records, id, time, evid, amt, rates, tie, hot)
+    out = decayed_doses(records, id, time, evid, amt, rates, tie, hot, **regimen)
     return out.withColumn(name, predict(lambda n: F.col(f"S_{n}"))).drop(*[f"S_{n}" for n in rates])
 
 
 def score_1cmt_oral(records: DataFrame, params: Mapping[str, Any], id: str = "id", time: str = "time",
                     evid: str = "evid", amt: str = "amt", tie: Sequence[str] = (), hot=skew.LOOK,
-                    name: str = "pred") -> DataFrame:
-    """Observation records with the one-compartment prediction; parameters are numbers or columns."""
-    return _predict(records, id, time, evid, amt, one_cmt(params), tie, hot, name)
+                    name: str = "pred", **regimen: str) -> DataFrame:
+    """Observation records with the one-compartment prediction; parameters are numbers or columns.
+
+    ``regimen`` may name the columns ``rate`` (doses given over time) and ``ss`` with ``ii`` (doses at steady state).
+    """
+    return _predict(records, id, time, evid, amt, one_cmt(params), tie, hot, name, regimen)
 
 
 def score_2cmt_oral(records: DataFrame, params: Mapping[str, Any], id: str = "id", time: str = "time",
                     evid: str = "evid", amt: str = "amt", tie: Sequence[str] = (), hot=skew.LOOK,
-                    name: str = "pred") -> DataFrame:
-    return _predict(records, id, time, evid, amt, two_cmt(params), tie, hot, name)
+                    name: str = "pred", **regimen: str) -> DataFrame:
+    """The same with two compartments."""
+    return _predict(records, id, time, evid, amt, two_cmt(params), tie, hot, name, regimen)
 
 
 def score_parent_met(records: DataFrame, params: Mapping[str, Any], id: str = "id", time: str = "time",
-                     evid: str = "evid", amt: str = "amt", tie: Sequence[str] = (), hot=skew.LOOK) -> DataFrame:
-    """Intravenous parent and its metabolite, one compartment each: CL, Vc, CLme, Vme."""
+                     evid: str = "evid", amt: str = "amt", tie: Sequence[str] = (), hot=skew.LOOK, **regimen: str) -> DataFrame:
+    """Intravenous parent and its metabolite, one compartment each: CL, Vc, CLme, Vme; ``regimen`` as for the others."""
     v, vme = as_column(params["Vc"]), as_column(params["Vme"])
     k = as_column(params["CL"]) / v
     kme = _apart(as_column(params["CLme"]) / vme, k)
-    out = decayed_doses(records, id, time, evid, amt, {"k": k, "kme": kme}, tie, hot)
+    out = decayed_doses(records, id, time, evid, amt, {"k": k, "kme": kme}, tie, hot, **regimen)
     return out.withColumns({
         "pred_p": F.col("S_k") / v,
         "pred_m": k / (vme * (kme - k)) * (F.col("S_k") - F.col("S_kme")),
