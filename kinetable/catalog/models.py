@@ -328,6 +328,31 @@ def _(spark, d):
     return rounded(metrics.lr_test(_metrics(preds, "additive", 4), _metrics(preds, "combined", 6), 2))
 
 
+# erfc(z): power series up to 2.2, continued fraction from its 300th term beyond
+_Z = "sqrt(x / 2)"
+_ERFC = f"""CASE WHEN {_Z} < 2.2 THEN 1 - 2 / sqrt(pi()) * exp(-x / 2) * list_sum([exp(n * ln(2.0) + (2 * n + 1) * ln({_Z} + 1e-300)
+    - (lgamma(2 * n + 2) - n * ln(2.0) - lgamma(n + 1))) FOR n IN range(0, 80)])
+  ELSE exp(-x / 2) / sqrt(pi()) / list_reduce(list_prepend({_Z}, [CAST(i AS DOUBLE) FOR i IN range(300, 0, -1)]), lambda v, i: {_Z} + i / 2 / v) END"""
+
+
+def _lr(name: str, df: int, p: str) -> None:
+    """The rise of the likelihood from additive to combined error over five average observations, for another number of parameters."""
+    @query(name, f"""WITH {SC}, l AS (SELECT sum({_ll('additive')}) AS a, sum({_ll('combined')}) AS b, count(*) AS n FROM sc),
+s AS (SELECT 0.0::DOUBLE AS ll0, (b - a) / n * 5 AS ll1 FROM l), x AS (SELECT *, greatest(2 * (ll1 - ll0), 0.0) AS x FROM s)
+SELECT ll0, sig(ll1) AS ll1, sig(x) AS statistic, CAST({df} AS BIGINT) AS df, sig({p}) AS p FROM x""")
+    def run(spark, d):
+        preds = stored(spark, d)
+        n = preds.select(F.count(F.lit(1)).alias("_obs")).withColumn("Metric", F.lit("LogLikelihood"))
+        both = [_metrics(preds, kind, 4).filter("Metric = 'LogLikelihood'").withColumnRenamed("Value", kind) for kind in ("additive", "combined")]
+        rise = both[0].join(both[1], "Metric").join(n, "Metric").withColumn("Value", (F.col("combined") - F.col("additive")) / F.col("_obs") * 5)
+        none = rise.select("Metric", F.lit(0.0).alias("Value"))
+        return rounded(metrics.lr_test(none, rise.select("Metric", "Value"), df), raw=["ll0"])
+
+
+_lr("lr_test_df1", 1, _ERFC)
+_lr("lr_test_df3", 3, f"{_ERFC} + sqrt(2 * x / pi()) * exp(-x / 2)")
+
+
 @query("influential", f"""WITH {SC} SELECT user_id, sig(-2 * sum({_ll('combined')})) AS m2ll FROM sc GROUP BY user_id
 ORDER BY -2 * sum({_ll('combined')}) DESC, user_id LIMIT 10""")
 def _(spark, d):

@@ -43,6 +43,25 @@ def _(spark, d):
     return tables.read_csv_skip_units(spark, path, ORDERS_DDL, "o_orderkey")
 
 
+_SITES = 4
+
+
+@query("read_csv_skipto", """SELECT 'S-' || o_orderkey AS subject, o_orderkey % 4 AS site, o_orderstatus, o_totalprice FROM orders""")
+def _(spark, d):
+    """One file a site with text keys, a units line and a comment below each header."""
+    path = fresh_path(spark, "sites-csv")
+    site = F.col("o_orderkey") % _SITES
+    data = dataset(spark, d, "orders").select(
+        F.concat(F.lit("S-"), F.col("o_orderkey")).alias("subject"), "o_orderstatus", F.col("o_totalprice").cast("string").alias("o_totalprice"),
+        F.lit(2).alias("line"), site.alias("site"))
+    heads = [("number", "code", "USD"), ("S-0", "as typed", "0")]
+    lines = spark.range(_SITES).select(F.col("id").alias("site"), F.explode(F.array(*[
+        F.struct(*[F.lit(v).alias(c) for c, v in zip(data.columns, h)], F.lit(i).alias("line")) for i, h in enumerate(heads)])).alias("h"))
+    whole = data.unionByName(lines.select("h.*", "site")).repartition(_SITES, "site").sortWithinPartitions("site", "line")
+    whole.drop("line").write.partitionBy("site").option("header", True).csv(path)
+    return tables.read_csv_skip_units(spark, path, "subject string, site bigint, o_orderstatus string, o_totalprice double", skipto=4)
+
+
 @query("write_csv", "SELECT p_partkey, p_name, p_brand, p_size, p_retailprice FROM part")
 def _(spark, d):
     path = fresh_path(spark, "part-csv")
@@ -233,18 +252,20 @@ def _(spark, d):
 
 # ---- joins and concatenation ----
 
-_SOME = "(SELECT * FROM customer WHERE c_acctbal > 2000) c"
+# every third customer goes by another key, so that rows of either side find no partner
+_MOVED = "(SELECT * REPLACE (CASE WHEN c_custkey % 3 = 0 THEN -c_custkey ELSE c_custkey END AS c_custkey) FROM customer) c"
 
 
 def _sides(spark, d):
     o = dataset(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("k"), "o_totalprice")
-    c = dataset(spark, d, "customer").filter("c_acctbal > 2000").select(F.col("c_custkey").alias("k"), "c_name", "c_acctbal")
+    key = F.col("c_custkey")
+    c = dataset(spark, d, "customer").select(F.when(key % 3 == 0, -key).otherwise(key).alias("k"), "c_name", "c_acctbal")
     return o, c
 
 
 def _join_sql(kind: str) -> str:
     return (f"SELECT o_orderkey, coalesce(o_custkey, c_custkey) AS k, o_totalprice, c_name, c_acctbal "
-            f"FROM orders {kind} JOIN {_SOME} ON o_custkey = c_custkey")
+            f"FROM orders {kind} JOIN {_MOVED} ON o_custkey = c_custkey")
 
 
 def _joined(name: str, how: str, sql: str, salt=None) -> None:
@@ -259,25 +280,25 @@ _joined("inner_join", "inner", _join_sql("INNER"))
 _joined("right_join", "right", _join_sql("RIGHT"))
 _joined("outer_join", "outer", _join_sql("FULL"))
 _joined("outer_join_salted", "outer", _join_sql("FULL"), salt=8)
-_joined("anti_join", "anti", f"SELECT o_orderkey, o_custkey AS k, o_totalprice FROM orders ANTI JOIN {_SOME} ON o_custkey = c_custkey")
-_joined("semi_join", "semi", f"SELECT o_orderkey, o_custkey AS k, o_totalprice FROM orders SEMI JOIN {_SOME} ON o_custkey = c_custkey")
+_joined("anti_join", "anti", f"SELECT o_orderkey, o_custkey AS k, o_totalprice FROM orders ANTI JOIN {_MOVED} ON o_custkey = c_custkey")
+_joined("semi_join", "semi", f"SELECT o_orderkey, o_custkey AS k, o_totalprice FROM orders SEMI JOIN {_MOVED} ON o_custkey = c_custkey")
 
 
-@query("left_join_multi", """WITH g AS (SELECT l_suppkey, l_returnflag, count(*) AS n FROM lineitem WHERE l_quantity > 30 GROUP BY ALL)
+@query("left_join_multi", """WITH g AS (SELECT l_suppkey * 2 AS l_suppkey, l_returnflag, count(*) AS n FROM lineitem GROUP BY ALL)
 SELECT l_orderkey, l_linenumber, l_suppkey, l_returnflag, n FROM lineitem LEFT JOIN g USING (l_suppkey, l_returnflag)""")
 def _(spark, d):
     li = dataset(spark, d, "lineitem")
-    g = agg.group_count(li.filter("l_quantity > 30"), ["l_suppkey", "l_returnflag"], "n")
+    g = agg.group_count(li.withColumn("l_suppkey", F.col("l_suppkey") * 2), ["l_suppkey", "l_returnflag"], "n")
     return rel.join(li.select("l_orderkey", "l_linenumber", "l_suppkey", "l_returnflag"), g, ["l_suppkey", "l_returnflag"], "left")
 
 
 @query("inner_join_many", """WITH a AS (SELECT o_custkey AS k, count(*) AS n FROM orders GROUP BY 1),
-b AS (SELECT o_custkey AS k, count(*) AS n FROM orders WHERE o_orderstatus = 'F' GROUP BY 1),
-c AS (SELECT o_custkey AS k, count(*) AS n FROM orders WHERE o_orderstatus = 'O' GROUP BY 1)
+b AS (SELECT l_suppkey AS k, count(*) AS n FROM lineitem GROUP BY 1),
+c AS (SELECT user_id AS k, count(*) AS n FROM events GROUP BY 1)
 SELECT a.k, a.n, b.n AS n_1, c.n AS n_2 FROM a JOIN b ON a.k = b.k JOIN c ON a.k = c.k""")
 def _(spark, d):
-    o = dataset(spark, d, "orders").withColumnRenamed("o_custkey", "k")
-    parts = [agg.group_count(p, ["k"], "n") for p in (o, o.filter("o_orderstatus = 'F'"), o.filter("o_orderstatus = 'O'"))]
+    keys = {"orders": "o_custkey", "lineitem": "l_suppkey", "events": "user_id"}
+    parts = [agg.group_count(dataset(spark, d, t).withColumnRenamed(k, "k"), ["k"], "n") for t, k in keys.items()]
     return rel.inner_join_many(parts, "k", makeunique=True)
 
 

@@ -38,11 +38,13 @@ def histogram(df: DataFrame, value: str, bins: int, facet: Sequence[str] = ()) -
 def density(df: DataFrame, by: Sequence[str], value: str, points: int = 32, hot=skew.LOOK) -> DataFrame:
     """Gaussian kernel density per group on an even grid over the group's range.
 
-    Bandwidth: 0.9 min(sd, IQR / 1.34) n^(-1/5).
+    Bandwidth: 0.9 min(sd, IQR / 1.34) n^(-1/5), with sd alone where the quartiles coincide. A group of one value
+    or one row has no bandwidth: its points all lie at the value, with density NULL.
     """
     s = stats_of(df, value, ["n", "std", "min", "max", "q25", "q75"], by, hot)
-    h = 0.9 * F.least(F.col("std"), (F.col("q75") - F.col("q25")) / 1.34) * F.pow("n", F.lit(-0.2))
-    s = s.select(*by, "n", "min", "max", h.alias("h")).filter(F.col("h") > 0)
+    iqr = F.col("q75") - F.col("q25")
+    h = 0.9 * F.least(F.col("std"), F.when(iqr > 0, iqr / 1.34)) * F.pow("n", F.lit(-0.2))
+    s = s.select(*by, "n", "min", "max", F.when(F.col("max") > F.col("min"), h).alias("h"))
     rows = skew.same(df.select(*by, F.col(value).alias("_x")).filter(F.col("_x").isNotNull()), s, by, "inner")
     g = F.explode(F.sequence(F.lit(0), F.lit(points - 1)))
     rows = rows.withColumn("point", g)

@@ -115,15 +115,18 @@ def _scored(d: DataFrame, scan: skew.Scan, keys: Sequence[str], llq, max_points)
     # records without a concentration sort behind all others, so successors skip them
     d = d.selectExpr("*", "CASE WHEN c IS NOT NULL THEN t END AS _t",
                      "CASE WHEN c > 0 THEN t END AS _x", "CASE WHEN c > 0 THEN ln(c) END AS _y")
+    order = [("_t", True), ("c", True)]
+    # sums about the profile's last time: far from time zero squares of times would lose all digits
+    d = scan.leading(d, keys, order, "_end").selectExpr("*", "_x - _end AS _u")
     running = {
-        "_n": ("count", F.expr("_x")),
-        "_sx": ("sum", F.expr("_x")),
+        "_n": ("count", F.expr("_u")),
+        "_sx": ("sum", F.expr("_u")),
         "_sy": ("sum", F.expr("_y")),
-        "_sxx": ("sum", F.expr("_x * _x")),
-        "_sxy": ("sum", F.expr("_x * _y")),
+        "_sxx": ("sum", F.expr("_u * _u")),
+        "_sxy": ("sum", F.expr("_u * _y")),
         "_syy": ("sum", F.expr("_y * _y")),
     }
-    d = scan.scan(d, keys, [("_t", True), ("c", True)], running=running, prev={"_t2": "_t", "_c2": "c"})
+    d = scan.scan(d, keys, order, running=running, prev={"_t2": "_t", "_c2": "c"})
     d = scan.group(d, keys, {
         "_peak": F.expr("max(CASE WHEN c IS NOT NULL THEN struct(c AS c, -_t AS nt) END)"),
         "_tlast": F.expr("max(_x)"),
@@ -206,7 +209,7 @@ def _aggregate(d: DataFrame, keys, method, intervals, add_c0) -> DataFrame:
         total(areas.clipped_auc("_lg", *seg, "0.0D", "_tau"), "auctau"),
         *spans,
         f"""max(CASE WHEN _adj >= _best - {TOLERANCE}D THEN struct(_n AS n, _slope AS b, _adj AS r, _t AS t,
-            (_sy - _slope * _sx) / _n AS a) END) AS _lz""",
+            (_sy - _slope * _sx) / _n - _slope * _end AS a) END) AS _lz""",
     )])
 
 

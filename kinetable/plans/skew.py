@@ -51,14 +51,14 @@ def same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, bound
 
 
 def attach(df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column], bounded: bool = False) -> DataFrame:
-    """Group aggregates on every row: partial aggregation, then a join back.
+    """Group aggregates on every row, in place of like-named columns: partial aggregation, then a join back.
 
     Unlike a window over the whole group no task ever holds a group, and the join is one that
     adaptive execution can split when a key is hot. Without keys the one-row total is a subquery.
     """
     named = [c.alias(n) for n, c in aggs.items()]
     if keys:
-        return same(df, df.groupBy(*keys).agg(*named), keys, "left", bounded)
+        return same(df.drop(*aggs), df.groupBy(*keys).agg(*named), keys, "left", bounded)
     total = df.agg(*named).select(F.struct(*aggs).alias("_t")).scalar()
     out = df.withColumn("_t", total)
     return out.withColumns({n: F.col(f"_t.{n}") for n in aggs}).drop("_t")
@@ -112,6 +112,12 @@ class Plain:
         cols |= {n: F.lag(c).over(w) for n, c in (prev or {}).items()}
         return df.withColumns(cols)
 
+    def leading(self, df: DataFrame, keys: Sequence[str], order: Order, name: str) -> DataFrame:
+        """The leading order column's value on the first row that has one, on every row from there on."""
+        column, down = order[0]
+        w = Window.partitionBy(*keys).orderBy(*_sorts(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.withColumn(name, (F.max if down else F.min)(column).over(w))
+
     def group(self, df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column]) -> DataFrame:
         """Group aggregates on every row."""
         w = Window.partitionBy(*keys)
@@ -168,7 +174,12 @@ class Chunked:
                 done[n] = (F.greatest if f == "max" else F.least)(mine, earlier)
         for n in prev:
             done[n] = F.when(F.col("_rn") == 1, F.col(f"_b_end.{n}")).otherwise(F.col(f"_p_{n}"))
-        return out.withColumns(done).select(*df.columns, *running, *prev)
+        kept = [c for c in df.columns if c not in done]  # like-named columns are replaced, as in Plain
+        return out.withColumns(done).select(*kept, *running, *prev)
+
+    def leading(self, df: DataFrame, keys: Sequence[str], order: Order, name: str) -> DataFrame:
+        column, down = order[0]
+        return self.group(df, keys, {name: (F.max if down else F.min)(column)})
 
     def group(self, df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column]) -> DataFrame:
         return attach(cut_lineage(df), keys, aggs, self._bounded(keys))

@@ -13,15 +13,19 @@ MISSING = ("NA", ".", "")  # fixed values: the missing tokens of the source file
 
 def read_csv(
     spark: SparkSession, path: str, missing: Sequence[str] = MISSING, schema: str | StructType | None = None,
-    required: Sequence[str] = (),
+    required: Sequence[str] = (), skipto: int = 2,
 ) -> DataFrame:
     """CSV with a header and several missing tokens.
 
+    ``skipto`` is the line of each file, the header being the first, with which its data begin.
+
     Columns are read as text so that words such as ``inf`` stay words, then converted to
     ``schema`` where given (text that does not convert is NULL). ``required`` drops lines whose
     named columns do not convert: units or comment lines between header and data.
     """
     raw = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
+    if skipto > 2:
+        raw = skip_lines(raw, skipto - 2)
     trimmed = {c: F.trim(F.regexp_replace(F.col(c), "\r$", "")) for c in raw.columns}
     df = raw.withColumns({c: F.when(~x.isin(*missing), x) for c, x in trimmed.items()})
     if schema is None:
@@ -31,6 +35,21 @@ def read_csv(
     return df.na.drop(subset=list(required)) if required else df
 
 
+def skip_lines(df: DataFrame, lines: int) -> DataFrame:
+    """``df``, just read from files, without the first ``lines`` rows of each file, whatever they hold.
+
+    A file's rows stand in order and its first split begins at offset 0, so one row number of that split says which
+    numbers go; only these, ``lines`` for each file, are broadcast. Rows stay where they were read. The lines must lie in
+    a file's first split. Blank lines are no rows.
+    """
+    placed = df.select("*", F.monotonically_increasing_id().alias("_row"), F.col("_metadata.file_path").alias("_file"),
+                       F.col("_metadata.file_block_start").alias("_offset"))
+    first = placed.filter("_offset = 0").groupBy("_file").agg(F.min("_row").alias("_from"), F.count(F.lit(1)).alias("_n"))
+    upto = F.col("_from") + F.least(F.col("_n"), F.lit(lines)) - 1
+    gone = first.select(F.explode(F.sequence("_from", upto)).alias("_row"))
+    return placed.join(F.broadcast(gone), "_row", "left_anti").select(*df.columns)
+
+
 def rejected_values(spark: SparkSession, path: str, schema: str | StructType, missing: Sequence[str] = MISSING) -> DataFrame:
     """``(column, rejected)``: how many present values of each column ``read_csv`` makes NULL because they don't convert."""
     want = StructType.fromDDL(schema) if isinstance(schema, str) else schema
@@ -40,10 +59,14 @@ def rejected_values(spark: SparkSession, path: str, schema: str | StructType, mi
     return text.agg(*lost).unpivot([], names, "column", "rejected")
 
 
-def read_csv_skip_units(spark: SparkSession, path: str, schema: str, key: str,
-                        missing: Sequence[str] = MISSING) -> DataFrame:
-    """CSV with a units line below the header: lines whose key is not a number are not data."""
-    return read_csv(spark, path, missing, schema, required=[key])
+def read_csv_skip_units(spark: SparkSession, path: str, schema: str, key: str | None = None,
+                        missing: Sequence[str] = MISSING, skipto: int = 3) -> DataFrame:
+    """CSV with units lines below the header: the lines before ``skipto`` in each file or, where ``key`` is given, those whose
+    key does not convert to its type.
+    """
+    if key:
+        return read_csv(spark, path, missing, schema, required=[key])
+    return read_csv(spark, path, missing, schema, skipto=skipto)
 
 
 def write_csv(df: DataFrame, path: str, missing: str = "") -> None:
