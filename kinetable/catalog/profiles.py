@@ -136,6 +136,32 @@ _register("nca_aumc", "", "aumclast, aumcinf_obs")
 _register("nca_mrt", "", "mrtlast, mrtinf_obs")
 _register("nca_partial_auc", "", "auc_0_12", intervals=[(0, 12)])
 _register("nca_partial_auc_multi", "", "auc_0_12, auc_12_24, auc_24_96", intervals=[(0, 12), (12, 24), (24, 96)])
+# four intervals for everybody and two that differ by user
+_OWN = "(CAST(user_id % 7 AS DOUBLE), CAST(user_id % 7 + 5 + user_id % 11 AS DOUBLE)), (CAST(user_id % 50 AS DOUBLE), 1000.0::DOUBLE)"
+_CUT = "(least(t2, iv.b) - greatest(t1, iv.a))"
+
+
+@query("nca_intervals", f"""WITH {PK}, {nca_sql()},
+iv AS (SELECT DISTINCT user_id, v.a, v.b FROM events, LATERAL (VALUES (0.0::DOUBLE, 12.0::DOUBLE), (12.0, 24.0), (24.0, 96.0), (3.0, 3.5), {_OWN}) AS v(a, b)),
+part AS (SELECT iv.*, s.occ, sum(CASE WHEN lg THEN {_CUT} * (c1*exp(ln(c2/c1)*(greatest(t1,iv.a)-t1)/hh) - c1*exp(ln(c2/c1)*(least(t2,iv.b)-t1)/hh)) / (lr*{_CUT}/hh)
+    ELSE {_CUT} * (2*c1 + (c2-c1)*((greatest(t1,iv.a)-t1) + (least(t2,iv.b)-t1))/hh) / 2 END) AS x
+  FROM iv JOIN seg s ON s.user_id = iv.user_id AND greatest(t1, iv.a) < least(t2, iv.b) GROUP BY ALL),
+every AS (SELECT r.user_id, r.occ, iv.a, iv.b, x, CASE WHEN lambdaz IS NOT NULL AND iv.b > greatest(iv.a, tlast)
+    THEN clast * (exp(-lambdaz*(greatest(iv.a, tlast) - tlast)) - exp(-lambdaz*(iv.b - tlast))) / lambdaz END AS tail
+  FROM rep r JOIN iv ON iv.user_id = r.user_id LEFT JOIN part p ON p.user_id = r.user_id AND p.occ = r.occ AND p.a = iv.a AND p.b = iv.b)
+SELECT user_id, occ, a, b, sig(coalesce(x + tail, x, tail)) AS auc FROM every""")
+def _(spark, d):
+    """Partial areas over a table of intervals by user."""
+    u = F.col("user_id")
+    spans = [(F.lit(0.0), F.lit(12.0)), (F.lit(12.0), F.lit(24.0)), (F.lit(24.0), F.lit(96.0)), (F.lit(3.0), F.lit(3.5)),
+             (u % 7, u % 7 + 5 + u % 11), (u % 50, F.lit(1000.0))]
+    table = dataset(spark, d, "events").select("user_id").distinct().select(
+        "user_id", F.explode(F.array(*[F.struct(a.cast("double").alias("a"), b.cast("double").alias("b")) for a, b in spans])).alias("s")).select("user_id", "s.*")
+    # interval ends count as rows of a user
+    hot = None if dataset(spark, d, "events").count() <= skew.hot_rows(spark) // 13 else skew.LOOK
+    return rounded(nca.nca_partial_areas(records(spark, d, hot_users(spark, d)), table, PROFILE, hot=hot), raw=["a", "b"])
+
+
 _register("nca_cl", "", "cl_obs", "SELECT *, cl AS cl_obs FROM rep", route="iv")
 _register("nca_vz", "", "vz_obs", "SELECT *, vz AS vz_obs FROM rep", route="iv")
 _register("nca_cl_vz_f", "route", "cl_f_obs, vz_f_obs, cl_obs, vz_obs",

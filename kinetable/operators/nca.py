@@ -213,20 +213,21 @@ def _aggregate(d: DataFrame, keys, method, intervals, add_c0) -> DataFrame:
     )])
 
 
+def _extended(name: str, a: str, b: str) -> str:
+    """Add the extrapolated part of [a, b] beyond the last quantifiable time."""
+    a = f"greatest({a}, tlast)"
+    tail = f"clast * (exp(-lambdaz * ({a} - tlast)) - exp(-lambdaz * ({b} - tlast))) / lambdaz"
+    tail = f"CASE WHEN {b} > {a} AND lambdaz IS NOT NULL THEN {tail} END"
+    return f"coalesce({name} + {tail}, {name}, {tail})"
+
+
 def _derived(d: DataFrame, keys, intervals) -> DataFrame:
     own = [f"`{c}`" for c in d.columns if c != "_lz"]
     d = d.selectExpr(*own, "-_lz.b AS lambdaz", "_lz.n AS n_lambdaz", "_lz.r AS adj_r2", "_lz.t AS lambdaz_from",
                      "_lz.a AS lambdaz_intercept")
 
-    def extend(name: str, a: str, b: str) -> str:
-        """Add the extrapolated part of [a, b] beyond the last quantifiable time."""
-        a = f"greatest({a}, tlast)"
-        tail = f"clast * (exp(-lambdaz * ({a} - tlast)) - exp(-lambdaz * ({b} - tlast))) / lambdaz"
-        tail = f"CASE WHEN {b} > {a} AND lambdaz IS NOT NULL THEN {tail} END"
-        return f"coalesce({name} + {tail}, {name}, {tail})"
-
-    longer = {interval_name(a, b): extend(interval_name(a, b), f"{float(a)}D", f"{float(b)}D") for a, b in intervals}
-    longer["auctau"] = f"CASE WHEN tau IS NOT NULL THEN {extend('auctau', '0.0D', 'tau')} END"
+    longer = {interval_name(a, b): _extended(interval_name(a, b), f"{float(a)}D", f"{float(b)}D") for a, b in intervals}
+    longer["auctau"] = f"CASE WHEN tau IS NOT NULL THEN {_extended('auctau', '0.0D', 'tau')} END"
     d = d.selectExpr(
         *[f"{longer[c]} AS {c}" if c in longer else f"`{c}`" for c in d.columns],
         "ln(2.0D) / lambdaz AS half_life",
@@ -251,6 +252,51 @@ def _derived(d: DataFrame, keys, intervals) -> DataFrame:
         "CASE WHEN route = 'ev' THEN _vz END AS vz_f_obs")
 
 
+def nca_partial_areas(records: DataFrame, intervals: DataFrame, keys: Sequence[str], method: str = "linuplogdown",
+                      llq: float | None = None, hot=skew.LOOK) -> DataFrame:
+    """``(keys, a, b, auc)``: partial areas over a table of intervals, which may differ by subject or profile.
+
+    ``intervals`` has ``a``, ``b`` and at least one of the key columns; each of its rows holds for all profiles with these
+    keys, repeated rows once. Areas are as in ``nca_report``: ends are interpolated by their segment's rule, what lies
+    beyond the last quantifiable time is extrapolated if there is a terminal slope, an interval without any part is
+    NULL. Profiles and interval ends are swept together in time order: every end finds the segment it falls in
+    and the area from there on, so a profile costs its records plus its ends, not their product. ``hot`` must count interval ends too.
+    """
+    keys = list(keys)
+    on = [k for k in keys if k in intervals.columns]
+    if not on:
+        raise ValueError("intervals name none of the keys")
+    records = _complete(records).select(*keys, "t", "c", *DOSE_COLUMNS)
+    report = nca_report(records, keys, method, llq, hot=hot).select(*keys, "tlast", "clast", "lambdaz", "auclast")
+    wanted = intervals.select(*on, F.col("a").cast("double").alias("a"), F.col("b").cast("double").alias("b")).distinct()
+    asked = skew.same(report, wanted, on, "inner").withColumn("_ask", F.struct("a", "b", "tlast", "clast", "lambdaz", "auclast"))
+    ends = F.explode(F.array(F.struct(F.col("a").alias("at"), F.lit(True).alias("opens")), F.struct(F.col("b").alias("at"), F.lit(False).alias("opens"))))
+    points = asked.select(*keys, "_ask", ends.alias("_e")).select(*keys, "_ask", "_e.at", "_e.opens")
+    rows = records.unionByName(points, allowMissingColumns=True)
+    seg = ("_t", "c", "_t2", "_c2")
+
+    def build(d: DataFrame, scan: skew.Scan) -> DataFrame:
+        own = _scored(d.filter("_ask IS NULL").drop("_ask", "at", "opens"), scan, keys, llq, None)
+        own = scan.group(own.filter("_t2 <= _tlast"), keys, {"_first": F.min("_t")})
+        own = own.selectExpr("*", f"{areas.log_rule(method, *seg, '_tmax')} AS _lg").selectExpr("*", f"{areas.auc('_lg', *seg)} AS _piece")
+        own = scan.scan(own, keys, [("_t", True), ("c", True)], running={"_rest": ("sum", F.col("_piece"))})
+        own = own.select(*keys, F.col("_t").alias("at"), F.struct("_t", "c", "_t2", "_c2", "_lg", "_piece", "_rest", "_first").alias("_s"))
+        line = own.unionByName(d.filter("_ask IS NOT NULL").select(*keys, "at", "_ask", "opens"), allowMissingColumns=True)
+        # of two segments that start together the one of zero width comes first
+        line = line.withColumn("_end", F.col("_ask").isNotNull())
+        return scan.scan(line, keys, [("at", False), ("_end", False)], running={"_in": ("max", F.col("_s"))}).filter("_end").drop("_s", "_end")
+
+    found = skew.by_heat(rows, [keys[0]], build, hot).selectExpr(*[f"`{k}`" for k in keys], "_ask.*", "opens", "at", "_in.*")
+    # the area from an end to the last quantifiable time
+    used = f"CASE WHEN at >= _t2 THEN _piece ELSE coalesce({areas.clipped_auc('_lg', *seg, '_t', 'at')}, 0.0D) END"
+    left = found.withColumn("_left", F.expr(f"CASE WHEN _t IS NULL THEN auclast ELSE _rest - ({used}) END"))
+    each = left.groupBy(*keys, "a", "b").agg(
+        *[F.max(c).alias(c) for c in ("tlast", "clast", "lambdaz")], F.max(F.when(F.col("opens"), F.col("_left"))).alias("_from"),
+        F.max(F.when(~F.col("opens"), F.col("_left"))).alias("_to"), F.max(F.when(~F.col("opens"), F.col("_first"))).alias("_first"))
+    each = each.withColumn("auc", F.expr("CASE WHEN a < b AND _first < b AND a < tlast THEN _from - _to END"))
+    return each.selectExpr(*[f"`{k}`" for k in keys], "a", "b", f"{_extended('auc', 'a', 'b')} AS auc")
+
+
 def mean_profile(records: DataFrame, group: Sequence[str], time: str, conc: str) -> DataFrame:
     """Mean and standard deviation of concentration per group and nominal time."""
     return records.groupBy(*group, time).agg(
