@@ -148,23 +148,27 @@ def _names(text: np.ndarray, order: np.ndarray, marks: np.ndarray) -> np.ndarray
 
 def _sort_names(names: np.ndarray) -> np.ndarray:
     """Positions of the reduced string in suffix order: names that still tie are renamed, again and again, by
-    themselves and the name as far on as is compared already.
+    themselves and the name as far on as is compared already. A rank is the place of its first holder, so only ties are sorted.
     """
-    rank, step = names, 1
-    while True:
-        high = int(rank.max()) + 1
-        if high == len(rank):
-            break
-        ahead = np.zeros(len(rank), np.int64)
-        ahead[: len(rank) - step] = rank[step:] + 1
-        pair = rank * (high + 1) + ahead
-        order = np.argsort(pair, kind="stable")
-        ranked = pair[order]
-        rank = np.empty(len(pair), np.int64)
-        rank[order] = np.cumsum(np.concatenate(([0], (ranked[1:] != ranked[:-1]).astype(np.int64))))
+    n = len(names)
+    rank = np.concatenate(([0], np.cumsum(np.bincount(names))))[names]
+    tied = np.flatnonzero(np.bincount(rank, minlength=n)[rank] > 1)
+    step = 1
+    while len(tied):
+        ahead = np.zeros(len(tied), np.int64)
+        inside = tied + step < n
+        ahead[inside] = rank[tied[inside] + step] + 1
+        pair = rank[tied] * (n + 1) + ahead
+        order = np.argsort(pair)
+        tied, pair, old = tied[order], pair[order], rank[tied[order]]
+        new = np.concatenate(([True], pair[1:] != pair[:-1]))
+        place, first = np.arange(len(tied)), np.concatenate(([True], old[1:] != old[:-1]))
+        rank[tied] = old + np.maximum.accumulate(np.where(new, place, 0)) - np.maximum.accumulate(np.where(first, place, 0))
+        alone = new & np.concatenate((new[1:], [True]))
+        tied = tied[~alone]
         step *= 2
-    order = np.empty(len(rank), np.int64)
-    order[rank] = np.arange(len(rank))
+    order = np.empty(n, np.int64)
+    order[rank] = np.arange(n)
     return order
 
 
@@ -187,11 +191,11 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     return np.concatenate([x for u, d in zip(up, down, strict=True) for x in (u, d[::-1])])
 
 
-def common_prefixes(text: np.ndarray, array: np.ndarray, most: int) -> np.ndarray:
+def common_prefixes(text: np.ndarray, array: np.ndarray) -> np.ndarray:
     """Permuted common prefixes: by text position, the symbols shared with the suffix before it in the array.
 
-    Only positions that differ from their neighbour one symbol to the left are compared; each further position has
-    one symbol less than the one before it. Counted up to ``most``, so a value can be short by what lies beyond.
+    Only positions that differ from their neighbour one symbol to the left are compared, four 16-bit symbols at a time; each
+    further position has one symbol less than the one before it.
     """
     before = np.full(len(text), -1, np.int64)
     before[array[1:]] = array[:-1]
@@ -199,15 +203,15 @@ def common_prefixes(text: np.ndarray, array: np.ndarray, most: int) -> np.ndarra
     fresh = (before <= 0) | (at == 0) | (text[at - 1] != text[before - 1])
     heads = np.flatnonzero(fresh)
     value = np.zeros(len(heads), np.int64)
+    padded = np.concatenate((text.astype("<u2"), np.zeros(4, "<u2")))
+    words = np.ndarray(len(text), "<u8", padded, 0, (2,))  # the symbols from each position on; no two suffixes agree beyond the last
     alive = np.flatnonzero(before[heads] >= 0)
-    a, b, step = heads[alive], before[heads[alive]], 0
-    limit = len(text)
-    while len(alive) and step < limit:
-        equal = (a + step < limit) & (b + step < limit)
-        equal[equal] = text[a[equal] + step] == text[b[equal] + step]
-        value[alive[equal]] += 1
-        alive, a, b = alive[equal], a[equal], b[equal]
-        step += 1
+    a, b = heads[alive], before[heads[alive]]
+    while len(alive):
+        differ = words[a] ^ words[b]
+        equal = differ == 0
+        value[alive] += np.where(equal, 4, sum((differ & np.uint64((1 << 16 * i) - 1)) == 0 for i in (1, 2, 3)))
+        alive, a, b = alive[equal], a[equal] + 4, b[equal] + 4
     run = np.cumsum(fresh) - 1
     return np.maximum(value[run] - (at - heads[run]), 0)
 
@@ -223,7 +227,7 @@ def repeated_starts(contents: list[bytes], length: int) -> list[np.ndarray]:
     text[edges] = 1
     text[-1] = 0
     array = suffix_array(text)
-    shared = common_prefixes(text, array, length)
+    shared = common_prefixes(text, array)
     after = np.zeros(len(text), np.int64)  # shared with the following suffix
     after[array[:-1]] = shared[array[1:]]
     twice = np.maximum(shared, after) >= length

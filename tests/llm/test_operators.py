@@ -218,7 +218,7 @@ def test_suffix_array():
         order = sorted(range(len(text)), key=lambda i: text[i:].tolist())
         array = suffix.suffix_array(text)
         assert array.tolist() == order
-        shared = suffix.common_prefixes(text, array, 99)
+        shared = suffix.common_prefixes(text, array)
         for a, b in zip(order, order[1:]):
             n = 0
             while text[a + n] == text[b + n]:
