@@ -19,7 +19,7 @@ ship_by_value(__name__)
 
 COORDS = 64  # posted coordinates
 FINE = 256  # coordinates of one byte, counted but not posted
-BLOCK, BLOCKS = 256, 64  # rows of a block; a group has at most so many blocks
+BLOCK, BLOCK_SHINGLES = 2_048, 2_000_000  # sets of a block and shingles in them, on average at most
 TASK_ROWS = 2_048  # rows of block pairs that are handed to Python at once
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -132,13 +132,12 @@ def prefixes(reps: DataFrame, least: int) -> DataFrame:
 
 
 def _compare(rows: pa.Table, least: int, percent: int) -> pa.Table:
-    """Pairs of block pairs, across components only, whose fine signatures agree in ``least`` coordinates and whose
-    sets of 31-bit shingle hashes are similar enough; these can only seem more similar than the full sets. A set
-    leaves with its most similar partner in each other component.
+    """Links of block pairs, across components only: fine signatures agree in ``least`` coordinates and the full sets are
+    similar enough. A set leaves with one link to each other component; further ones join nothing more.
     """
-    sets = rows.column("small").combine_chunks()
+    sets = rows.column("own").combine_chunks()
     sets = sets.chunk(0) if isinstance(sets, pa.ChunkedArray) else sets
-    values, edges = sets.values.to_numpy(), sets.offsets.to_numpy()
+    values, edges = sets.values.to_numpy().view(np.uint64), sets.offsets.to_numpy()
     hub, block, i, j, sid, n, c = (rows.column(x).to_numpy() for x in ("hub", "block", "i", "j", "sid", "n", "c"))
     own = np.frombuffer(b"".join(rows.column("fine").to_pylist()), np.uint8).reshape(-1, FINE)
     order = np.lexsort((j, i, hub))
@@ -151,15 +150,14 @@ def _compare(rows: pa.Table, least: int, percent: int) -> pa.Table:
             some = some[(own[some] == own[x]).sum(axis=1) >= least]
             if not len(some):
                 continue
-            mine = np.unique(values[edges[x] : edges[x + 1]])
+            mine = values[edges[x] : edges[x + 1]]  # sorted and distinct
             sizes = edges[some + 1] - edges[some]
             theirs = np.concatenate([values[edges[y] : edges[y + 1]] for y in some])
             at = np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)
             same = np.add.reduceat(mine[at] == theirs, np.cumsum(sizes) - sizes, dtype=np.int64)
             near = 100 * same >= percent * (n[x] + sizes - same)
-            some, alike = some[near], (same / (n[x] + sizes - same))[near]
-            some = some[np.lexsort((-alike, c[some]))]
-            some = some[np.unique(c[some], return_index=True)[1]]  # one link joins x with a whole component
+            some = some[near]
+            some = some[np.unique(c[some], return_index=True)[1]]
             a.extend(np.minimum(sid[some], sid[x]).tolist())
             b.extend(np.maximum(sid[some], sid[x]).tolist())
     return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
@@ -171,8 +169,8 @@ def links(docs: DataFrame, reps: DataFrame, key: str, text: str, width: int, per
     Connectivity needs no more than a spanning set of links. The members of a posting list are first compared
     with the list's hub, the set whose values are shared most, so the origin of many near copies. Lists with
     one hub then form a group, and its members that are still in different components are compared by
-    their fine signatures and then their sets, block by block inside tasks; only similar pairs leave a task. Every pair that shares
-    a posted value is in a group, and no list or group is cut.
+    their fine signatures and then their full sets, block by block inside tasks; only links leave a task. Every pair that shares
+    a posted value is in a group, and no list or group is cut. Blocks are of a bounded size, however large the group.
     """
     least, fine_least = match_threshold(percent, coords), match_threshold(percent, FINE)
     listed = cut_lineage(prefixes(reps, least))
@@ -189,7 +187,7 @@ def links(docs: DataFrame, reps: DataFrame, key: str, text: str, width: int, per
     matched = pairs.join(at(keys, "a"), "a").join(at(keys, "b"), "b").where(F.size(F.array_intersect("keys_a", "keys_b")) >= least)
     matched = cut_lineage(matched.select("a", "b"))
     # what may still have a partner: members of a group with more than its hub and one other
-    sizes = cut_lineage(members.groupBy("hub").agg(F.count("*").alias("size")).where("size > 2"))
+    sizes = cut_lineage(members.groupBy("hub").agg(F.count("*").alias("size"), F.sum("n").alias("shingles")).where("size > 2"))
     crowded = cut_lineage(members.join(sizes, "hub"))
     wanted = matched.select(F.col("a").alias("sid")).union(matched.select("b")).union(crowded.select("sid")).distinct()
     wanted = cut_lineage(reps.join(wanted, "sid", "left_semi").select("rep").distinct())
@@ -205,19 +203,19 @@ def links(docs: DataFrame, reps: DataFrame, key: str, text: str, width: int, per
     ids = members.select(F.col("sid").alias("id")).distinct()
     first = components(confirmed(matched))
     labels = cut_lineage(ids.join(first, "id", "left").select("id", F.coalesce("component", "id").alias("c")))
-    named = crowded.join(labels, crowded["sid"] == labels["id"]).select("hub", "sid", "n", "c", "size")
+    named = crowded.join(labels, crowded["sid"] == labels["id"]).select("hub", "sid", "n", "c", "size", "shingles")
     apart = named.groupBy("hub").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("hub")
     apart = cut_lineage(apart)
     # every block meets every block: rows of block x go to the pairs (min(x, y), max(x, y))
-    blocks = F.least(F.ceil(F.col("size") / BLOCK), F.lit(BLOCKS)).cast("int")
-    dealt = named.join(apart, "hub", "left_semi").withColumns({"blocks": blocks, "block": F.pmod(F.xxhash64("sid"), blocks).cast("int")})
-    small = F.transform("own", lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("small")
-    dealt = dealt.join(full.select("sid", "fine", small), "sid").withColumn("y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("hub", "sid", "n", "c", "fine", "small", "block", F.least("block", "y").alias("i"), F.greatest("block", "y").alias("j"))
-    n_rows = crowded.agg(F.sum(F.least(F.ceil(F.col("size") / BLOCK), F.lit(BLOCKS)))).first()[0] or 0
+    blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+    block = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
+    dealt = cut_lineage(named.join(apart, "hub", "left_semi").withColumn("blocks", blocks).withColumn("block", block).drop("size", "shingles"))
+    n_rows = dealt.agg(F.sum("blocks")).first()[0] or 0
+    dealt = dealt.join(full, "sid").withColumn("y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("hub", "sid", "n", "c", "fine", "own", "block", F.least("block", "y").alias("i"), F.greatest("block", "y").alias("j"))
     bucket = F.pmod(F.xxhash64("hub", "i", "j"), F.lit(n_rows // TASK_ROWS + 1)).alias("bucket")
-    again = dealt.groupBy(bucket).applyInArrow(lambda rows: _compare(rows, fine_least, percent), "a long, b long").distinct()
-    more = confirmed(cut_lineage(again.where("a <> b").join(matched, ["a", "b"], "left_anti")))
+    more = dealt.groupBy(bucket).applyInArrow(lambda rows: _compare(rows, fine_least, percent), "a long, b long").distinct()
+    more = cut_lineage(more)
     of = lambda c, t: labels.select(F.col("id").alias(c), F.col("c").alias(t))
     ends = more.join(of("a", "x"), "a").join(of("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
     whole = components(ends).select(F.col("id").alias("c"), F.col("component").alias("whole"))
