@@ -18,7 +18,6 @@ from .common import components, ship_by_value, sized_broadcast
 ship_by_value(__name__)
 
 COORDS = 64  # posted coordinates
-FINE = 256  # coordinates of one byte, counted but not posted
 BLOCK, BLOCK_SHINGLES = 2_048, 2_000_000  # sets of a block and shingles in them, on average at most
 TASK_ROWS = 2_048  # rows of block pairs that are handed to Python at once
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -61,11 +60,6 @@ def signature(own: np.ndarray, coords: int) -> np.ndarray:
     return (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
-def fine(own: np.ndarray) -> bytes:
-    """The last byte of the smallest value under each of ``FINE`` further hash functions."""
-    return (signature(_mix(own + _M1), FINE) & 0xFF).astype(np.uint8).tobytes()
-
-
 def _identity(own: np.ndarray) -> int:
     """64 bits of the whole set."""
     both = np.array([len(own), (own * _M1).sum(dtype=np.uint64), np.bitwise_xor.reduce(_mix(own))], np.uint64)
@@ -93,8 +87,8 @@ def sketches(docs: DataFrame, key: str, text: str, width: int, coords: int) -> D
     return rows.mapInArrow(work, f"id {kind}, hash long, n long, sid long, sig array<int>")
 
 
-def sets(docs: DataFrame, text: str, width: int) -> DataFrame:
-    """``(sid, own, fine)``: the full shingle set of each document and its fine signature."""
+def sets(docs: DataFrame, text: str, width: int, coords: int) -> DataFrame:
+    """``(sid, own, sig)``: the full shingle set of each document and its signature."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -102,12 +96,12 @@ def sets(docs: DataFrame, text: str, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([_identity(x) for x in found], pa.int64()), pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64())),
-                    pa.array([fine(x) for x in found], pa.binary()),
+                    pa.array([signature(x, coords) for x in found], pa.list_(pa.int32())),
                 ],
-                ["sid", "own", "fine"],
+                ["sid", "own", "sig"],
             )
 
-    return docs.select(text).mapInArrow(work, "sid long, own array<long>, fine binary")
+    return docs.select(text).mapInArrow(work, "sid long, own array<long>, sig array<int>")
 
 
 def match_threshold(percent: int, coords: int) -> int:
@@ -131,23 +125,58 @@ def prefixes(reps: DataFrame, least: int) -> DataFrame:
     return listed.join(reps.select("sid", "n"), "sid")
 
 
+def _lists(rows: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
+    """All values of a list column and where each row's begin."""
+    held = rows.column(name).combine_chunks()
+    held = held.chunk(0) if isinstance(held, pa.ChunkedArray) else held
+    return held.values.to_numpy(), held.offsets.to_numpy()
+
+
+def _block_pairs(rows: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows of the first and of the second block of each pair of blocks."""
+    hub, block, i, j = (rows.column(x).to_numpy() for x in ("hub", "block", "i", "j"))
+    order = np.lexsort((j, i, hub))
+    new = [(x[order][1:] != x[order][:-1]) for x in (hub, i, j)]
+    for part in np.split(order, np.flatnonzero(new[0] | new[1] | new[2]) + 1):
+        yield part[block[part] == i[part]], part[block[part] == j[part]]
+
+
+def _alike(rows: pa.Table, least: int, percent: int):
+    """By row: which of some others agree in ``least`` coordinates and are not too different in size."""
+    sig = _lists(rows, "sig")[0].reshape(rows.num_rows, -1)
+    n = rows.column("n").to_numpy()
+
+    def near(x: int, others: np.ndarray) -> np.ndarray:
+        some = others[(others != x) & (100 * np.minimum(n[others], n[x]) >= percent * np.maximum(n[others], n[x]))]
+        return some[(sig[some] == sig[x]).sum(axis=1) >= least]
+
+    return near
+
+
+def _partnered(rows: pa.Table, least: int, percent: int) -> pa.Table:
+    """``(hub, sid)`` of the sets in block pairs whose signature agrees with that of any other set there."""
+    near, found = _alike(rows, least, percent), np.zeros(rows.num_rows, bool)
+    for left, right in _block_pairs(rows):
+        for those, others in ((left, right), (right, left)):
+            for x in those:
+                if not found[x]:
+                    some = near(x, others)
+                    found[some] = True
+                    found[x] = len(some) > 0
+    return rows.select(["hub", "sid"]).filter(pa.array(found))
+
+
 def _compare(rows: pa.Table, least: int, percent: int) -> pa.Table:
-    """Links of block pairs, across components only: fine signatures agree in ``least`` coordinates and the full sets are
+    """Links of block pairs, across components only: signatures agree in ``least`` coordinates and the full sets are
     similar enough. A set leaves with one link to each other component; further ones join nothing more.
     """
-    sets = rows.column("own").combine_chunks()
-    sets = sets.chunk(0) if isinstance(sets, pa.ChunkedArray) else sets
-    values, edges = sets.values.to_numpy().view(np.uint64), sets.offsets.to_numpy()
-    hub, block, i, j, sid, n, c = (rows.column(x).to_numpy() for x in ("hub", "block", "i", "j", "sid", "n", "c"))
-    own = np.frombuffer(b"".join(rows.column("fine").to_pylist()), np.uint8).reshape(-1, FINE)
-    order = np.lexsort((j, i, hub))
-    new = [(x[order][1:] != x[order][:-1]) for x in (hub, i, j)]
+    values, edges = _lists(rows, "own")
+    values, near = values.view(np.uint64), _alike(rows, least, percent)
+    sid, n, c = (rows.column(x).to_numpy() for x in ("sid", "n", "c"))
     a, b = [], []
-    for part in np.split(order, np.flatnonzero(new[0] | new[1] | new[2]) + 1):
-        left, right = part[block[part] == i[part]], part[block[part] == j[part]]
+    for left, right in _block_pairs(rows):
         for x in left:
-            some = right[(c[right] != c[x]) & (100 * np.minimum(n[right], n[x]) >= percent * np.maximum(n[right], n[x]))]
-            some = some[(own[some] == own[x]).sum(axis=1) >= least]
+            some = near(x, right[c[right] != c[x]])
             if not len(some):
                 continue
             mine = values[edges[x] : edges[x + 1]]  # sorted and distinct
@@ -155,24 +184,41 @@ def _compare(rows: pa.Table, least: int, percent: int) -> pa.Table:
             theirs = np.concatenate([values[edges[y] : edges[y + 1]] for y in some])
             at = np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)
             same = np.add.reduceat(mine[at] == theirs, np.cumsum(sizes) - sizes, dtype=np.int64)
-            near = 100 * same >= percent * (n[x] + sizes - same)
-            some = some[near]
+            some = some[100 * same >= percent * (n[x] + sizes - same)]
             some = some[np.unique(c[some], return_index=True)[1]]
             a.extend(np.minimum(sid[some], sid[x]).tolist())
             b.extend(np.maximum(sid[some], sid[x]).tolist())
     return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
+def _in_blocks(members: DataFrame, work, least: int, percent: int, schema: str, extra: DataFrame) -> DataFrame:
+    """``work`` on every pair of blocks of each ``hub``'s ``members(hub, sid, n, ...)``, joined with ``extra`` by sid.
+
+    Every block meets every block: rows of block x go to the pairs (min(x, y), max(x, y)). A block holds ``BLOCK`` sets or
+    ``BLOCK_SHINGLES`` shingles on average, whichever is less, however large the group is.
+    """
+    sizes = members.groupBy("hub").agg(F.count("*").alias("size"), F.sum("n").alias("shingles"))
+    blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+    sized = cut_lineage(members.join(sizes.select("hub", blocks.alias("blocks")), "hub"))
+    n_rows = sized.agg(F.sum("blocks")).first()[0] or 0
+    dealt = sized.withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")).join(extra, "sid")
+    dealt = dealt.withColumn("y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.withColumns({"i": F.least("block", "y"), "j": F.greatest("block", "y")}).drop("blocks", "y")
+    bucket = F.pmod(F.xxhash64("hub", "i", "j"), F.lit(n_rows // TASK_ROWS + 1)).alias("bucket")
+    return dealt.groupBy(bucket).applyInArrow(lambda rows: work(rows, least, percent), schema).distinct()
+
+
 def links(docs: DataFrame, reps: DataFrame, key: str, text: str, width: int, percent: int, coords: int) -> DataFrame:
     """``(id, component)`` of every set that has a candidate; links are confirmed on full sets.
 
     Connectivity needs no more than a spanning set of links. The members of a posting list are first compared
     with the list's hub, the set whose values are shared most, so the origin of many near copies. Lists with
-    one hub then form a group, and its members that are still in different components are compared by
-    their fine signatures and then their full sets, block by block inside tasks; only links leave a task. Every pair that shares
-    a posted value is in a group, and no list or group is cut. Blocks are of a bounded size, however large the group.
+    one hub then form a group. Its members first meet by their signatures, block by block inside tasks: who agrees
+    with nobody in enough coordinates leaves, and most who share a value by chance do. The others are compared by their full sets
+    as far as they are still in different components; only links leave a task. Every pair that shares a posted value is in a
+    group, and no list or group is cut. Blocks are of a bounded size, however large the group.
     """
-    least, fine_least = match_threshold(percent, coords), match_threshold(percent, FINE)
+    least = match_threshold(percent, coords)
     listed = cut_lineage(prefixes(reps, least))
     posts = listed.select("sid", "n", "weight", F.explode("prefix").alias("k"))
     drawn = F.struct("weight", "sid", "n")
@@ -187,12 +233,13 @@ def links(docs: DataFrame, reps: DataFrame, key: str, text: str, width: int, per
     matched = pairs.join(at(keys, "a"), "a").join(at(keys, "b"), "b").where(F.size(F.array_intersect("keys_a", "keys_b")) >= least)
     matched = cut_lineage(matched.select("a", "b"))
     # what may still have a partner: members of a group with more than its hub and one other
-    sizes = cut_lineage(members.groupBy("hub").agg(F.count("*").alias("size"), F.sum("n").alias("shingles")).where("size > 2"))
-    crowded = cut_lineage(members.join(sizes, "hub"))
+    sizes = members.groupBy("hub").agg(F.count("*").alias("size")).where("size > 2").select("hub")
+    met = cut_lineage(members.join(sizes, "hub").select("hub", "sid", "n"))
+    crowded = cut_lineage(_in_blocks(met, _partnered, least, percent, "hub long, sid long", reps.select("sid", "sig")))
     wanted = matched.select(F.col("a").alias("sid")).union(matched.select("b")).union(crowded.select("sid")).distinct()
     wanted = cut_lineage(reps.join(wanted, "sid", "left_semi").select("rep").distinct())
     found = docs.join(sized_broadcast(wanted), F.col(key).eqNullSafe(F.col("rep")), "left_semi")
-    full = cut_lineage(sets(found, text, width).groupBy("sid").agg(F.first("own").alias("own"), F.first("fine").alias("fine")))
+    full = cut_lineage(sets(found, text, width, coords).groupBy("sid").agg(F.first("own").alias("own"), F.first("sig").alias("sig")))
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         own = full.select("sid", "own")
@@ -203,19 +250,10 @@ def links(docs: DataFrame, reps: DataFrame, key: str, text: str, width: int, per
     ids = members.select(F.col("sid").alias("id")).distinct()
     first = components(confirmed(matched))
     labels = cut_lineage(ids.join(first, "id", "left").select("id", F.coalesce("component", "id").alias("c")))
-    named = crowded.join(labels, crowded["sid"] == labels["id"]).select("hub", "sid", "n", "c", "size", "shingles")
+    named = crowded.join(labels, crowded["sid"] == labels["id"]).select("hub", "sid", "c")
     apart = named.groupBy("hub").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("hub")
-    apart = cut_lineage(apart)
-    # every block meets every block: rows of block x go to the pairs (min(x, y), max(x, y))
-    blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
-    block = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
-    dealt = cut_lineage(named.join(apart, "hub", "left_semi").withColumn("blocks", blocks).withColumn("block", block).drop("size", "shingles"))
-    n_rows = dealt.agg(F.sum("blocks")).first()[0] or 0
-    dealt = dealt.join(full, "sid").withColumn("y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("hub", "sid", "n", "c", "fine", "own", "block", F.least("block", "y").alias("i"), F.greatest("block", "y").alias("j"))
-    bucket = F.pmod(F.xxhash64("hub", "i", "j"), F.lit(n_rows // TASK_ROWS + 1)).alias("bucket")
-    more = dealt.groupBy(bucket).applyInArrow(lambda rows: _compare(rows, fine_least, percent), "a long, b long").distinct()
-    more = cut_lineage(more)
+    left = cut_lineage(named.join(apart, "hub").join(reps.select("sid", "n"), "sid"))
+    more = cut_lineage(_in_blocks(left, _compare, least, percent, "a long, b long", full))
     of = lambda c, t: labels.select(F.col("id").alias(c), F.col("c").alias(t))
     ends = more.join(of("a", "x"), "a").join(of("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
     whole = components(ends).select(F.col("id").alias("c"), F.col("component").alias("whole"))
