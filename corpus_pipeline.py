@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,27 @@ from kinetable.session import cut_lineage
 SHARDS = 40
 
 
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def apart(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """The stage with columns beyond those of documents under names that no operator uses; they return as they came.
+
+    One whose name the stage adds gives way.
+    """
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        hidden = {c: f"_extra{i}_{c}" for i, c in enumerate(docs.columns) if c not in COLUMNS}
+        out = stage(spark, docs.withColumnsRenamed(hidden), sf_dir)
+        back = {h: c for c, h in hidden.items()}
+        added = {c.lower() for c in out.columns if c not in COLUMNS and c not in back}
+        return out.drop(*[h for h, c in back.items() if c.lower() in added]).withColumnsRenamed(back)
+
+    return run
+
+
+@apart
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told; null and letterless texts and near ties go."""
     known = docs.where(~langid.held_out() & F.col("doc_id").isNotNull())
@@ -21,21 +43,25 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.where(~F.col("rejected")).select(*docs.columns)
 
 
+@apart
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that shares four fifths of its five-word shingles."""
     return minhash.representatives(docs, width=5, percent=80)
 
 
+@apart
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with less than a twentieth of their words in benchmark passages."""
     return decontam.strip(docs, table(spark, sf_dir, "benchmark"))
 
 
+@apart
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them, up to three times."""
     return mixing.repeat(docs, sources=F.array("source"), key=[F.col("doc_id"), F.xxhash64("text")], size=mixing.word_count())
 
 
+@apart
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their shard and slot."""
     return sharding.assign(docs, sharding.topology(SHARDS))
