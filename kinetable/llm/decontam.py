@@ -6,13 +6,16 @@ import re
 from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import ahocorasick
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship_by_value
+from kinetable.session import cut_lineage
+
+from .common import ship_by_value, sized_broadcast
 
 ship_by_value(__name__)
 
@@ -93,7 +96,8 @@ def find(
     the original text) and items (sorted as strings).
 
     The benchmark's size is measured first; up to ``block_bytes`` of passages go into one automaton, and a
-    larger benchmark is cut into blocks of about that size with one automaton each. A passage is never
+    larger benchmark is cut into blocks of about that size with one automaton each, one after the other: every block is
+    a job that stores its hits, so driver and tasks hold one block at a time. A passage is never
     cut, so an item's windows are all in one block. Null and wordless texts have no words; a null
     item is named ``null``; an empty benchmark hits nothing.
     """
@@ -101,20 +105,23 @@ def find(
     size = known.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n_blocks = -(-size // block_bytes) or 1
     seen = docs.drop("found")
-    parts: list[Column] = []
-    for block in range(n_blocks):
-        chosen = known.where(F.pmod(F.xxhash64("i", "t"), F.lit(n_blocks)) == block)
-        rows = [(r.i, r.t) for r in chosen.collect()]  # bounded by block_bytes
-        seen = seen.withColumn(f"_found{block}", _scanner(rows, width)(F.col(text)))
-        parts.append(F.col(f"_found{block}"))
+
+    def block(i: int) -> list[tuple[str, str]]:
+        return [(r.i, r.t) for r in known.where(F.pmod(F.xxhash64("i", "t"), F.lit(n_blocks)) == i).collect()]  # bounded by block_bytes
+
     if n_blocks == 1:
-        return seen.withColumnRenamed("_found0", "found")
-    merged = F.struct(
-        parts[0]["n_words"].alias("n_words"),
-        *(union(F.flatten(F.array(*(p[c] for p in parts)))).alias(c) for c in ("runs", "spans")),
-        F.array_sort(F.array_distinct(F.flatten(F.array(*(p["items"] for p in parts))))).alias("items"),
-    )
-    return seen.withColumn("found", merged).drop(*(f"_found{b}" for b in range(n_blocks)))
+        return seen.withColumn("found", _scanner(block(0), width)(F.col(text)))
+    seen = cut_lineage(seen.withColumn("_row", F.monotonically_increasing_id()))
+    hit = []
+    for i in range(n_blocks):
+        part = seen.select("_row", _scanner(block(i), width)(F.col(text)).alias("_f"))
+        hit.append(cut_lineage(part.where(F.size("_f.runs") > 0)))
+    every = reduce(DataFrame.unionByName, hit).groupBy("_row").agg(F.collect_list("_f").alias("_f"))  # one for each block at most
+    merged = every.select("_row", *(union(F.flatten(F.col(f"_f.{c}"))).alias(f"_{c}") for c in ("runs", "spans")),
+                          F.array_sort(F.array_distinct(F.flatten("_f.items"))).alias("_items"))
+    joined = seen.withColumn("_none", _scanner([], width)(F.col(text))).join(sized_broadcast(cut_lineage(merged), 200_000), "_row", "left")
+    found = F.struct(F.col("_none.n_words").alias("n_words"), *(F.coalesce(f"_{c}", f"_none.{c}").alias(c) for c in ("runs", "spans", "items")))
+    return joined.withColumn("found", found).drop("_row", "_none", "_runs", "_spans", "_items")
 
 
 def union(ranges: Column) -> Column:
@@ -145,4 +152,6 @@ def is_contaminated(found: Column, share_of: int = 20) -> Column:
 
 def strip(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` without contaminated documents; all others, null texts too, stay as they are."""
-    return find(docs, benchmark, **options).where(~is_contaminated(F.col("found"))).drop("found")
+    named = docs.withColumnRenamed("found", "_found") if "found" in docs.columns else docs
+    kept = find(named, benchmark, **options).where(~is_contaminated(F.col("found"))).drop("found")
+    return kept.withColumnRenamed("_found", "found") if "found" in docs.columns else kept

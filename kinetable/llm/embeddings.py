@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from math import ceil, sqrt
 
 import numpy as np
@@ -195,9 +196,9 @@ def link(
     nearest lists. A pair is found if either side searches the other's list. The distance to the
     codes is taken from per-query tables; a vector can only be left out by it if its stored code error
     proves the distance too large, so all loss is from unsearched lists. What remains is
-    decided by cosine in double precision. Vectors that are null, zero, of another length than the most common one,
-    or hold null or non-finite components are linked with nothing. Rows with a null key take the smallest
-    key of their component, null if there is none.
+    decided by cosine in double precision. Vectors of each length, of which there are few, have an index of their own. Vectors
+    that are null, zero or hold null or non-finite components are linked with nothing. Rows with a null key take the
+    smallest key of their component, null if there is none.
     """
     spark = table.sparkSession
     element = table.schema[vector].dataType.elementType.simpleString()
@@ -205,16 +206,18 @@ def link(
     sound = ~F.exists("vec", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists("vec", lambda x: x != 0)
     rows = table.select(F.col(key).alias("id"), F.col(vector).cast("array<double>" if element not in ("float", "double") else f"array<{element}>").alias("vec"))
     rows = rows.withColumn("ok", F.coalesce(sound, F.lit(False)))
-    common = rows.where("ok").groupBy(F.size("vec").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    if common is None:
+    if rows.where("ok").isEmpty():
         return rows.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
-    rows = rows.withColumn("sid", F.when(F.col("ok") & (F.size("vec") == common.d), F.xxhash64("vec")))
+    rows = rows.withColumn("sid", F.when(F.col("ok"), F.xxhash64("vec")))
     unique = cut_lineage(rows.where("sid is not null").groupBy("sid").agg(F.first("vec").alias("vec"), F.count("*").alias("w"), F.min("id").alias("rep")))
-    n = unique.count()
-    sample = unique.orderBy(F.xxhash64("sid")).limit(SAMPLE_ROWS).select("vec").collect()
-    index = fit(_units(np.array([r.vec for r in sample], np.float64)), lists or min(MAX_LISTS, ceil(2 * sqrt(n))))
-    placed = cut_lineage(place(unique.select("sid", "w", "vec"), index, probes, kind))
-    found = cut_lineage(search(placed, index, kind, least))
+    searched = []
+    for d, n in unique.groupBy(F.size("vec").alias("d")).count().orderBy("d").collect():
+        own = unique.where(F.size("vec") == d)
+        sample = own.orderBy(F.xxhash64("sid")).limit(SAMPLE_ROWS).select("vec").collect()
+        index = fit(_units(np.array([r.vec for r in sample], np.float64)), lists or min(MAX_LISTS, ceil(2 * sqrt(n))))
+        placed = cut_lineage(place(own.select("sid", "w", "vec"), index, probes, kind))
+        searched.append(cut_lineage(search(placed, index, kind, least)))
+    found = reduce(DataFrame.unionByName, searched)
     labels = components(found.where("a is not null").select("a", "b").distinct())
     counts = found.where("sid is not null").groupBy("sid").agg(F.sum("n").alias("n"))
     named = unique.select("sid", "w", "rep").join(labels, F.col("sid") == F.col("id"), "left").withColumn("c", F.coalesce("component", "sid"))

@@ -258,10 +258,10 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int =
     unique = cut_lineage(lines.groupBy("id").agg(F.first("hashes").alias("hashes"), F.first("sizes").alias("sizes")))
     found = shared_blocks(unique, least)
     gone = found.groupBy("id").agg(
-        F.array_sort(F.collect_set(F.struct("first", "end"))).alias("ranges"), F.array_sort(F.collect_set("a.key")).alias("partners")
+        F.array_sort(F.collect_set(F.struct("first", "end"))).alias("_ranges"), F.array_sort(F.collect_set("a.key")).alias("partners")
     )
     gone = cut_lineage(gone)
-    few = gone.limit(broadcast_rows + 1).count() <= broadcast_rows and (gone.agg(F.sum(F.size("ranges") + F.size("partners"))).first()[0] or 0) <= 10 * broadcast_rows
+    few = gone.limit(broadcast_rows + 1).count() <= broadcast_rows and (gone.agg(F.sum(F.size("_ranges") + F.size("partners"))).first()[0] or 0) <= 10 * broadcast_rows
     joined = seen.join(F.broadcast(gone) if few else gone, F.col("_id") == F.col("id"), "left") if "id" not in seen.columns else seen.join(
         (F.broadcast(gone) if few else gone).withColumnRenamed("id", "_id"), "_id", "left")
 
@@ -279,11 +279,11 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int =
                 rows.append((None if t is None else "\n".join(x for x, o in zip(whole, out, strict=False) if not o), len(whole), runs))
             yield pd.DataFrame(rows, columns=["text", "n_lines", "removed"])
 
-    made = joined.withColumn("_cut", cut(F.col(text), F.col("ranges")))
+    made = joined.withColumn("_cut", cut(F.col(text), F.col("_ranges")))
     return made.withColumns({
         text: F.col("_cut.text"), "n_lines": F.col("_cut.n_lines"), "removed": F.col("_cut.removed"),
         "partners": F.coalesce("partners", F.array().cast(f"array<{docs.schema[key].dataType.simpleString()}>")),
-    }).drop("_cut", "_id", "ranges", *(["id"] if "id" not in seen.columns else []))
+    }).drop("_cut", "_id", "_ranges", *(["id"] if "id" not in seen.columns else []))
 
 
 def removed_lines(removed: Column) -> Column:

@@ -197,6 +197,9 @@ def shares(plan: Column, rank: Column) -> Column:
     return F.transform(plan, lambda e, i: F.struct(e["source"].alias("source"), (F.get(count, i) - F.get(before, i)).alias("copies")))
 
 
+ADDED = ("_size", "copies", "shares", "quotas")
+
+
 def mix(
     docs: DataFrame, sources: Column, key: Sequence[Column], size: Column, cycle: Sequence[float] = (1.0, 2.0, 3.0),
     repeats: int = 3, seed: int = 7, broadcast_bytes: int = 8 << 20,
@@ -226,15 +229,16 @@ def mix(
     plan = cuts(sized.select("pattern", "rank", "size"), routed)
     of = patterns.select("pattern", F.explode("sources").alias("source")).join(quota, "source").groupBy("pattern")
     listed = of.agg(F.array_sort(F.collect_list(F.struct("source", "size", "target"))).alias("quotas"))
-    plan = cut_lineage(listed.join(plan, "pattern", "left").withColumnRenamed("pattern", "_pattern"))
+    plan = cut_lineage(listed.join(plan, "pattern", "left").withColumnsRenamed({"pattern": "_pattern", "plan": "_plan"}))
     cells = plan.agg(F.sum(64 + 48 * F.size("quotas") + F.octet_length(F.to_json("quotas")))).first()[0] or 0
     joined = marked.join(F.broadcast(plan) if cells <= broadcast_bytes else plan, "_pattern", "left")
     return joined.withColumns({
-        "copies": copies(F.col("plan"), F.col("_rank")), "shares": shares(F.col("plan"), F.col("_rank")),
-    }).drop("_names", "_pattern", "_rank", "plan")
+        "copies": copies(F.col("_plan"), F.col("_rank")), "shares": shares(F.col("_plan"), F.col("_rank")),
+    }).drop("_names", "_pattern", "_rank", "_plan")
 
 
 def repeat(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as it is taken."""
-    own = docs.columns
-    return mix(docs, **options).withColumn("_turn", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select(*own)
+    mixed = mix(docs.select("*", F.struct(F.lit(0).alias("_"), *(c for c in docs.columns if c in ADDED)).alias("_own")), **options)
+    turns = mixed.withColumn("_turn", F.explode(F.array_repeat(F.lit(0), F.col("copies"))))
+    return turns.select(*(F.col(f"_own.{c}").alias(c) if c in ADDED else c for c in docs.columns))

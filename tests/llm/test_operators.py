@@ -15,12 +15,13 @@ from kinetable.llm import decontam, embeddings, langid, linedup, minhash, mixing
 from kinetable.llm import common
 from kinetable.llm.queries import QUERIES, VOCABULARY
 
-DOCS = "doc_id long, text string, lang string, source string, n_chars long, id long, hash long, n int, spans string, copies int"
+DOCS = ("doc_id long, text string, lang string, source string, n_chars long, id long, hash long, n int, spans string, copies int, "
+        "plan int, ranges int, quotas int, partner int")
 
 
 def frame(spark, texts, sources=None):
     """Documents with extra columns whose names the operators use inside."""
-    rows = [(i, t, "en", (sources or ["a"] * len(texts))[k], 0, 7, 7, 7, "x", 7) for k, (i, t) in enumerate(texts)]
+    rows = [(i, t, "en", (sources or ["a"] * len(texts))[k], 0, 7, 7, 7, "x", 7, 7, 7, 7, 7) for k, (i, t) in enumerate(texts)]
     return spark.createDataFrame(rows, DOCS)
 
 
@@ -161,7 +162,9 @@ def test_vectors(spark, monkeypatch):
     hot = np.repeat(base[:1], 40, axis=0)
     rows = [(i, v.astype(np.float32).tolist(), 1) for i, v in enumerate(np.vstack([base, near, hot]))]
     odd = [(900, None), (901, [0.0] * 16), (902, [float("nan")] * 16), (903, [float("inf")] + [1.0] * 15), (904, [None] * 16), (905, [1.0]), (906, [])]
-    vectors = spark.createDataFrame(rows + [(i, v, 2) for i, v in odd], "vec_id long, embedding array<float>, sid int").repartition(4)
+    odd += [(907, [0.0, 1.0])]
+    short = [(910, [1.0, 2.0, 2.0], 2), (911, [2.0, 4.0, 4.0], 2), (912, [2.0, 4.0, 4.0], 2), (913, [2.0, -4.0, 1.0], 2)]  # another length links within itself
+    vectors = spark.createDataFrame(rows + [(i, v, 2) for i, v in odd] + short, "vec_id long, embedding array<float>, sid int").repartition(4)
     got = {r.id: r for r in embeddings.link(vectors, probes=6).collect()}
     whole = np.array([v for _, v, _ in rows], np.float64)
     unit = whole / np.linalg.norm(whole, axis=1, keepdims=True)
@@ -177,6 +180,7 @@ def test_vectors(spark, monkeypatch):
     assert np.mean([got[i].component_id == label[i] for i in range(len(rows))]) > 0.97
     assert all(r.kept == (r.id == r.component_id) for r in got.values())
     assert all((got[i].n_links, got[i].component_id, got[i].kept) == (0, i, True) for i, _ in odd)
+    assert [(got[i].n_links, got[i].component_id) for i in range(910, 914)] == [(2, 910)] * 3 + [(0, 913)]
     assert embeddings.link(vectors.where("vec_id > 899 and vec_id < 905")).count() == 5
     assert embeddings.link(vectors.limit(0)).count() == 0
 
@@ -277,6 +281,7 @@ def test_mixing(spark):
     again = mixing.mix(docs.repartition(5), F.array("source"), [F.col("doc_id"), F.col("text")], F.col("size"), broadcast_bytes=0)
     assert sorted(map(str, again.select("doc_id", "source", "copies").collect())) == sorted(map(str, mixed.select("doc_id", "source", "copies").collect()))
     whole = mixing.repeat(docs, sources=F.array("source"), key=[F.col("doc_id"), F.col("text")], size=F.col("size"))
+    assert whole.columns == docs.columns and whole.where("copies <> 7 OR plan <> 7 OR quotas <> 7").count() == 0
     assert whole.columns == docs.columns and whole.count() == sum(r.copies for r in got)
     assert mixing.mix(docs.limit(0), F.array("source"), [F.col("doc_id")], F.col("size")).count() == 0
 

@@ -42,6 +42,13 @@ def test_stages(spark):
         if name != "shards":
             assert docs.columns == columns
     assert docs.columns == [*columns, "shard", "slot"] and docs.where("shard < 0 or shard > 39").count() == 0
+    extra = ["score", "Copies", "plan", "found", "ranges", "_found", "hash", "id", "shard", "lang_pred", "kept"]
+    wide = spark.read.parquet(f"{SMALL}/documents.parquet").select("*", *[F.concat(F.lit(c), F.col("doc_id")).alias(c) for c in extra])
+    for name, stage in corpus_pipeline.STAGES:
+        wide = corpus_pipeline.cut_lineage(stage(spark, wide, SMALL))
+        own = [c for c in extra if c != "shard" or name != "shards"]
+        assert set(wide.columns) == {*columns, *own, *(["shard", "slot"] if name == "shards" else [])}
+        assert wide.count() > 0 and all(wide.where(F.col(c) != F.concat(F.lit(c), F.col("doc_id"))).count() == 0 for c in own)
     empty = docs.limit(0).select(columns)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SMALL).count() == 0
