@@ -10,7 +10,7 @@ import __spark_entry__ as entry
 from kinetable.catalog import ORACLES, QUERIES
 
 SKEWED = ["occasion", "nca_report", "nca_summary", "be_nonpar", "be_stats_period", "box_stats", "group_multi_agg",
-          "row_index", "categorical_codes", "score_1cmt_oral", "predict_grid", "sir", "vpc_bands", "summary_stats"]
+          "row_index", "categorical_codes", "be_endpoints", "score_regimen", "nca_intervals", "nca_multi_dose", "score_1cmt_oral", "predict_grid", "sir", "vpc_bands", "summary_stats"]
 
 
 def test_every_query_has_a_twin():
