@@ -574,6 +574,30 @@ def _(spark, d):
     return rounded(resample.sir(cands, "replicate", "loglik", 20, None))
 
 
+# the density of two means by the closed inverse of their covariance, independent of the factor on the other side
+@query("sir_ratio", f"""WITH {BOOT}, st AS (SELECT count(cmax) AS n, avg(cmax) AS m, var_samp(cmax) AS v, count(auclast) AS an, avg(auclast) AS am, var_samp(auclast) AS av FROM subj),
+pr AS (SELECT avg(cmax) AS mx, avg(auclast) AS my, covar_samp(cmax, cmax) AS vx, covar_samp(auclast, auclast) AS vy, covar_samp(cmax, auclast) AS vxy FROM boot),
+ll AS (SELECT replicate, -0.5 * (n * ln(2 * pi() * v) + ((n - 1) * v + n * pow(m - cmax, 2)) / v)
+    - 0.5 * (an * ln(2 * pi() * av) + ((an - 1) * av + an * pow(am - auclast, 2)) / av) AS loglik,
+  -ln(2 * pi()) - 0.5 * ln(vx * vy - vxy * vxy) - 0.5 * (vy * pow(cmax - mx, 2) - 2 * vxy * (cmax - mx) * (auclast - my) + vx * pow(auclast - my, 2)) / (vx * vy - vxy * vxy) AS logq
+  FROM boot, st, pr),
+w AS (SELECT *, exp(loglik - logq - max(loglik - logq) OVER ()) AS w FROM ll),
+c AS (SELECT *, sum(w) OVER (ORDER BY replicate ROWS UNBOUNDED PRECEDING) / sum(w) OVER () AS hi, w / sum(w) OVER () AS weight FROM w),
+x AS (SELECT replicate, loglik, weight, count(*) AS drawn FROM c JOIN range(0, 20) p(i) ON (i + 0.5) / 20 <= hi AND (i + 0.5) / 20 > hi - weight GROUP BY ALL)
+SELECT replicate, sig(loglik) AS loglik, sig(weight) AS weight, drawn FROM x""")
+def _(spark, d):
+    """Replicate means of two parameters, weighed by their likelihood over the normal density fitted to them."""
+    base = subjects(spark, d)
+    names = ["cmax", "auclast"]
+    st = base.agg(F.struct(*[f(c).alias(f"{k}_{c}") for c in names for k, f in (("n", F.count), ("m", F.avg), ("v", F.var_samp))]).alias("s")).scalar()
+    cands = cut_lineage(replicated(spark, d, base))
+    own = lambda k, c: F.col(f"s.{k}_{c}")
+    ll = sum(-0.5 * (own("n", c) * F.ln(2 * math.pi * own("v", c)) + ((own("n", c) - 1) * own("v", c) + own("n", c) * F.pow(own("m", c) - F.col(c), F.lit(2.0))) / own("v", c))
+             for c in names)
+    drawn = resample.normal_log_density(cands, names, resample.bootstrap_vcov(cands, names), "logq").withColumn("s", st)
+    return rounded(resample.sir(drawn.select("replicate", ll.alias("loglik"), "logq"), "replicate", "loglik", 20, None, proposal="logq"))
+
+
 @query("vpc_bands", f"""WITH {PK}, obs AS (SELECT user_id, CASE WHEN user_id % 3 = 0 THEN 'yes' ELSE 'no' END AS "isPM", floor(t / 24) * 24 AS bin, c FROM prof),
 ids AS (SELECT DISTINCT user_id, "isPM" FROM obs), {draws_sql('ids', REPLICATES)},
 seen AS (SELECT "isPM", bin, count(c) AS n, quantile_cont(c, [0.05, 0.5, 0.95]) AS q FROM obs GROUP BY 1, 2),

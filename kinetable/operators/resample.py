@@ -5,6 +5,7 @@ Picks are a hash of (stratum, replicate, draw), so a recomputed task repeats the
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from itertools import combinations_with_replacement
 
@@ -74,16 +75,48 @@ def bootstrap_vcov(replicated: DataFrame, columns: Sequence[str]) -> DataFrame:
     return one.select(F.explode(rows).alias("p")).select("p.*")
 
 
-def sir(candidates: DataFrame, id: str, loglik: str, resamples: int, hot=skew.LOOK) -> DataFrame:
-    """Systematic resampling of candidates in proportion to exp(loglik).
+def normal_log_density(df: DataFrame, columns: Sequence[str], vcov: DataFrame, name: str) -> DataFrame:
+    """Add the log density of each row under the normal distribution with the columns' means over ``df`` and covariance ``vcov``.
+
+    ``vcov`` is ``bootstrap_vcov`` of the same columns. It is factored by Cholesky's method, a few expressions for a few columns on
+    its one row; a row's residuals are solved forward through the factor. NULL where a column follows from the others
+    to twelve digits.
+    """
+    k = len(columns)
+    pair = {(a, b): F.max(F.when(((F.col("x") == a) & (F.col("y") == b)) | ((F.col("x") == b) & (F.col("y") == a)), F.col("covariance")))
+            for i, a in enumerate(columns) for b in columns[: i + 1]}
+    one = vcov.agg(*[e.alias(f"c{columns.index(a)}_{columns.index(b)}") for (a, b), e in pair.items()])
+    for i in range(k):  # one column of the factor after the other, so that no expression repeats another
+        for j in range(i + 1):
+            rest = F.col(f"c{i}_{j}")
+            for m in range(j):
+                rest = rest - F.col(f"l{i}_{m}") * F.col(f"l{j}_{m}")
+            one = one.withColumn(f"l{i}_{j}", F.when(rest > 1e-12 * F.col(f"c{i}_{i}"), F.sqrt(rest)) if i == j else F.try_divide(rest, F.col(f"l{j}_{j}")))
+    factor = one.select(F.struct(*[f"l{i}_{j}" for i in range(k) for j in range(i + 1)]).alias("_l")).scalar()
+    means = df.agg(F.struct(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)]).alias("_m")).scalar()
+    out = df.withColumns({"_l": factor, "_m": means})
+    total = F.lit(-k / 2 * math.log(2 * math.pi))
+    for i, c in enumerate(columns):
+        left = F.col(c) - F.col(f"_m.m{i}")
+        for j in range(i):
+            left = left - F.col(f"_l.l{i}_{j}") * F.col(f"_z{j}")
+        out = out.withColumn(f"_z{i}", left / F.col(f"_l.l{i}_{i}"))
+        total = total - F.ln(F.col(f"_l.l{i}_{i}")) - F.col(f"_z{i}") * F.col(f"_z{i}") / 2
+    return out.withColumn(name, total).drop("_l", "_m", *[f"_z{i}" for i in range(k)])
+
+
+def sir(candidates: DataFrame, id: str, loglik: str, resamples: int, hot=skew.LOOK, proposal: str | None = None) -> DataFrame:
+    """Systematic resampling of candidates in proportion to exp(loglik), or to exp(loglik - proposal) with the log density
+    that they were drawn from.
 
     Candidate i covers (W_(i-1), W_i] of the normalized cumulative weight; it is drawn once for
     each point (m - 1/2) / resamples inside. The points inside are counted directly from the two
     ends, so no join with the points is needed.
     """
-    candidates = cut_lineage(candidates)  # the totals read them again
-    topped = skew.attach(candidates, [], {"_top": F.max(loglik)})
-    weighted = topped.withColumn("_w", F.exp(F.col(loglik) - F.col("_top"))).withColumn("_g", F.lit(0))
+    ratio = F.col(loglik) - F.col(proposal) if proposal else F.col(loglik)
+    candidates = cut_lineage(candidates.withColumn("_ratio", ratio))  # the totals read them again
+    topped = skew.attach(candidates, [], {"_top": F.max("_ratio")})
+    weighted = topped.withColumn("_w", F.exp(F.col("_ratio") - F.col("_top"))).withColumn("_g", F.lit(0))
     summed = skew.by_heat(weighted, ["_g"], lambda d, s: s.scan(
         d, ["_g"], [(id, False)], running={"_cum": ("sum", F.col("_w"))}), hot)
     whole = skew.attach(summed, [], {"_all": F.max("_cum")})

@@ -83,3 +83,30 @@ def test_ranges_replace_like_named_columns(spark):
     assert sorted(each[0].columns) == sorted(each[1].columns)
     whole = [s.group(df, ["id"], {"occ": F.sum("evid"), "before": F.max("t")}) for s in (skew.Plain(), skew.Chunked(6))]
     assert [sorted((r.t, r.occ, r.before) for r in d.collect()) for d in whole] == [[(i, 50, 49) for i in range(50)]] * 2
+
+
+def test_normal_log_density(spark):
+    import numpy as np
+
+    from kinetable.operators import resample
+
+    rng = np.random.default_rng(2)
+    rows = rng.normal(size=(40, 3)) @ np.array([[2.0, 0, 0], [1, 0.5, 0], [-3, 0.2, 1e-3]]).T + [5, -1, 100]
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(rows)], "i int, a double, b double, c double")
+    names = ["a", "b", "c"]
+    got = resample.normal_log_density(df, names, resample.bootstrap_vcov(df, names), "q").orderBy("i").collect()
+    cov, off = np.cov(rows.T), rows - rows.mean(axis=0)
+    want = -1.5 * math.log(2 * math.pi) - 0.5 * np.linalg.slogdet(cov)[1] - 0.5 * np.einsum("ij,jk,ik->i", off, np.linalg.inv(cov), off)
+    assert [r.q for r in got] == pytest.approx(want.tolist(), rel=1e-6)
+    same = df.withColumn("b", F.col("a") * 2)  # no density
+    assert resample.normal_log_density(same, ["a", "b"], resample.bootstrap_vcov(same, ["a", "b"]), "q").where("q IS NOT NULL").count() == 0
+
+
+def test_importance_ratio(spark):
+    from kinetable.operators import resample
+
+    df = spark.createDataFrame([(i, -float(i), -2.0 * i) for i in range(5)], "i int, ll double, q double")
+    weights = [math.exp(i) for i in range(5)]
+    got = {r.i: (r.weight, r.drawn) for r in resample.sir(df, "i", "ll", 1000, proposal="q").collect()}
+    assert {i: w for i, (w, _) in got.items()} == pytest.approx({i: w / sum(weights) for i, w in enumerate(weights)})
+    assert sum(n for _, n in got.values()) == 1000
