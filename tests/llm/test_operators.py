@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -62,11 +63,85 @@ def test_names_lower_scores(page, text):
     assert pagetext.main_text(page, 0.2, 1) == text
 
 
+@pytest.mark.parametrize("name", ["related-work", "search-results", "legal-basis", "social-impact", "comment-on-theory", "plain"])
+@pytest.mark.parametrize("attr", ["class", "id"])
+def test_names_in_part_need_furniture(name, attr):
+    section = "A part of the article, with a heading of its own. It has sentences, like the others."
+    page = f"<article>{_P * 5}<section {attr}='{name}'><h2>Part</h2><p>{section}</p></section>{_P}</article>"
+    assert pagetext.main_text(page, 0.2, 1) == "\n\n".join([_T] * 5 + ["Part", section, _T])
+    if name != "plain":
+        links = f"<ul {attr}='{name}'><li><a href=a>One of the other pages, here.</a></li><li><a href=b>Two of the other pages, here.</a></li></ul>"
+        assert pagetext.main_text(f"<article>{_P * 5}{links}</article>", 0.2, 1) == "\n\n".join([_T] * 5)
+
+
+@pytest.mark.parametrize("name", ["comments", "reader-comments", "comment-list", "cookie-banner", "ad-slot-3", "sidebar-left", "related-posts"])
+def test_names_that_end_in_furniture(name):
+    page = f"<article>{_P * 5}<section class='{name}'><h2>Part</h2><p>It has sentences, like the others. It leaves, all the same.</p></section></article>"
+    assert pagetext.main_text(page, 0.2, 1) == "\n\n".join([_T] * 5)
+
+
+@pytest.mark.parametrize("page", [
+    "<a " * 100_000, "<div>x, y.\n" * 30_000, "<div>" * 50_000 + "</section>" * 50_000, '<a "x>" ' * 60_000 + "'", "<script>" + "</script " * 60_000,
+    "<div class=ad>x<h2>y</h2>" * 20_000, "<table><tr><td>x" * 30_000, "<article><header class=ad>x" * 20_000, "<!--" * 100_000, "<ul><li>a." * 40_000,
+], ids=range(10))
+def test_hostile_pages_take_linear_time(page):
+    start = time.process_time()
+    pagetext.main_text(page, 0.2, 1)
+    assert time.process_time() - start < 10  # a quadratic reader needs minutes
+
+
+def blocks_by_hand(node, above=()):
+    """Text under each path of a made page: (labels from the root on, text), menus left out."""
+    found = []
+    for child in node[1:]:
+        if isinstance(child, str):
+            found.append((above, child))
+        elif child[0] != "nav":
+            found += blocks_by_hand(child, (*above, child[0]))
+    return found
+
+
+def test_page_trees():
+    rng = random.Random(8)
+
+    def grow(depth):
+        made = []
+        for _ in range(rng.randint(0, 4)):
+            if depth and rng.random() < 0.6:
+                made.append((rng.choice(["div", "section", "blockquote", "nav", "article"]), *grow(depth - 1)))
+            else:
+                made.append(("p", rng.choice(["One, two.", "Three & four", "five"])))
+        return made
+
+    def render(node):
+        if isinstance(node, str):
+            return rng.choice([" ", "\n", ""]) + node.replace("&", rng.choice(["&amp;", "&#38;", "&"])) + rng.choice([" ", "<!-- > -->", ""])
+        close = "" if node[0] == "p" and rng.random() < 0.5 else f"</{node[0]}>"
+        return f"<{node[0]}{rng.choice(['', ' title=\'a>b\'', ' x=1'])}>" + "".join(map(render, node[1:])) + close
+
+    for _ in range(300):
+        tree = ("", *grow(5))
+        page = pagetext.parse("".join(map(render, tree[1:])))
+        names = {v: k for k, v in page.paths.items()}
+
+        def path(i):
+            return (*path(names[i][0]), names[i][1]) if i else ()
+
+        assert [(path(page.path[b[0]]), b[2]) for b in page.blocks] == blocks_by_hand(tree)
+        for b in page.blocks:  # what holds a block is numbered around it
+            i = b[0]
+            while i:
+                assert page.parent[i] <= b[0] <= page.end[page.parent[i]]
+                i = page.parent[i]
+
+
 def test_extract_columns(spark):
     pages = spark.createDataFrame([(1, "u", "<p>Aé, b.</p>", "old"), (None, None, None, None)], "page_id long, url string, html string, text string")
     got = {r.page_id: (r.text, r.n_chars) for r in pagetext.extract(pages).collect()}
     assert got == {1: ("Aé, b.", 6), None: ("", 0)}
     assert pagetext.extract(pages.limit(0)).count() == 0
+    twice = pagetext.extract(pages.union(pages)).groupBy("page_id", "url", "text", "n_chars").count().collect()
+    assert sorted(r["count"] for r in twice) == [2, 2]
 
 
 # ---------------------------------------------------------------- op2
