@@ -198,6 +198,27 @@ def uncovered(posted: DataFrame, found: DataFrame) -> DataFrame:
     return own.join(gone, "id", "left").select("id", "own", "gone").mapInArrow(work, f"k long, id {kind}, first int, end int")
 
 
+def anchors(lines: DataFrame) -> DataFrame:
+    """``(id, e)``: what an alignment of a document can start from: its first line, its last line, and each line that it
+    holds once. Patience alignment of two documents without a common ``e`` finds nothing. Only an ``e`` of several documents is kept.
+    """
+    kind = lines.schema["id"].dataType.simpleString()
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, key = [], []
+            for i, hashes in enumerate(batch.column("hashes").to_pylist()):
+                ends = [xxhash.xxh3_64_intdigest(f"{end} {h}") - (1 << 63) for end, h in (("first", hashes[0]), ("last", hashes[-1]))] if hashes else []
+                once = [h for h, n in Counter(hashes).items() if n == 1]
+                at.extend([i] * (len(ends) + len(once)))
+                key.extend(ends + once)
+            yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(at, pa.int64())), pa.array(key, pa.int64())], ["id", "e"])
+
+    every = cut_lineage(lines.select("id", "hashes").mapInArrow(work, f"id {kind}, e long"))
+    common = every.groupBy("e").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a < z").select("e")
+    return every.join(cut_lineage(common), "e", "left_semi").select("id", "e")
+
+
 def _level() -> Column:
     """Zero bits at the end of a hash of ``id``: every level has half as many ids as the level below."""
     h = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
@@ -209,7 +230,8 @@ def shared_blocks(lines: DataFrame, least: int) -> DataFrame:
 
     The lines are those that aligning every pair of documents would find. Holders of a window are aligned with its
     first holder. Where a window then isn't covered, its document is aligned with the window's other earlier
-    holders, few at first and four times as many each round, until it is covered or none is left.
+    holders that an alignment could start with (see ``anchors``), few at first and four times as many each round,
+    until it is covered or none is left.
     """
     posted = cut_lineage(postings(lines, least))
     firsts = posted.groupBy("k").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a < z").select("k", "a")
@@ -223,12 +245,17 @@ def shared_blocks(lines: DataFrame, least: int) -> DataFrame:
     holders = cut_lineage(posted.join(wanted, "k", "left_semi").select("k", "id").distinct().withColumn("level", _level()))
     owners = holders.select("id").distinct()
     lines = cut_lineage(lines.join(sized_broadcast(cut_lineage(owners)), "id", "left_semi"))
+    starts = cut_lineage(anchors(lines))
+    holders = holders.join(starts, "id")
+    both = holders.groupBy("k", "e").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a < z").select("k", "e")
+    holders = cut_lineage(holders.join(cut_lineage(both), ["k", "e"], "left_semi"))
     have = cut_lineage(found.join(left.select("id").distinct(), "id", "left_semi").select("id", "first", "end"))
-    most = holders.groupBy("k").count().agg(F.max("count")).first()[0]
+    most = holders.groupBy("k", "e").count().agg(F.max("count")).first()[0] or 1
     high, low = 65, min(most.bit_length() - 1, 30)
     while not left.isEmpty():
-        some = holders.where((F.col("level") >= low) & (F.col("level") < high)).select("k", F.col("id").alias("a"))
-        pairs = cut_lineage(left.join(some, "k").where("a < id").select("a", F.col("id").alias("b")).distinct())
+        some = holders.where((F.col("level") >= low) & (F.col("level") < high)).select("k", "e", F.col("id").alias("a"))
+        open_ = left.select("k", "id").distinct().join(holders.select("k", "id", "e"), ["k", "id"])
+        pairs = cut_lineage(open_.join(some, ["k", "e"]).where("a < id").select("a", F.col("id").alias("b")).distinct())
         if not pairs.isEmpty():
             more = cut_lineage(aligned(lines, pairs, least))
             found = found.unionByName(more)

@@ -471,6 +471,20 @@ def test_line_dedup_beyond_first_holder(spark):
     assert want[3] == {1, 2, 3} and want[102] == {1} and want[103] == {1}
 
 
+def test_ruler_lines_form_no_pairs(spark, monkeypatch):
+    ruler, pairs = "=" * 60, []
+    real = linedup.aligned
+    monkeypatch.setattr(linedup, "aligned", lambda lines, both, least: pairs.append(both.count()) or real(lines, both, least))
+    rows = [(i, "\n".join([f"first {i}", ruler, f"middle {i}", ruler, f"last {i}"])) for i in range(120)]
+    got = linedup.dedup(frame(spark, rows)).collect()
+    assert all(not r.removed for r in got) and sum(pairs) == 119  # each with the first holder, no others
+    rows += [(200, "\n".join(["first 7", ruler, "own", ruler])), (201, "\n".join(["x", ruler, "middle 9", ruler, "y"]))]
+    got = {r.doc_id: [tuple(x) for x in r.removed] for r in linedup.dedup(frame(spark, rows)).collect() if r.removed}
+    made = [(i, *linedup.line_hashes(t)) for i, t in rows]
+    want = {b[0]: [x for a in made if a[0] < b[0] for x in linedup.common_blocks(a[1], b[1], b[2], 40)] for b in made[-2:]}
+    assert got == want == {200: [(0, 2), (3, 4)], 201: [(1, 4)]}  # without the shared start the second ruler is unique in both
+
+
 # ---------------------------------------------------------------- op10
 
 def groups_by_hand(docs, width, percent):
