@@ -48,7 +48,7 @@ def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     """Aligned positions of two lists: lines unique in both, in rising order, grown over equal neighbours, and the
-    same again between them.
+    same again between them. Blank lines (0) extend what is aligned and start nothing.
     """
     found: list[tuple[int, int]] = []
     stack = [(0, len(a), 0, len(b))]
@@ -63,7 +63,7 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
         if a0 >= a1 or b0 >= b1:
             continue
         many_a, many_b = Counter(a[a0:a1]), Counter(b[b0:b1])
-        at = {x: j for j, x in enumerate(b[b0:b1], b0) if many_b[x] == 1}
+        at = {x: j for j, x in enumerate(b[b0:b1], b0) if many_b[x] == 1 and x}
         chain = _rising([(i, at[x]) for i, x in enumerate(a[a0:a1], a0) if many_a[x] == 1 and x in at])
         if chain:
             edges = [(a0 - 1, b0 - 1), *chain, (a1, b1)]
@@ -199,18 +199,23 @@ def uncovered(posted: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def anchors(lines: DataFrame) -> DataFrame:
-    """``(id, e)``: what an alignment of a document can start from: its first line, its last line, and each line that it
-    holds once. Patience alignment of two documents without a common ``e`` finds nothing. Only an ``e`` of several documents is kept.
+    """``(id, e)``: what an alignment of a document can start from: its first and its last line that are not blank, with the number
+    of blank ones outside, and each line that it holds once and that is not blank. Patience alignment of two documents
+    without a common ``e`` finds blank lines at most. Only an ``e`` of several documents is kept.
     """
     kind = lines.schema["id"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, key = [], []
-            for i, hashes in enumerate(batch.column("hashes").to_pylist()):
-                ends = [xxhash.xxh3_64_intdigest(f"{end} {h}") - (1 << 63) for end, h in (("first", hashes[0]), ("last", hashes[-1]))] if hashes else []
-                once = [h for h, n in Counter(hashes).items() if n == 1]
-                at.extend([i] * (len(ends) + len(once)))
+            for row, hashes in enumerate(batch.column("hashes").to_pylist()):
+                ends = []
+                for end, way in (("first", hashes), ("last", hashes[::-1])):
+                    blank, line = next(((i, h) for i, h in enumerate(way) if h), (0, 0))
+                    if line:
+                        ends.append(xxhash.xxh3_64_intdigest(f"{end} {blank} {line}") - (1 << 63))
+                once = [h for h, n in Counter(hashes).items() if n == 1 and h]
+                at.extend([row] * (len(ends) + len(once)))
                 key.extend(ends + once)
             yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(at, pa.int64())), pa.array(key, pa.int64())], ["id", "e"])
 
@@ -272,7 +277,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int =
     ranges, end exclusive) and ``partners`` (keys of the documents they are aligned with).
 
     Documents are ordered by key and, for equal keys, by a hash of the text; equal rows are one document and don't
-    touch each other. Of every aligned pair the common blocks of at least ``least`` characters leave
+    touch each other. Blank lines are aligned beside other lines only. Of every aligned pair the common blocks of at least ``least`` characters leave
     the later document; blocks are judged on the input. Removed are the lines that all pairs of documents would give;
     a document is aligned with further partners only as long as it shares a run that is still there. Rows with a null key or text stay as they are (null text: no
     lines). Columns of these names are replaced.

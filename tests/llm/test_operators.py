@@ -456,6 +456,9 @@ def test_line_dedup_beyond_first_holder(spark):
     for _ in range(6):
         say = lambda: rng.choice([f"{rng.randint(0, 5)} short text", f"{rng.randint(0, 9)} {long}", "", f"own {rng.random()}"])
         fixtures.append([[say() for _ in range(rng.randint(1, 14))] for _ in range(25)])
+    for _ in range(4):  # lines that stand several times, few that stand once
+        say = lambda: rng.choice([f"{rng.randint(0, 1)} {long}"] * 3 + ["", "", f"{rng.randint(0, 3)} short text", f"own {rng.random()}"])
+        fixtures.append([[say() for _ in range(rng.randint(1, 12))] for _ in range(25)])
     rows = [(100 * i + j, "\n".join([f"# {i} " + x if x else "" for x in d])) for i, docs in enumerate(fixtures) for j, d in enumerate(docs)]
     made = {i: linedup.line_hashes(t) for i, t in rows}
     want = {}
@@ -480,6 +483,11 @@ def test_ruler_lines_form_no_pairs(spark, monkeypatch):
     assert all(not r.removed for r in got) and sum(pairs) == 119  # each with the first holder, no others
     rows += [(200, "\n".join(["first 7", ruler, "own", ruler])), (201, "\n".join(["x", ruler, "middle 9", ruler, "y"]))]
     got = {r.doc_id: [tuple(x) for x in r.removed] for r in linedup.dedup(frame(spark, rows)).collect() if r.removed}
+    pairs.clear()
+    blank = [(i, "\n".join([f"first {i}", ruler, f"a {i}", "", f"b {i}", ruler, f"last {i}"])) for i in range(60)]
+    blank += [(300 + i, "\n".join(["", "", f"one {i}", ruler, f"two {i}", ruler, f"three {i}", ""])) for i in range(60)]
+    assert not any(r.removed for r in linedup.dedup(frame(spark, blank)).collect()) and sum(pairs) == 119  # blank lines lead nobody together
+    assert linedup.patience([1, 0, 2, 1], [3, 1, 1, 0, 4, 1, 3]) == [] and linedup.patience([5, 0, 2], [6, 5, 0, 3]) == [(0, 1), (1, 2)]
     made = [(i, *linedup.line_hashes(t)) for i, t in rows]
     want = {b[0]: [x for a in made if a[0] < b[0] for x in linedup.common_blocks(a[1], b[1], b[2], 40)] for b in made[-2:]}
     assert got == want == {200: [(0, 2), (3, 4)], 201: [(1, 4)]}  # without the shared start the second ruler is unique in both
