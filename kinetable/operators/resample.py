@@ -15,18 +15,27 @@ from kinetable.plans import skew, sweep
 from kinetable.plans.quantile import grouped
 from kinetable.session import cut_lineage
 
+TASK_DRAWS = 500_000  # draws that one task makes or counts
+
 
 def _picks(subjects: DataFrame, id: str, stratum: str, replicates: int, hot, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """(stratum, id, columns, _rank) of the subjects, and (stratum, replicate, _rank) of every draw."""
+    """(stratum, id, columns, _rank) of the subjects, and (stratum, replicate, _rank) of every draw, dealt by stratum and rank.
+
+    Subjects become ``replicates`` times as many draws, so a number of partitions that follows the draws is asked for
+    on both sides: neither the few strata nor the small size of the subjects decides how many tasks there are.
+    """
     base = subjects.select(id, stratum, *columns)
     if hot is skew.LOOK:
         hot = skew.find_hot(base, [stratum])
     ranked = skew.row_number(base, [(id, False)], "_rank", [stratum], hot)
+    ranked = cut_lineage(ranked)
     sized = skew.attach(ranked, [stratum], {"_n": F.max("_rank")})
-    rolled = sized.select(stratum, "_n", F.col("_rank").alias("_draw"), F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("replicate"))
+    parts = max(1, math.ceil(ranked.count() * replicates / TASK_DRAWS))
+    rolled = sized.repartition(parts, stratum, "_rank").select(stratum, "_n", F.col("_rank").alias("_draw"), F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("replicate"))
     key = F.concat_ws("|", F.col(stratum).cast("string"), F.col("replicate").cast("string"), F.col("_draw").cast("string"))
     hashed = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long")
-    return ranked, rolled.select(stratum, "replicate", (hashed % F.col("_n") + 1).alias("_rank"))
+    picked = rolled.select(stratum, "replicate", (hashed % F.col("_n") + 1).alias("_rank"))
+    return ranked, picked.repartition(parts, stratum, "_rank")
 
 
 def draws(subjects: DataFrame, id: str, stratum: str, replicates: int, hot=skew.LOOK, columns: Sequence[str] = ()) -> DataFrame:

@@ -150,6 +150,13 @@ def test_draws_keep_stratum_sizes_and_repeat(spark):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, resample.draws(df, "id", "s", 5).collect()))
 
 
+def test_draws_are_dealt_over_tasks(spark):
+    df = spark.range(3000).select("id", F.lit("a").alias("s"))
+    picked = resample._picks(df, "id", "s", 400, None, ())[1]
+    sizes = [r["count"] for r in picked.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 1_200_000 and max(sizes) < 600_000
+
+
 def test_sir_draws_all_points(spark):
     df = spark.createDataFrame([(i, -0.5 * i) for i in range(50)], "id int, ll double")
     got = resample.sir(df, "id", "ll", 20).collect()
