@@ -143,16 +143,15 @@ def vpc_bands(observations: DataFrame, id: str, stratum: str, time_bin: str, dv:
               hot=skew.LOOK) -> DataFrame:
     """Observed 5/50/95 % per stratum and time bin, with replicate-based 95 % bands.
 
-    Every observation carries the list of replicates that drew its subject, and one sorted sweep of a cell
+    Every observation meets the counts of the replicates that drew its subject, and one sorted sweep of a cell
     (stratum, time bin) gives the quantiles of all replicates; observations are never copied. A subject that no replicate
     drew counts among the observed only.
     """
     marks = {"p05": 0.05, "p50": 0.5, "p95": 0.95}
     base = cut_lineage(observations.select(id, stratum, time_bin, dv))
     cell = [stratum, time_bin]
-    drawn = cut_lineage(draw_lists(base.select(id, stratum).distinct(), id, stratum, replicates, hot))
-    weighed = skew.same(base, drawn, [stratum, id], "left")
-    lanes = sweep.lane_quantiles(weighed, cell, dv, "drawn", replicates + 1, marks)
+    drawn = draw_lists(base.select(id, stratum).distinct(), id, stratum, replicates, hot)
+    lanes = sweep.lane_quantiles(base, cell, dv, "drawn", replicates + 1, marks, drawn, [stratum, id])
     long = lanes.unpivot([*cell, "lane"], list(marks), "mark", "value")
     ends = F.percentile(F.when(F.col("lane") > 0, F.col("value")), F.array(F.lit(0.025), F.lit(0.975)))  # one value for each replicate
     bands = long.groupBy(*cell, "mark").agg(F.max(F.when(F.col("lane") == 0, F.col("value"))).alias("observed"), ends.alias("_b"))

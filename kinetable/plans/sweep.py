@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -16,6 +17,7 @@ from kinetable.session import cut_lineage
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need not have this package
 
 SWEEP_ROWS = 50_000  # rows of a group that one task sweeps: 40 MB of running weights for 200 lanes
+HELD_SUMS = 10_000  # ranges whose sums a task holds before it passes them on: 16 MB for 200 lanes
 
 
 def _repeated(rows: pa.Table, columns: Sequence[str], n: int) -> list[pa.Array]:
@@ -23,13 +25,48 @@ def _repeated(rows: pa.Table, columns: Sequence[str], n: int) -> list[pa.Array]:
     return [pa.array([rows.column(c)[0].as_py()] * n, rows.schema.field(c).type) for c in columns]
 
 
+def _counted(lists: pa.Array, lanes: int) -> np.ndarray:
+    """Rows x lanes: how often a list names a lane; lane 0 holds every row once."""
+    row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+    dense = np.bincount(row * lanes + lists.flatten().to_numpy(), minlength=len(lists) * lanes).reshape(-1, lanes)
+    dense[:, 0] = 1
+    return dense
+
+
+def _packed(df: DataFrame, columns: Sequence[str], held: str, lanes: int) -> DataFrame:
+    """``columns`` and ``_w``, the counts of all lanes one after the other, in as few bytes each as a batch of rows needs."""
+    rows = df.select(*columns, F.coalesce(F.col(held), F.array().cast("array<int>")).alias("_w"))
+
+    def pack(batches):
+        for batch in batches:
+            dense = _counted(batch.column("_w"), lanes)
+            dense = dense.astype(np.min_scalar_type(dense.max(initial=1)))
+            width = lanes * dense.itemsize
+            ends = pa.py_buffer(np.arange(batch.num_rows + 1, dtype=np.int32) * np.int32(width))
+            packed = pa.BinaryArray.from_buffers(pa.binary(), batch.num_rows, [None, ends, pa.py_buffer(dense.tobytes())])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in columns], packed], [*columns, "_w"])
+
+    return rows.mapInArrow(pack, f"{_typed(rows, columns)}, _w binary")
+
+
+def _typed(df: DataFrame, columns: Sequence[str]) -> str:
+    return ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in columns)
+
+
 def _weights(rows: pa.Table, lanes: int) -> np.ndarray:
-    """Rows x lanes: how often a lane holds a row; lane 0 holds every row once."""
-    held = rows.column("_w").combine_chunks()
-    held = held.chunk(0) if isinstance(held, pa.ChunkedArray) else held
-    row = np.repeat(np.arange(rows.num_rows), np.diff(held.offsets.to_numpy()))
-    dense = np.bincount(row * lanes + held.flatten().to_numpy(), minlength=rows.num_rows * lanes).reshape(-1, lanes)
+    """Rows x lanes from packed counts; a row without counts is held by lane 0 only."""
+    held = rows.column("_w").cast(pa.large_binary()).combine_chunks()
+    held = pc.fill_null(held.chunk(0) if isinstance(held, pa.ChunkedArray) else held, b"")
+    ends = np.frombuffer(held.buffers()[1], np.int64)[held.offset: held.offset + len(held) + 1]
+    width, data = np.diff(ends), np.frombuffer(held.buffers()[2] or b"", np.uint8)
+    kinds = np.unique(width[width > 0])
+    if len(kinds) == 1 and (width > 0).all():
+        return data[ends[0]: ends[-1]].view(f"u{kinds[0] // lanes}").reshape(-1, lanes)
+    dense = np.zeros((len(held), lanes), np.int64)
     dense[:, 0] = 1
+    for kind in kinds:
+        own = np.flatnonzero(width == kind)
+        dense[own] = data[ends[own][:, None] + np.arange(kind)].view(f"u{kind // lanes}")
     return dense
 
 
@@ -57,46 +94,72 @@ def _swept(rows: pa.Table, by: Sequence[str], lanes: int, probs: Sequence[float]
     return pa.table([*_repeated(rows, by, lanes), pa.array(np.arange(lanes, dtype=np.int32)), *marks], [*by, "lane", *[f"_q{i}" for i in range(len(probs))]])
 
 
-def lane_quantiles(df: DataFrame, by: Sequence[str], value: str, held: str, lanes: int, probs: Mapping[str, float]) -> DataFrame:
+def lane_quantiles(df: DataFrame, by: Sequence[str], value: str, held: str, lanes: int, probs: Mapping[str, float],
+                   lists: DataFrame | None = None, on: Sequence[str] = ()) -> DataFrame:
     """``by``, ``lane`` and a column for each of ``probs``: the quantile of ``value`` among the rows of a lane.
 
     ``held`` lists the lanes 1 to ``lanes`` - 1 that hold a row, once for each time it stands there (NULL: none); lane 0 holds every
-    row once. Rows meet once, whatever the number of lanes, and no copies are formed. A lane without rows has NULL. Missing values are left out. Groups
+    row once. It is a column of ``df``, or of ``lists``, which has one row for each value of its columns ``on``. Rows meet once, whatever
+    the number of lanes, and no copies are formed. A lane without rows has NULL. Missing values are left out. Groups
     above ``SWEEP_ROWS`` are swept in ranges: each adds up its weights, and only ranges that hold a wanted rank are read again.
+    Rows are sorted and stored without their weights, which are joined where they are added up.
     """
-    rows = df.select(*by, F.col(value).cast("double").alias("_v"), F.coalesce(F.col(held), F.array().cast("array<int>")).alias("_w")).filter("_v IS NOT NULL")
+    own = list(dict.fromkeys([*by, *on]))
+    rows = df.withColumn("_v", F.col(value).cast("double")).filter("_v IS NOT NULL")
+    if lists is None:
+        rows, weighed = _packed(rows, [*own, "_v"], held, lanes), lambda d: d
+    else:
+        rows, packed = rows.select(*own, "_v"), cut_lineage(_packed(lists, on, held, lanes))
+        weighed = lambda d: same(d, packed, on, "left")
     limit, marks = min(SWEEP_ROWS, hot_rows(df.sparkSession)), list(probs.values())
-    key = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name in by)
-    schema = f"{key}, lane int, " + ", ".join(f"_q{i} double" for i in range(len(marks)))
+    schema = f"{_typed(rows, by)}, lane int, " + ", ".join(f"_q{i} double" for i in range(len(marks)))
 
     def task(t: pa.Table) -> pa.Table:
         return _swept(t, by, lanes, marks)
 
+    def swept(d: DataFrame) -> DataFrame:
+        named = [*by, "lane", *[F.col(f"_q{i}").alias(n) for i, n in enumerate(probs)]]
+        return weighed(d).select(*by, "_v", "_w").groupBy(*by).applyInArrow(task, schema).select(*named)
+
     large = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_m")).filter(F.col("_m") > limit).select(*by)
-    named = [*by, "lane", *[F.col(f"_q{i}").alias(n) for i, n in enumerate(probs)]]
     if large.isEmpty():
-        return rows.groupBy(*by).applyInArrow(task, schema).select(*named)
+        return swept(rows)
     large = F.broadcast(cut_lineage(large))  # at most rows / limit groups
-    cold = same(rows, large, by, "left_anti").groupBy(*by).applyInArrow(task, schema).select(*named)
-    return cold.unionByName(_in_ranges(same(rows, large, by, "left_semi"), by, lanes, probs, limit))
+    return swept(same(rows, large, by, "left_anti")).unionByName(_in_ranges(same(rows, large, by, "left_semi"), by, lanes, probs, limit, weighed))
 
 
-def _in_ranges(rows: DataFrame, by: Sequence[str], lanes: int, probs: Mapping[str, float], limit: int) -> DataFrame:
+def _in_ranges(rows: DataFrame, by: Sequence[str], lanes: int, probs: Mapping[str, float], limit: int, weighed) -> DataFrame:
     cut = add_chunks(rows, by, [("_v", False)], limit)
     within = [*by, "_c"]
-    key = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema.fields if f.name in within)
 
     def add_up(batches):
+        """The sums of each range over the rows of a task, which may hold a few rows of every range."""
+        found = {}
+
+        def told():
+            at = list(found)
+            sums = pa.array([found[k].tolist() for k in at], pa.list_(pa.int64()))
+            return pa.RecordBatch.from_arrays([*[pa.array([k[i] for k in at], kind) for i, kind in enumerate(kinds)], sums], [*within, "sums"])
+
         for batch in batches:
             t = pa.Table.from_batches([batch])
-            weights = _weights(t, lanes)
+            kinds = [t.schema.field(c).type for c in within]
             places = t.select(within).append_column("_i", pa.array(np.arange(t.num_rows))).group_by(within).aggregate([("_i", "list")])
-            for g in range(places.num_rows):
-                own = places.column("_i_list")[g].values.to_numpy()
-                sums = pa.array([weights[own].sum(axis=0).tolist()], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([*_repeated(places.slice(g, 1), within, 1), sums], [*within, "sums"])
-
-    partial = cut.select(*within, "_w").mapInArrow(add_up, f"{key}, sums array<bigint>")
+            order = places.column("_i_list").combine_chunks()
+            order = order.chunk(0) if isinstance(order, pa.ChunkedArray) else order
+            starts = order.offsets.to_numpy()[:-1]
+            if not len(starts):
+                continue
+            sums = np.add.reduceat(_weights(t, lanes)[order.flatten().to_numpy()], starts, axis=0, dtype=np.int64)
+            for k, s in zip(zip(*[places.column(c).to_pylist() for c in within]), sums):
+                found[k] = found[k] + s if k in found else s
+            if len(found) > HELD_SUMS:
+                yield told()
+                found.clear()
+        if found:
+            yield told()
+
+    partial = weighed(cut).select(*within, "_w").mapInArrow(add_up, f"{_typed(cut, within)}, sums array<bigint>")
     sums = partial.select(*within, F.posexplode("sums").alias("lane", "_s")).groupBy(*within, "lane").agg(F.sum("_s").alias("_s"))
     along = Window.partitionBy(*by, "lane").orderBy("_c")
     placed = sums.withColumns({"_upto": F.sum("_s").over(along), "_all": F.sum("_s").over(Window.partitionBy(*by, "lane"))})
@@ -110,8 +173,7 @@ def _in_ranges(rows: DataFrame, by: Sequence[str], lanes: int, probs: Mapping[st
         "_a.part > 0 AND _a.rank <= _upto AND _a.rank > _upto - _s")
     wanted = cut_lineage(wanted.select(*within, F.struct("lane", F.col("_a.q").alias("q"), F.col("_a.part").alias("part"),
                                                          (F.col("_a.rank") - (F.col("_upto") - F.col("_s"))).alias("rank")).alias("_a")))
-    touched = same(cut, wanted.select(*within).distinct(), within, "left_semi")
-    only = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema.fields if f.name in by)
+    touched = weighed(same(cut, wanted.select(*within).distinct(), within, "left_semi")).select(*within, "_at", "_v", "_w")
 
     def look_up(t: pa.Table, asks: pa.Table) -> pa.Table:
         asked = asks.column("_a").to_pylist()  # two ranks for each lane and quantile at most
@@ -122,7 +184,7 @@ def _in_ranges(rows: DataFrame, by: Sequence[str], lanes: int, probs: Mapping[st
         return pa.table([*_repeated(t, by, len(asked)), pa.array([a["lane"] for a in asked], pa.int32()), pa.array([a["q"] for a in asked], pa.int32()),
                          pa.array(got, pa.float64())], [*by, "lane", "q", "x"])
 
-    found = touched.groupBy(*within).cogroup(wanted.groupBy(*within)).applyInArrow(look_up, f"{only}, lane int, q int, x double")
+    found = touched.groupBy(*within).cogroup(wanted.groupBy(*within)).applyInArrow(look_up, f"{_typed(cut, by)}, lane int, q int, x double")
     quantiles = found.groupBy(*by, "lane").agg(*[F.sum(F.when(F.col("q") == i, F.col("x"))).alias(n) for i, n in enumerate(probs)])
     every = placed.select(*by, "lane").distinct()
     return same(every, quantiles, [*by, "lane"], "left")

@@ -80,6 +80,24 @@ def test_limits_hold_the_estimate(spark, limit):
     assert {k: tuple(v) for k, v in got.items()} == {k: tuple(v) for k, v in seen.items()}
 
 
+@pytest.mark.parametrize("rows", [50_000, 16])
+def test_lane_quantiles_meet_their_lists_late(spark, monkeypatch, rows):
+    monkeypatch.setattr(sweep, "SWEEP_ROWS", rows)
+    monkeypatch.setattr(sweep, "HELD_SUMS", 2)
+    rng = random.Random(7)
+    lists = [(i, None if i == 3 else [rng.randrange(1, 6) for _ in range(rng.randrange(5))]) for i in range(9)] + [(9, [2] * 300), (None, [4] * 70_000)]
+    data = [(rng.choice(["a", "a", "b", None]), rng.choice([*range(12), None]), rng.choice([None, 2.0, rng.random()])) for _ in range(200)]
+    probs = {"low": 0.05, "mid": 0.5}
+    got = sweep.lane_quantiles(spark.createDataFrame(data, "g string, i int, v double"), ["g"], "v", "held", 7, probs,
+                               spark.createDataFrame(lists, "i int, held array<int>"), ["i"])
+    held, want = dict(lists), {}
+    for g in ("a", "b", None):
+        for lane in range(7):
+            own = [v for k, i, v in data if k == g and v is not None for _ in range(1 if lane == 0 else (held.get(i) or []).count(lane))]
+            want[g, lane] = tuple(np.quantile(own, list(probs.values())).round(12)) if own else (None,) * 2
+    assert {(r.g, r.lane): tuple(x if x is None else round(x, 12) for x in r[2:]) for r in got.collect()} == want
+
+
 @pytest.mark.parametrize("rows", [50_000, 16])
 def test_lane_quantiles(spark, monkeypatch, rows):
     monkeypatch.setattr(sweep, "SWEEP_ROWS", rows)

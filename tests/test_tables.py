@@ -151,7 +151,7 @@ def test_draws_keep_stratum_sizes_and_repeat(spark):
 
 
 def test_draws_are_dealt_over_tasks(spark):
-    df = spark.range(3000).select("id", F.lit("a").alias("s"))
+    df = spark.createDataFrame([(i, "a") for i in range(3000)], "id int, s string")
     picked = resample._picks(df, "id", "s", 400, None, ())[1]
     sizes = [r["count"] for r in picked.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(sizes) == 1_200_000 and max(sizes) < 600_000
